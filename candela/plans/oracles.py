@@ -266,3 +266,41 @@ hourly AS (
 
 
 ORACLES["quality_violations"] = quality_sql()
+
+
+# Stream legs. Deliveries are periods of 2 calendar years; the micro-batch of
+# a delivery holds every row of the windows it touches (delivered so far).
+POOLS = ",".join([
+    O.BARS,
+    """win AS (
+  SELECT *, DATE '1970-01-01' + CAST(floor((date - DATE '1970-01-01') / 20) * 20 AS INTEGER) AS window_start,
+         floor(year(date) / 2) AS delivery
+  FROM bars
+)""",
+    "touched AS (SELECT DISTINCT ticker, window_start, delivery AS pool FROM win)",
+    """pooled AS (
+  SELECT w.date, w.ticker, w.close, t.pool
+  FROM win w JOIN touched t
+    ON w.ticker = t.ticker AND w.window_start = t.window_start AND w.delivery <= t.pool
+)""",
+    O.indicators("pooled", "ind_p", ("ticker", "pool")),
+    f"""latest AS (
+  SELECT *, row_number() OVER (PARTITION BY date, ticker ORDER BY pool DESC) AS rk
+  FROM ind_p WHERE {COMPLETE_WHERE}
+)""",
+])
+
+WINDOW_ROWS = (f"WITH {O.BARS}, {WINDOWED} SELECT date, ticker, window_start, "
+               "window_start + 20 AS window_end, open, high, low, close, adj_close, volume FROM win")
+
+ORACLES.update({
+    "stream_json_ingest": f"WITH {O.BARS} SELECT {BAR_SELECT} FROM bars",
+    "stream_dedup": f"WITH {O.BARS} SELECT {BAR_SELECT} FROM bars",
+    "stream_window_collect": WINDOW_ROWS,
+    "stream_late_rows": WINDOW_ROWS,
+    "stream_window_indicators": "WITH RECURSIVE " + POOLS
+        + f" SELECT date, ticker, 'STREAMING' AS processing_type, {rs(['close', *IND])} "
+          "FROM latest WHERE rk = 1",
+    "stream_indicators_stateful": with_ind(complete_cte("c", "ind", "STREAMING"))
+        + f" SELECT date, ticker, processing_type, {rs(['close', *IND])} FROM c",
+})

@@ -294,3 +294,73 @@ def q_report(spark, d):
     accuracy = C.indicator_accuracy(C.compare_indicators(both_indicator_types(spark, d)))
     agreement = C.signal_agreement(C.signal_counts(both_signal_types(spark, d)))
     return rounded(C.report(summary, accuracy, agreement))
+
+
+# -------------------------------------------------------------- streaming
+
+def _stream_bars(df: DataFrame) -> DataFrame:
+    return df.withColumn("date", F.col("date").cast("date")).select(*BAR_COLUMNS)
+
+
+@query("stream_json_ingest")
+def q_stream_ingest(spark, d):
+    from candela.plans import stream_job
+    return _stream_bars(stream_job.ingest(spark, bars(spark, d)))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, d):
+    from candela.plans import stream_job
+    return _stream_bars(stream_job.dedup(spark, bars(spark, d))[0])
+
+
+WINDOW_ROW = ["date", "ticker", "window_start", "window_end", "open", "high", "low", "close",
+              "adj_close", "volume"]
+
+
+@query("stream_window_collect")
+def q_stream_windows(spark, d):
+    from candela.plans import stream_job
+    return stream_job.window_collect(spark, bars(spark, d))[0].select(*WINDOW_ROW)
+
+
+@query("stream_late_rows")
+def q_stream_late(spark, d):
+    """Window stream plus a late re-delivery of the first period: the late
+    rows are dropped by the watermark, so the windows keep their rows."""
+    from candela.plans import stream_job
+    return stream_job.window_collect(spark, bars(spark, d), late_repeat=True)[0].select(*WINDOW_ROW)
+
+
+@query("stream_window_indicators")
+def q_stream_window_ind(spark, d):
+    from candela.plans import stream_job
+    from candela.plans.batch import INDICATOR_TABLE_COLUMNS
+    return rounded(stream_job.window_indicators(spark, bars(spark, d))[0]
+                   .select(*INDICATOR_TABLE_COLUMNS))
+
+
+@query("stream_indicators_stateful")
+def q_stream_stateful(spark, d):
+    from candela.functions.indicators import complete
+    from candela.plans import stream_job
+    from candela.plans.batch import INDICATOR_TABLE_COLUMNS
+    from candela.schemas import STREAMING
+    out = stream_job.stateful(spark, bars(spark, d))[0]
+    out = (complete(out, ["close", *INDICATOR_COLUMNS])
+           .withColumn("date", F.col("date").cast("date"))
+           .withColumn("processing_type", F.lit(STREAMING)))
+    return rounded(out.select(*INDICATOR_TABLE_COLUMNS))
+
+
+@query("stream_metrics")
+def q_stream_metrics(spark, d):
+    from candela.plans import stream_job
+    _rows, run = stream_job.window_indicators(spark, bars(spark, d))
+    return stream_job.progress_metrics(spark, run)
+
+
+@query("run_metrics")
+def q_run_metrics(spark, d):
+    from candela.plans import batch
+    return batch.run(spark, bars(spark, d), scratch_path(spark, "batch-run"))
