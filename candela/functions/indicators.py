@@ -89,9 +89,10 @@ def wilder_avg(df: DataFrame, window: int = 14, *, by=BY, order=ORDER, value=VAL
                up_name: str = "avg_gain", down_name: str = "avg_loss") -> DataFrame:
     """Wilder averages of gains and losses (the two halves of RSI)."""
     p, added = _positioned(df, by, order, value)
-    p = _up_down(S.rolling(p, by, {"_prev": S.lagged(value)}, halo=1), value)
     a = 1.0 / window
-    out = S.ewm(p, by, [Ewm(up_name, "_up", a, start=1), Ewm(down_name, "_down", a, start=1)])
+    out = S.scan(p, by, {"_prev": S.lagged(value)}, lookback=1, stages=[
+        S.Stage([Ewm(up_name, "_up", a, start=1), Ewm(down_name, "_down", a, start=1)],
+                prepare=lambda x: _up_down(x, value))])
     return _finish(out.drop("_prev", "_up", "_down"), added)
 
 
@@ -112,10 +113,13 @@ def rsi(df: DataFrame, window: int = 14, *, by=BY, order=ORDER, value=VALUE,
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, *, by=BY,
          order=ORDER, value=VALUE) -> DataFrame:
     p, added = _positioned(df, by, order, value)
-    e = S.ewm(p, by, [Ewm("_fast", value, span_alpha(fast)), Ewm("_slow", value, span_alpha(slow))])
-    e = e.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-    out = S.ewm(e, by, [Ewm("macd_signal", "macd", span_alpha(signal))])
-    out = out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    out = S.scan(p, by, stages=[
+        S.Stage([Ewm("_fast", value, span_alpha(fast)), Ewm("_slow", value, span_alpha(slow))]),
+        S.Stage([Ewm("macd_signal", "macd", span_alpha(signal))],
+                prepare=lambda x: x.withColumn("macd", F.col("_fast") - F.col("_slow"))),
+    ])
+    out = (out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+              .drop("_fast", "_slow"))
     return _finish(out, added)
 
 
@@ -132,37 +136,36 @@ def bollinger(df: DataFrame, window: int = 20, num_std: float = 2.0, *, by=BY,
 
 
 def with_indicators(df: DataFrame, *, by=BY, order=ORDER, value=VALUE) -> DataFrame:
-    """All twelve indicators in one plan (the wide indicator row).
+    """All twelve indicators in one pass (the wide indicator row).
 
-    One numbering, one rolling pass (SMA 5/10/20, STD 20, previous value),
-    one block scan for EMA 12/26 and both Wilder averages, and one more for
-    the MACD signal, which recurses over the MACD line. The inputs of the two
-    block scans are materialized because each is read twice.
+    One numbering, then one shuffle by (ticker, superblock) and one chain of
+    window operators: SMA 5/10/20, STD 20 and the previous value as rolling
+    frames; EMA 12/26 and both Wilder averages as the first recursive stage;
+    the MACD signal, which recurses over the MACD line, as the second.
     """
     p = S.with_position(_base(df, value), by, order)
-    r = S.rolling(p, by, {
+    out = S.scan(p, by, {
         "sma_5": S.rolling_mean(value, 5),
         "sma_10": S.rolling_mean(value, 10),
         "sma_20": S.rolling_mean(value, 20),
         "_std_20": S.rolling_std(value, 20),
         "_prev": S.lagged(value),
-    }, halo=19)
-    r = materialize(_up_down(r, value))
-    e = S.ewm(r, by, [
-        Ewm("ema_12", value, span_alpha(12)),
-        Ewm("ema_26", value, span_alpha(26)),
-        Ewm("_avg_up", "_up", 1.0 / 14, start=1),
-        Ewm("_avg_down", "_down", 1.0 / 14, start=1),
+    }, lookback=19, stages=[
+        S.Stage([Ewm("ema_12", value, span_alpha(12)),
+                 Ewm("ema_26", value, span_alpha(26)),
+                 Ewm("_avg_up", "_up", 1.0 / 14, start=1),
+                 Ewm("_avg_down", "_down", 1.0 / 14, start=1)],
+                prepare=lambda x: _up_down(x, value)),
+        S.Stage([Ewm("macd_signal", "macd", span_alpha(9))],
+                prepare=lambda x: x.withColumn("macd", F.col("ema_12") - F.col("ema_26"))),
     ])
-    e = materialize(e.withColumn("macd", F.col("ema_12") - F.col("ema_26")))
-    m = S.ewm(e, by, [Ewm("macd_signal", "macd", span_alpha(9))])
     two = F.lit(2.0)
-    return (m.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
-             .withColumn("rsi_14", rsi_from(F.col("_avg_up"), F.col("_avg_down")))
-             .withColumn("bollinger_upper", F.col("sma_20") + F.col("_std_20") * two)
-             .withColumn("bollinger_middle", F.col("sma_20"))
-             .withColumn("bollinger_lower", F.col("sma_20") - F.col("_std_20") * two)
-             .drop(S.POS, "_std_20", "_prev", "_up", "_down", "_avg_up", "_avg_down"))
+    return (out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+               .withColumn("rsi_14", rsi_from(F.col("_avg_up"), F.col("_avg_down")))
+               .withColumn("bollinger_upper", F.col("sma_20") + F.col("_std_20") * two)
+               .withColumn("bollinger_middle", F.col("sma_20"))
+               .withColumn("bollinger_lower", F.col("sma_20") - F.col("_std_20") * two)
+               .drop(S.POS, "_std_20", "_prev", "_up", "_down", "_avg_up", "_avg_down"))
 
 
 def complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:

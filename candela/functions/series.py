@@ -5,22 +5,28 @@ A price series is the rows of one key (``by``, normally the ticker) ordered by
 (rolling frames) or recurse from the first row (exponential averages).
 
 A plain ``Window.partitionBy(ticker)`` would give a whole ticker to one task;
-a ticker can hold a third of all rows. Every window here is therefore
-partitioned by ``(key, block)`` where a block is ``BLOCK`` consecutive
-positions of the series:
+a ticker can hold a third of all rows. Windows here are partitioned by
+``(key, superblock)`` instead:
 
 1. ``with_position`` numbers the rows of each series without ordering a whole
    series in one task: rows are cut into calendar chunks, chunk sizes are
    counted (partial aggregation), prefix-summed over the small chunk table and
    added to a row number inside each (key, chunk).
-2. Rolling frames (``rolling``) copy the last ``halo`` rows of every block into
-   the next one, evaluate ``rowsBetween`` frames per (key, block) and drop the
-   copies again.
-3. Recursive averages (``ewm``) use a block scan: a fold inside each block,
-   then the end value of every block is spread to the following ``K`` blocks
-   as a decayed sum (an ordinary, partially aggregated ``sum``) and joined
-   back as the carry. ``K`` is chosen so that the decay factor over ``K``
-   blocks is below double precision, which makes the truncation exact.
+2. Positions are grouped into blocks of ``BLOCK`` rows and blocks into
+   superblocks. ``scan`` shuffles the rows once by (key, superblock); every
+   superblock also receives a copy of the blocks just before it (the halo),
+   enough history for every frame and recursion evaluated in it. All window
+   functions of a pass then run on that one partitioning; halo rows are
+   dropped at the end.
+3. Rolling frames are ``rowsBetween`` frames over positions.
+4. A recursive average ``y = q*y_prev + s`` is a block scan without any join:
+   the end of every block is an order-free weighted sum over the block,
+   ``E_b = sum_j q^(B-1-j) s_j``; the carry into block b is
+   ``C = sum_d q^(B*d) E_(b-1-d)`` over the K previous block ends (a RANGE
+   frame over block numbers); inside the block the recursion is folded from
+   the carry. K is chosen so that q^(B*K) is below double precision, which
+   makes the truncation exact. A recursion over the output of another one
+   (MACD signal) needs K more halo blocks.
 
 All expressions are built-in functions; nothing leaves the JVM.
 """
@@ -28,7 +34,7 @@ All expressions are built-in functions; nothing leaves the JVM.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,10 +42,12 @@ from pyspark.sql import functions as F
 
 POS = "_pos"
 BLK = "_blk"
+SB = "_sb"
 HALO = "_halo"
 CHUNK = "_chunk"
 
 BLOCK = 64            # positions per block
+MIN_SUPERBLOCK = 16   # blocks per superblock (at least; grows with the halo)
 CHUNK_DAYS = 2048     # calendar days per numbering chunk (daily bars: <= 2048 rows)
 DECAY_FLOOR = 1e-18   # carries older than this weight are below double precision
 
@@ -69,31 +77,41 @@ def with_position(df: DataFrame, by: str | Sequence[str], order: str,
             .drop(CHUNK, "_chunk_offset"))
 
 
-def block_size(halo: int) -> int:
-    return max(BLOCK, halo)
+@dataclass(frozen=True)
+class Ewm:
+    """One recursive average ``y = (1 - alpha) * y_prev + alpha * x``.
 
+    The recursion starts at position ``start`` with ``y = x`` (pandas
+    ``ewm(adjust=False)`` skipping ``start`` leading NULLs); earlier rows give
+    NULL. ``value`` must be non-NULL from ``start`` on.
+    """
+    name: str
+    value: str
+    alpha: float
+    start: int = 0
 
-def block_window(by: str | Sequence[str]) -> Window:
-    return Window.partitionBy(*_keys(by), BLK).orderBy(POS)
+    @property
+    def decay(self) -> float:
+        return 1.0 - self.alpha
 
 
-def rolling(df: DataFrame, by: str | Sequence[str], columns: dict[str, object],
-            halo: int) -> DataFrame:
-    """Evaluate window expressions that look at most ``halo`` rows back.
+def span_alpha(span: float) -> float:
+    return 2.0 / (span + 1.0)
 
-    ``columns`` maps output names to callables ``f(window) -> Column`` that
-    receive the (key, block) window ordered by position. The input must carry
-    ``_pos``. Output has the input columns plus the new ones.
-    """
-    size = block_size(halo)
-    own = F.floor(F.col(POS) / size)
-    offset = F.col(POS) % size
-    targets = F.when(offset >= size - halo, F.array(own, own + 1)).otherwise(F.array(own))
-    w = block_window(by)
-    expanded = (df.withColumn(BLK, F.explode(targets))
-                  .withColumn(HALO, F.col(BLK) != own))
-    out = expanded.select("*", *[fn(w).alias(name) for name, fn in columns.items()])
-    return out.filter(~F.col(HALO)).drop(BLK, HALO)
+
+def carry_blocks(decay: float, size: int = BLOCK) -> int:
+    """Blocks whose carry still matters: decay**(size*K) < DECAY_FLOOR."""
+    if decay <= 0.0:
+        return 1
+    return max(1, math.ceil(math.log(DECAY_FLOOR) / (size * math.log(decay))))
+
+
+@dataclass(frozen=True)
+class Stage:
+    """One recursion step of a scan: ``prepare`` adds the input columns (it may
+    use the outputs of earlier stages), then the ``specs`` are evaluated."""
+    specs: Sequence[Ewm]
+    prepare: Callable[[DataFrame], DataFrame] | None = None
 
 
 def rolling_mean(value: str, n: int):
@@ -120,81 +138,87 @@ def lagged(value: str, k: int = 1):
     return build
 
 
-@dataclass(frozen=True)
-class Ewm:
-    """One recursive average ``y = (1 - alpha) * y_prev + alpha * x``.
-
-    The recursion starts at position ``start`` with ``y = x`` (pandas
-    ``ewm(adjust=False)`` skipping ``start`` leading NULLs); earlier rows give
-    NULL. ``value`` must be non-NULL from ``start`` on.
-    """
-    name: str
-    value: str
-    alpha: float
-    start: int = 0
+def _decayed_sum(field: str, block_decay: float):
+    """acc + E_k * (q^B)^(b-1-k) over the collected block ends."""
+    def merge(acc: Column, e: Column) -> Column:
+        return acc + e[f"v_{field}"] * F.pow(F.lit(block_decay), F.col(BLK) - 1 - e["k"])
+    return merge
 
-    @property
-    def decay(self) -> float:
-        return 1.0 - self.alpha
 
+def _recursion(decay: float):
+    """acc * q + s: one step of the recursion."""
+    def merge(acc: Column, v: Column) -> Column:
+        return acc * F.lit(decay) + v
+    return merge
 
-def span_alpha(span: float) -> float:
-    return 2.0 / (span + 1.0)
 
+def scan(df: DataFrame, by: str | Sequence[str], rolling: dict[str, Callable] | None = None,
+         lookback: int = 0, stages: Sequence[Stage] = ()) -> DataFrame:
+    """One pass over positioned rows: rolling frames, then recursive stages.
 
-def carry_blocks(decay: float, size: int) -> int:
-    """Blocks whose carry still matters: decay**(size*K) < DECAY_FLOOR."""
-    if decay <= 0.0:
-        return 1
-    return max(1, math.ceil(math.log(DECAY_FLOOR) / (size * math.log(decay))))
-
-
-def ewm(df: DataFrame, by: str | Sequence[str], specs: Sequence[Ewm]) -> DataFrame:
-    """Add the recursive averages of ``specs`` (block scan).
-
-    1. The input is read by two branches (block ends, rows); callers pass a
-       materialized input (``session.materialize``) when it is expensive.
-    2. Block ends ``E_b = sum_j q^(B-1-j) * s_j`` are an order-free weighted
-       sum (partial aggregation, one row per block).
-    3. The carry into block b is ``sum_d q^(B*d) * E_(b-1-d)`` over the K
-       previous blocks: each end row is spread to K target blocks and summed.
-    4. Inside the block the recursion is folded from the carry:
-       ``y_j = fold(carry, s_0..s_j)`` — the same operations, in the same
-       order, as a sequential loop.
-
-    Input must carry ``_pos``. Cost per row is O(BLOCK) for the fold; the
-    carry table has one row per block and K targets per row.
+    ``rolling`` maps names to ``f(window) -> Column`` (window ordered by
+    position) that look at most ``lookback`` rows back. Output: the input
+    columns plus every rolling and stage column; one row per input row.
     """
     keys = _keys(by)
+    rolling = rolling or {}
     size = BLOCK
+    k_max = max([carry_blocks(s.decay) for st in stages for s in st.specs], default=0)
+    halo_blocks = max(len(stages) * k_max, math.ceil(lookback / size))
+    per_sb = max(MIN_SUPERBLOCK, 4 * halo_blocks)
+
     pos = F.col(POS)
+    blk = F.floor(pos / size)
     offset = pos % size
+    own_sb = F.floor(blk / per_sb)
+    targets = F.sequence(own_sb, F.floor((blk + halo_blocks) / per_sb))
+    x = (df.withColumn(BLK, blk)
+           .withColumn(SB, F.explode(targets))
+           .withColumn(HALO, F.col(SB) != own_sb))
+
+    w_rows = Window.partitionBy(*keys, SB).orderBy(POS)
+    w_block = Window.partitionBy(*keys, SB, BLK)
+    w_fold = Window.partitionBy(*keys, SB, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    w_prev = Window.partitionBy(*keys, SB).orderBy(BLK).rangeBetween(-k_max, -1)
+
+    if rolling:
+        x = x.select("*", *[fn(w_rows).alias(name) for name, fn in rolling.items()])
+
+    for st in stages:
+        if st.prepare is not None:
+            x = st.prepare(x)
+        scaled = {}
+        for s in st.specs:
+            v = F.col(s.value).cast("double")
+            scaled[s.name] = (F.when(pos < s.start, F.lit(0.0))
+                               .when(pos == s.start, v)
+                               .otherwise(F.lit(s.alpha) * v))
+        x = x.select("*", *[e.alias(f"_s_{n}") for n, e in scaled.items()])
+        x = x.select("*", *[F.sum(F.col(f"_s_{s.name}") * F.pow(F.lit(s.decay), F.lit(size - 1) - offset))
+                            .over(w_block).alias(f"_e_{s.name}") for s in st.specs])
+        ends = F.collect_list(F.when(offset == size - 1, F.struct(
+            F.col(BLK).alias("k"), *[F.col(f"_e_{s.name}").alias(f"v_{s.name}") for s in st.specs]))).over(w_prev)
+        x = x.withColumn("_ends", ends)
+        carries = [F.aggregate(F.col("_ends"), F.lit(0.0), _decayed_sum(s.name, s.decay ** size))
+                   .alias(f"_c_{s.name}") for s in st.specs]
+        x = x.select("*", *carries)
+        folds = []
+        for s in st.specs:
+            y = F.aggregate(F.collect_list(F.col(f"_s_{s.name}")).over(w_fold), F.col(f"_c_{s.name}"),
+                            _recursion(s.decay))
+            folds.append(F.when(pos >= s.start, y).alias(s.name))
+        x = x.select("*", *folds)
+        x = x.drop("_ends", *[f"_{p}_{s.name}" for s in st.specs for p in ("s", "e", "c")])
+
+    return x.filter(~F.col(HALO)).drop(BLK, SB, HALO)
+
+
+def rolling(df: DataFrame, by: str | Sequence[str], columns: dict[str, Callable],
+            halo: int) -> DataFrame:
+    """Window expressions that look at most ``halo`` rows back (see ``scan``)."""
+    return scan(df, by, columns, lookback=halo)
+
 
-    def scaled(s: Ewm) -> Column:
-        x = F.col(s.value).cast("double")
-        return (F.when(pos < s.start, F.lit(0.0))
-                 .when(pos == s.start, x)
-                 .otherwise(F.lit(s.alpha) * x))
-
-    parts = df.withColumn(BLK, F.floor(pos / size))
-
-    k_max = max(carry_blocks(s.decay, size) for s in specs)
-    ends = parts.groupBy(*keys, BLK).agg(*[
-        F.sum(scaled(s) * F.pow(F.lit(s.decay), F.lit(size - 1) - offset)).alias(f"_end_{s.name}")
-        for s in specs])
-    carries = (ends.select("*", F.explode(F.sequence(F.lit(0), F.lit(k_max - 1))).alias("_d"))
-                   .groupBy(*keys, (F.col(BLK) + 1 + F.col("_d")).alias(BLK))
-                   .agg(*[F.sum(F.col(f"_end_{s.name}") * F.pow(F.lit(s.decay), F.col("_d") * size))
-                          .alias(f"_carry_{s.name}") for s in specs]))
-
-    w = block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
-
-    def fold(s: Ewm) -> Column:
-        q = F.lit(s.decay)
-        y = F.aggregate(F.collect_list(scaled(s)).over(w),
-                        F.coalesce(F.col(f"_carry_{s.name}"), F.lit(0.0)),
-                        lambda acc, v: acc * q + v)
-        return F.when(pos >= s.start, y)
-
-    joined = parts.join(carries, [*keys, BLK], "left")
-    return joined.select(*df.columns, *[fold(s).alias(s.name) for s in specs])
+def ewm(df: DataFrame, by: str | Sequence[str], specs: Sequence[Ewm]) -> DataFrame:
+    """Recursive averages of ``specs`` over positioned rows (see ``scan``)."""
+    return scan(df, by, stages=[Stage(specs)])
