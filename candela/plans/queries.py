@@ -290,9 +290,11 @@ def q_perf_summary(spark, d):
 
 @query("comparison_report")
 def q_report(spark, d):
+    from candela.session import materialize
     summary = C.perf_summary(C.processing_times(run_metrics_table(spark, d)))
-    accuracy = C.indicator_accuracy(C.compare_indicators(both_indicator_types(spark, d)))
-    agreement = C.signal_agreement(C.signal_counts(both_signal_types(spark, d)))
+    ind = materialize(both_indicator_types(spark, d))      # read by both halves below
+    accuracy = C.indicator_accuracy(C.compare_indicators(ind))
+    agreement = C.signal_agreement(C.signal_counts(signals(ind)))
     return rounded(C.report(summary, accuracy, agreement))
 
 
