@@ -31,6 +31,13 @@ def _first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | Non
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def new_rows(target: DataFrame, stage: DataFrame, key: Sequence[str],
+             stage_order: Sequence[str] | None = None) -> DataFrame:
+    """Staged rows whose key the target lacks (first staged row per key)."""
+    fresh = _first_per_key(stage.select(*target.columns), key, stage_order)
+    return fresh.join(target.select(*key), list(key), "left_anti")
+
+
 def insert_if_absent(target: DataFrame, stage: DataFrame, key: Sequence[str],
                      stage_order: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``target`` plus staged rows whose key is new.
@@ -38,8 +45,7 @@ def insert_if_absent(target: DataFrame, stage: DataFrame, key: Sequence[str],
     Within the stage the first row per key (by ``stage_order``) wins, like
     a bulk insert that skips conflicting rows.
     """
-    fresh = _first_per_key(stage.select(*target.columns), key, stage_order)
-    return target.unionByName(fresh.join(target.select(*key), list(key), "left_anti"))
+    return target.unionByName(new_rows(target, stage, key, stage_order))
 
 
 def merge_latest(existing: DataFrame, updates: DataFrame, key: Sequence[str],

@@ -32,3 +32,22 @@ def test_stateful_equals_batch(spark):
     batch = REGISTRY["indicators_complete"](spark, SF_SMALL)
     cols = ["date", "ticker", "sma_20", "ema_26", "macd_signal", "rsi_14"]
     assert as_set(stream, cols) == as_set(batch, cols)
+
+
+def test_end_to_end_writes_report(spark, tmp_path):
+    import json
+    import glob
+    from candela.plans.end_to_end import run_all
+    out = str(tmp_path / "e2e")
+    flat = run_all(spark, bars(spark, SF_SMALL), out).first()
+    assert flat.stream_batch_count >= 1 and flat.batch_total_time is not None
+    doc = json.loads(open(glob.glob(out + "/results/*.json")[0]).read())
+    assert set(doc) == {"streaming_performance", "batch_performance", "indicator_accuracy",
+                        "signal_agreement"}
+    # running the batch job again keeps one row per key (upsert) and no duplicate signals
+    from candela.plans import batch
+    batch.run(spark, spark.read.parquet(out + "/raw_stock_data"), out)
+    ind = spark.read.parquet(out + "/technical_indicators")
+    assert ind.count() == ind.select("date", "ticker", "processing_type").distinct().count()
+    sig = spark.read.parquet(out + "/trading_signals")
+    assert sig.count() == sig.select("date", "ticker", "processing_type", "signal_source").distinct().count()
