@@ -77,15 +77,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "candela", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can list a local checkpoint folder."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
-
-
 def materialize(df):
     """Cut the lineage of ``df`` at a point that several branches read.
 

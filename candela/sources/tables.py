@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candela.operators.bars import daily_bars_from_orders, hourly_bars_from_events
 
-# Columns each adapter needs; selecting them keeps the Parquet ReadSchema narrow.
-ORDER_COLUMNS = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"]
-EVENT_COLUMNS = ["event_id", "ts", "event_type", "value"]
-
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(data_dir, f"{name}.parquet"))
