@@ -193,22 +193,20 @@ def scan(df: DataFrame, by: str | Sequence[str], rolling: dict[str, Callable] |
             scaled[s.name] = (F.when(pos < s.start, F.lit(0.0))
                                .when(pos == s.start, v)
                                .otherwise(F.lit(s.alpha) * v))
-        x = x.select("*", *[e.alias(f"_s_{n}") for n, e in scaled.items()])
-        x = x.select("*", *[F.sum(F.col(f"_s_{s.name}") * F.pow(F.lit(s.decay), F.lit(size - 1) - offset))
+        # block ends (whole-block weighted sums)
+        x = x.select("*", *[F.sum(scaled[s.name] * F.pow(F.lit(s.decay), F.lit(size - 1) - offset))
                             .over(w_block).alias(f"_e_{s.name}") for s in st.specs])
-        ends = F.collect_list(F.when(offset == size - 1, F.struct(
-            F.col(BLK).alias("k"), *[F.col(f"_e_{s.name}").alias(f"v_{s.name}") for s in st.specs]))).over(w_prev)
-        x = x.withColumn("_ends", ends)
-        carries = [F.aggregate(F.col("_ends"), F.lit(0.0), _decayed_sum(s.name, s.decay ** size))
-                   .alias(f"_c_{s.name}") for s in st.specs]
-        x = x.select("*", *carries)
+        # ends of the K previous blocks
+        x = x.withColumn("_ends", F.collect_list(F.when(offset == size - 1, F.struct(
+            F.col(BLK).alias("k"), *[F.col(f"_e_{s.name}").alias(f"v_{s.name}") for s in st.specs])))
+            .over(w_prev))
+        # fold inside the block, starting from the carry
         folds = []
         for s in st.specs:
-            y = F.aggregate(F.collect_list(F.col(f"_s_{s.name}")).over(w_fold), F.col(f"_c_{s.name}"),
-                            _recursion(s.decay))
+            carry = F.aggregate(F.col("_ends"), F.lit(0.0), _decayed_sum(s.name, s.decay ** size))
+            y = F.aggregate(F.collect_list(scaled[s.name]).over(w_fold), carry, _recursion(s.decay))
             folds.append(F.when(pos >= s.start, y).alias(s.name))
-        x = x.select("*", *folds)
-        x = x.drop("_ends", *[f"_{p}_{s.name}" for s in st.specs for p in ("s", "e", "c")])
+        x = x.select("*", *folds).drop("_ends", *[f"_e_{s.name}" for s in st.specs])
 
     return x.filter(~F.col(HALO)).drop(BLK, SB, HALO)
 
