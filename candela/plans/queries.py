@@ -8,6 +8,7 @@ same values compares equal (no result here sits on a 4-decimal tie).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,6 +149,8 @@ JDBC_PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
 @query("scan_jdbc")
 def q_scan_jdbc(spark, d):
+    # The in-process database would otherwise write derby.log into the working directory.
+    spark.sparkContext._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
     b = bars(spark, d).withColumn("day", F.datediff("date", F.lit("1970-01-01")))
     files.write_jdbc(b, JDBC_URL, "raw_stock_data", "ticker VARCHAR(32)", JDBC_PROPS)
     lo_hi = b.agg(F.min("day"), F.max("day")).first()
