@@ -135,7 +135,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text",
                 pa.array(cleaned, pa.string()) if spans else texts]
     return map_batches(docs, judge, [
         ("n_words", "long"), ("n_hit", "long"), ("items", "array<string>"),
-        ("spans", "array<struct<start:long,end:long>>"), ("cleaned", "string")])
+        ("spans", "array<struct<start:long,end:long>>"), ("cleaned", "string")], text)
 
 
 def contaminated(one_in: int = 20):

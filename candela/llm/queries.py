@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.session import prepare
+from candela.llm.ship import prepared
 from candela.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,7 @@ def vocabulary(name: str) -> str:
 @query("op5_token_counts")
 def q_token_counts(spark, d):
     from candela.llm.token_counts import count_tokens
-    docs = table(prepare(spark), d, "documents").select("doc_id", "text")
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
     return (count_tokens(docs, vocabulary("byte_bpe_50k.json"))
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
@@ -40,7 +40,7 @@ def q_token_counts(spark, d):
 @query("op9_decontaminate")
 def q_decontaminate(spark, d):
     from candela.llm.decontaminate import contaminated, scan
-    docs = table(prepare(spark), d, "documents").select("doc_id", "text")
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
     found = scan(docs, table(spark, d, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -50,5 +50,22 @@ def q_decontaminate(spark, d):
 @query("op10_url_filters")
 def q_url_filters(spark, d):
     from candela.llm.urls import judge_urls
-    pages = table(prepare(spark), d, "pages").select("page_id", "url")
+    pages = table(prepared(spark), d, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op1_best_fit_packing")
+def q_packing(spark, d):
+    from candela.llm.packing import pack_documents
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
+    return (pack_documents(docs, vocabulary("byte_bpe_50k.json"))
+            .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
+
+
+@query("op3_quality_classifier")
+def q_quality(spark, d):
+    from candela.llm.quality import held_out, score, train
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").filter(~held_out())
+    scored = score(docs, train(docs, labels))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")

@@ -224,22 +224,36 @@ def bounds(sorted_rows: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(sorted_rows, np.arange(n + 1))
 
 
-def map_batches(df, fn, fields: list[tuple[str, str]]):
+def slices(batch, column: int, limit: int = 4 * CHUNK_BYTES):
+    """Parts of a record batch with about ``limit`` bytes in a text column (one row at least)."""
+    _data, offsets = utf8_column(batch.column(column))
+    a = 0
+    while a < batch.num_rows:
+        b = int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1
+        b = min(max(b, a + 1), batch.num_rows)
+        yield batch.slice(a, b - a)
+        a = b
+
+
+def map_batches(df, fn, fields: list[tuple[str, str]], text: str | None = None):
     """``df`` with columns added by ``fn(RecordBatch) -> list of arrays`` in map tasks.
 
-    An input column with the name of an added one gives way to it.
+    An input column with the name of an added one gives way to it. With
+    ``text``, batches are divided so that this column stays small in memory.
     """
     added = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields))
     names = {f.name.lower() for f in added.fields}
     keep = [i for i, c in enumerate(df.columns) if c.lower() not in names]
     schema = T.StructType([df.schema.fields[i] for i in keep] + added.fields)
+    at = None if text is None else df.columns.index(text)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                new = fn(batch)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(i) for i in keep] + [pa.array(x) if isinstance(x, np.ndarray) else x
-                                                       for x in new],
-                    names=[batch.schema.names[i] for i in keep] + [f.name for f in added.fields])
+        for whole in batches:
+            for batch in ([whole] if at is None else slices(whole, at)):
+                if batch.num_rows:
+                    new = fn(batch)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(i) for i in keep]
+                        + [pa.array(x) if isinstance(x, np.ndarray) else x for x in new],
+                        names=[batch.schema.names[i] for i in keep] + [f.name for f in added.fields])
     return df.mapInArrow(run, schema)

@@ -73,4 +73,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 10
         n = encoder(path).counts(data, offsets, frequent.value)
         return [np.diff(offsets), n, n > limit]
     return map_batches(docs, count, [("n_bytes", "long"), ("n_tokens", "long"),
-                                     ("over_limit", "boolean")])
+                                     ("over_limit", "boolean")], text)
