@@ -200,8 +200,8 @@ def _mapped(df: DataFrame, fn, names: list[str]) -> DataFrame:
     return df.select(*keep, "rank").mapInArrow(run, ", ".join([kinds, *(f"{n} long" for n in names)]))
 
 
-def pack(items: DataFrame, key: str = "doc_id", capacity: int = 1024, groups: int = 512,
-         small_below: int = 96) -> DataFrame:
+def pack(items: DataFrame, key: str = "doc_id", capacity: int = 1024, groups: int = 4096,
+         small_below: int = 256) -> DataFrame:
     """``items`` (see :func:`pieces`) with sequence_id and offset.
 
     ``items`` is read several times; write it to a table before. Lengths under
