@@ -49,3 +49,42 @@ fit AS (
   FROM u JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
 SELECT u.page_id, host, path, rule, coalesce(rv, 'allow') AS verdict
 FROM u LEFT JOIN (SELECT * FROM fit WHERE k = 1) f ON u.page_id = f.page_id"""
+
+ORACLES["op2_line_dedup"] = r"""
+WITH page AS (
+  SELECT row_number() OVER () AS page, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+line AS (
+  SELECT DISTINCT page, source, trim(l, chr(32) || chr(9) || chr(13)) AS k
+  FROM (SELECT page, source, unnest(lines) AS l FROM page)
+  WHERE trim(l, chr(32) || chr(9) || chr(13)) <> ''),
+site AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+drops AS (
+  SELECT source, k FROM line GROUP BY source, k
+  HAVING count(*) > 0.1 * (SELECT n FROM site WHERE site.source IS NOT DISTINCT FROM line.source)
+     AND (SELECT n FROM site WHERE site.source IS NOT DISTINCT FROM line.source) >= 10),
+dropped AS (SELECT source, list(k) AS ks FROM drops GROUP BY 1),
+judged AS (
+  SELECT doc_id, p.source, text, lines,
+         list_filter(lines, lambda l: NOT list_contains(coalesce(ks, []), trim(l, chr(32) || chr(9) || chr(13)))) AS kept
+  FROM page p LEFT JOIN dropped d ON p.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, source, CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(kept, chr(10)), '') END AS text,
+       CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(lines) - len(kept), 0) AS BIGINT) AS n_dropped
+FROM judged"""
+
+ORACLES["op8_embedding_near_dedup"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+good AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT v.vec_id, coalesce(l.n, 0) AS n_links, r.c AS component_id, v.vec_id = r.c AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY 1) l ON l.a = v.vec_id
+JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) r ON r.a = v.vec_id"""

@@ -69,3 +69,17 @@ def q_quality(spark, d):
     labels = table(spark, d, "labels").filter(~held_out())
     scored = score(docs, train(docs, labels))
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op2_line_dedup")
+def q_line_dedup(spark, d):
+    from candela.llm.lines import dedup_lines
+    docs = table(prepared(spark), d, "documents").select("doc_id", "source", "text")
+    return dedup_lines(docs)
+
+
+@query("op8_embedding_near_dedup")
+def q_embeddings(spark, d):
+    from candela.llm.embeddings import near_duplicates
+    vectors = table(prepared(spark), d, "embeddings").select("vec_id", "embedding")
+    return near_duplicates(vectors)
