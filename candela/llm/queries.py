@@ -83,3 +83,13 @@ def q_embeddings(spark, d):
     from candela.llm.embeddings import near_duplicates
     vectors = table(prepared(spark), d, "embeddings").select("vec_id", "embedding")
     return near_duplicates(vectors)
+
+
+@query("op6_token_files")
+def q_token_files(spark, d):
+    from candela.llm.token_files import read_tokens, write_tokens
+    from candela.session import scratch_path
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "token-files")
+    write_tokens(docs, path, vocabulary("word_bpe_49k.json"))
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
