@@ -39,6 +39,7 @@ from candela.llm.pretokens import encoder
 from candela.llm.textops import slices, utf8_column
 
 MAGIC = b"RPG1"
+_SPREAD, _SLOTS = np.uint32(2654435769), 17
 
 
 def _rounds(symbols: np.ndarray, closing: np.ndarray, first: int, batch: int, least: int, stop: float):
@@ -60,14 +61,15 @@ def _rounds(symbols: np.ndarray, closing: np.ndarray, first: int, batch: int, le
         room = min(batch, (1 << 16) - at)
         if len(frequent) > room:
             frequent = frequent[np.argpartition(uses[frequent], -room)[-room:]]
-        chosen = np.sort(ordered[starts[frequent]])
-        heads, tails = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
-        heads[chosen >> np.uint32(16)] = True
-        tails[chosen & np.uint32(0xFFFF)] = True
-        places = np.flatnonzero(heads[left] & tails[right] & free)
-        rule = np.searchsorted(chosen, pairs[places])
-        hit = chosen[np.minimum(rule, len(chosen) - 1)] == pairs[places]
-        places, rule = places[hit], rule[hit]
+        chosen = ordered[starts[frequent]]
+        # a table without collisions; a pair whose slot is taken waits for the next round
+        slot, first_in = np.unique((chosen * _SPREAD) >> np.uint32(32 - _SLOTS), return_index=True)
+        chosen = chosen[first_in]
+        rule_of = np.zeros(1 << _SLOTS, np.uint16)
+        rule_of[slot] = np.arange(len(chosen))
+        rule = rule_of[(pairs * _SPREAD) >> np.uint32(32 - _SLOTS)]
+        places = np.flatnonzero((chosen[rule] == pairs) & free)
+        rule = rule[places].astype(np.int64)
         # of neighbouring places, the first, third, ... are replaced
         run = np.append(True, np.diff(places) != 1)
         since = np.arange(len(places)) - np.maximum.accumulate(np.where(run, np.arange(len(places)), 0))
@@ -88,8 +90,8 @@ def _rounds(symbols: np.ndarray, closing: np.ndarray, first: int, batch: int, le
     return symbols, np.stack([flat >> np.uint32(16), flat & np.uint32(0xFFFF)], 1)
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, end_id: int = 2, batch: int = 2048, least: int = 16,
-             stop: float = 0.02) -> bytes:
+def compress(ids: np.ndarray, ends: np.ndarray, end_id: int = 2, batch: int = 4096, least: int = 16,
+             stop: float = 0.01) -> bytes:
     """The blob of one shard: ``ids`` of all documents, ``ends`` of each in ids."""
     top = int(ids.max()) if len(ids) else 0
     n_tokens, small = len(ids), top < 1 << 16
