@@ -34,6 +34,7 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
+_ODD = _CLASS == ODD
 _SUFFIX = np.zeros(256, bool)
 _SUFFIX[[ord(x) for x in "sStTrRvVmMlLdD"]] = True
 
@@ -50,12 +51,15 @@ def _byte_classes(data: np.ndarray) -> np.ndarray:
     return c
 
 
-def _odd_places(data: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    odd = classes == ODD
+def _odd_places(data: np.ndarray) -> np.ndarray:
+    """Bytes that the classes don't cover, contractions, and "<|" of special strings."""
+    odd = np.flatnonzero(_ODD[data])
+    if len(odd):  # most are the two bytes of a Latin-1 letter
+        letter = (data[odd] == 0xC3) | (data[np.maximum(odd - 1, 0)] == 0xC3) & (odd > 0)
+        odd = odd[~letter]
     quote = np.flatnonzero(data[:-1] == 39)
-    odd[quote[_SUFFIX[data[quote + 1]]]] = True
-    odd[np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))] = True  # "<|" of special strings
-    return np.flatnonzero(odd)
+    bar = np.flatnonzero(data[:-1] == 60)
+    return np.concatenate([odd, quote[_SUFFIX[data[quote + 1]]], bar[data[bar + 1] == 124]])
 
 
 def byte_level_spans(data, classes, first):
@@ -103,6 +107,12 @@ class PreTokenEncoder:
         by_byte = kind["normalizer"] is None
         self.lower = not by_byte
         self.spans = byte_level_spans if by_byte else word_spans
+        names = self.library.get_vocab()
+        size = max(names.values()) + 1
+        self.marks = np.zeros(size, bool)  # ids that begin (byte level) or end (words) a pre-token
+        for name, i in names.items():
+            self.marks[i] = name.startswith("\u0120") if by_byte else name.endswith("</w>")
+        self.newline = names.get("\u010a", -1)
         self.capacity = capacity
         self._reset()
 
@@ -116,14 +126,59 @@ class PreTokenEncoder:
     def library_ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode(self, words: list[str], block: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+        """(ids joined, lengths) of pre-tokens, many to a call of the library.
+
+        Words go out joined such that the library divides them again at the
+        same places, and the ids show these: byte-level words that begin with
+        a space have the only id with a space in front, others are divided by
+        line ends; ids of the other vocabulary tell where a word ends. A block
+        whose ids don't give as many words is encoded word by word.
+        """
+        if self.lower:
+            kinds = [np.arange(len(words))]
+        else:
+            spaced = np.array([w[0] == " " and len(w) > 1 and w[1] != " " for w in words], bool)
+            other = np.array([w[0].isspace() for w in words], bool) & ~spaced
+            kinds = [np.flatnonzero(spaced), np.flatnonzero(~spaced & ~other), np.flatnonzero(other)]
+        order, flat, lens = [], [], []
+        for kind, members in enumerate(kinds):
+            joint = (" ", "", "\n", None)[0 if self.lower else kind + 1]
+            for a in range(0, len(members), block):
+                mine = members[a:a + block]
+                text = [words[i] for i in mine.tolist()]
+                order.append(mine)
+                if joint is not None:
+                    ids = np.array(self.library_ids([joint.join(text)])[0], np.uint32)
+                    if joint == "\n":
+                        ends = np.append(np.flatnonzero(ids == self.newline), len(ids))
+                        n = np.diff(ends, prepend=-1) - 1
+                        ids = ids[ids != self.newline]
+                    elif joint == "":
+                        n = np.diff(np.append(np.flatnonzero(self.marks[ids]), len(ids)))
+                    else:
+                        n = np.diff(np.flatnonzero(self.marks[ids]), prepend=-1)
+                    if len(n) == len(text) and int(n.sum()) == len(ids) and (n > 0).all():
+                        flat.append(ids)
+                        lens.append(n)
+                        continue
+                each = self.library_ids(text)
+                lens.append(np.array([len(x) for x in each], np.int64))
+                flat.append(np.array([x for y in each for x in y], np.uint32))
+        order, flat, lens = np.concatenate(order), np.concatenate(flat), np.concatenate(lens)
+        # back to the words' order
+        start = np.cumsum(lens) - lens
+        back = np.argsort(order)
+        n = lens[back]
+        at = np.repeat(start[back] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return flat[at], n.astype(np.int32)
+
     def _learn(self, data, s, e, h, miss) -> np.ndarray:
         """Encode the unknown pre-tokens by the library; their indexes."""
         new, at = np.unique(h[miss], return_index=True)
         where = miss[at]
         raw = data.tobytes()
-        ids = self.library_ids([raw[a:b].decode() for a, b in zip(s[where].tolist(), e[where].tolist())])
-        lens = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter((x for y in ids for x in y), np.uint32, int(lens.sum()))
+        flat, lens = self._encode([raw[a:b].decode() for a, b in zip(s[where].tolist(), e[where].tolist())])
         n, base = len(new), self.table.count
         for name, need in (("pool", self.used + len(flat)), ("start", base + n), ("length", base + n)):
             have = getattr(self, name)
@@ -147,7 +202,7 @@ class PreTokenEncoder:
         plain = np.ones(len(offsets) - 1, bool)
         for rows, starts, a, b in chunks(data, offsets, cut=cut_before_space):
             part = data[a:b]
-            odd = _odd_places(part, _byte_classes(part))
+            odd = _odd_places(part)
             if len(odd):
                 plain[rows[np.searchsorted(starts, odd, "right") - 1]] = False
         for row in np.flatnonzero(~plain):
