@@ -93,3 +93,10 @@ def q_token_files(spark, d):
     path = scratch_path(spark, "token-files")
     write_tokens(docs, path, vocabulary("word_bpe_49k.json"))
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op4_ngram_jaccard_join")
+def q_jaccard(spark, d):
+    from candela.llm.jaccard import link_documents
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
+    return link_documents(docs)
