@@ -100,3 +100,10 @@ def q_jaccard(spark, d):
     from candela.llm.jaccard import link_documents
     docs = table(prepared(spark), d, "documents").select("doc_id", "text")
     return link_documents(docs)
+
+
+@query("op7_suffix_array_dedup")
+def q_suffix(spark, d):
+    from candela.llm.suffix import remove_repeats
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
