@@ -107,3 +107,9 @@ def q_suffix(spark, d):
     from candela.llm.suffix import remove_repeats
     docs = table(prepared(spark), d, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("pipeline")
+def q_pipeline(spark, d):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, d)
