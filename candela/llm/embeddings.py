@@ -6,20 +6,21 @@ smallest hashes of their ids). The ``k * k`` pairs of centroids are the cells
 of the index, which holds every vector. For a query, a multi-sequence
 traversal visits cells in the order of a lower bound of their distance: for
 each half, the distance to the plane between the query's own centroid and the
-cell's. It ends where the bound exceeds the linking distance for the recall
-that is wanted: ``radius * recall_factor``. With the factor 1 (default) no
-linked vector can lie in a cell that is not visited, so recall is 1; smaller
-factors visit fewer cells.
-
-Equal vectors are collapsed to one with a count before. Members of a cell are
-stored in blocks of about ``block`` vectors; visits of a block to a cell form a
-block as well, and a join of blocks on the cell gives matrix products of
+cell's. It ends where the bound exceeds a reach fitted for the ``recall`` that
+is wanted: neighbours at exactly the linking cosine are drawn in random
+directions around sample vectors, and the reach covers the cells of that share
+of them. Nearer neighbours are found more often. With ``recall`` 1 the reach is
+the linking distance itself, beyond which no linked vector can lie.
+
+Equal vectors are collapsed to one with a count before. A cell's members are
+dealt to blocks of about ``block`` vectors and its visitors to blocks of about
+four times as many; a join of blocks on the cell gives matrix products of
 bounded size, whatever a cell holds. A product gives each vector's number of
 links and a spanning forest of its links, never all pairs. Cosines are
 computed in double precision, and only those of at least ``threshold`` count.
 
-Vectors that are null, zero, of another length than most of the sample, or
-hold null or non-finite components link with nothing. Repeated rows are equal
+Vectors that are null, zero, of another length than most of the sample, have a
+null id, or hold null or non-finite components link with nothing. Repeated rows are equal
 vectors. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -28,12 +29,12 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.llm.components import components
+from candela.llm.textops import arrow_rows
 from candela.session import materialize
 
 
@@ -78,6 +79,17 @@ class MultiIndex:
         a, b = (_nearest(h, c) for h, c in zip(self._halves(x), self.books))
         return a * self.k + b
 
+    def bounds(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The lower bound from each x to the cell of its y."""
+        total, rows = np.zeros(len(x)), np.arange(len(x))
+        for a, b, c, gap in zip(self._halves(x), self._halves(y), self.books, self.gaps):
+            d, to = _squares(a, c), _nearest(b, c)
+            near = d.argmin(1)
+            between = gap[near, to]
+            plane = (d[rows, to] - d[rows, near]) / np.where(between > 0, 2 * between, np.inf)
+            total += np.maximum(plane, 0) ** 2
+        return np.sqrt(total)
+
     def visits(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, cell) of all visits to the own cell and those after it, and the own cells."""
         orders, lists = [], []
@@ -126,9 +138,23 @@ def _forest(n_left: int, left: np.ndarray, right: np.ndarray, ids: np.ndarray) -
             return label
 
 
+def fitted_reach(index: MultiIndex, sample: np.ndarray, threshold: float, recall: float) -> float:
+    """The bound within which a share ``recall`` of neighbours at the threshold have their cells."""
+    widest = float(np.sqrt(2 - 2 * threshold))
+    if recall >= 1:
+        return widest
+    rng = np.random.default_rng(5)
+    x = sample[rng.integers(0, len(sample), 20_000)]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    bound = index.bounds(x, threshold * x + np.sqrt(1 - threshold ** 2) * side)
+    return min(widest, float(np.quantile(bound, recall)))
+
+
 def links(vectors: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding",
           k: int | None = None, sample: int = 20_000, block: int = 512,
-          recall_factor: float = 1.0) -> tuple[DataFrame, DataFrame, DataFrame]:
+          recall: float = 0.999) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups of equal vectors, link counts, forest edges); see :func:`near_duplicates`.
 
     The first has rep, copies and the vector; the second rep and n_links to
@@ -138,74 +164,69 @@ def links(vectors: DataFrame, threshold: float = 0.95, key: str = "vec_id", vect
     good = (F.col(vector).isNotNull() & (F.size(vector) > 0)
             & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
             & F.exists(vector, lambda x: x != 0))
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("x")).filter(good)
+    rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("x")).filter(good & F.col("id").isNotNull())
     groups = materialize(rows.groupBy("x").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     total = groups.count()
     picked = [r[0] for r in groups.orderBy(F.xxhash64("rep")).limit(sample).select("x").collect()]
     if not picked:
-        empty = spark.createDataFrame([], "rep long, n_links long"), spark.createDataFrame([], "a long, b long")
-        return groups, *empty
-    dims = pd.Series([len(x) for x in picked])
-    dim = int(dims.mode()[0])
-    k = k or int(min(256, max(4, round(total ** 0.5 / 4))))
-    index = spark.sparkContext.broadcast(MultiIndex(unit([x for x in picked if len(x) == dim], dim), k))
-    radius = recall_factor * float(np.sqrt(2 - 2 * threshold))
-    cells = groups.filter(F.size("x") == dim)
+        return groups, spark.createDataFrame([], "rep long, n_links long"), spark.createDataFrame([], "a long, b long")
+    dims = np.bincount([len(x) for x in picked])
+    dim = int(dims.argmax())
+    fitted = unit([x for x in picked if len(x) == dim], dim)
+    made = MultiIndex(fitted, k or int(min(512, max(4, round(total ** 0.5 / 6)))))
+    index = spark.sparkContext.broadcast((made, fitted_reach(made, fitted, threshold, recall)))
 
     def locate(batches):
+        made, reach = index.value
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                x = unit(part.column(2).flatten().to_numpy(), dim)
-                query, cell, own = index.value.visits(x, radius)
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                flat = part.column(2).flatten().to_numpy()
+                query, cell, own = made.visits(unit(flat, dim), reach)
                 at = pa.array(query)
+                raw = [v.tobytes() for v in flat.reshape(-1, dim)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[query]), pa.array(cell), part.column(0).take(at), part.column(1).take(at),
-                     pa.array([v.tobytes() for v in x], pa.binary()).take(at)],
-                    names=["own", "cell", "id", "copies", "x"])
-    visits = materialize(cells.select("rep", "copies", "x").mapInArrow(
-        locate, "own long, cell long, id long, copies long, x binary"))
-    sizes = visits.filter("own = cell").groupBy("own").agg(F.ceil(F.count("*") / block).alias("parts"))
-    pieces = (visits.join(sizes, "own").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-              .groupBy("own", "part", "cell").agg(F.collect_list(F.struct("id", "copies", "x")).alias("rows")))
-    pieces = materialize(pieces)
-    members = pieces.filter("own = cell").select(F.col("cell"), F.col("part").alias("part2"), F.col("rows").alias("rows2"))
-    pairs = (pieces.join(members, "cell").filter("own < cell OR part <= part2")
-             .select((F.col("own") == F.col("cell")).alias("inside"),
-                     (F.col("part") == F.col("part2")).alias("same"), "rows", "rows2"))
+                    [pa.array(own[query] == cell), pa.array(cell), part.column(0).take(at), part.column(1).take(at),
+                     pa.array(raw, pa.binary()).take(at)], names=["inside", "cell", "id", "copies", "x"])
+    kind = np.float32 if groups.schema["x"].dataType.elementType.simpleString() == "float" else np.float64
+    visits = materialize(groups.filter(F.size("x") == dim).select("rep", "copies", "x").mapInArrow(
+        locate, "inside boolean, cell long, id long, copies long, x binary"))
+    sizes = visits.groupBy("cell").agg(F.ceil(F.count("*") / (4 * block)).alias("all_parts"),
+                                       F.greatest(F.lit(1), F.ceil(F.sum(F.col("inside").cast("int")) / block)).alias("parts"))
+    dealt = materialize(visits.join(sizes, "cell"))  # one row a cell: at most k * k
+
+    def blocks(rows: DataFrame, parts: str, *fields: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("id"), F.col(parts)).alias("part")
+        return rows.groupBy("cell", part).agg(F.collect_list(F.struct(*fields)).alias("rows")).drop("part")
+    visitors = blocks(dealt, "all_parts", "id", "copies", "x", "inside")
+    members = blocks(dealt.filter("inside"), "parts", "id", "copies", "x").withColumnRenamed("rows", "members")
 
     def multiply(batches):
         def arrays(column, i):
             s = column[i].values
-            return (s.field("id").to_numpy(), s.field("copies").to_numpy(),
-                    np.frombuffer(b"".join(s.field("x").to_pylist()), np.float64).reshape(-1, dim))
+            raw = b"".join(s.field("x").to_pylist())
+            return (s.field("id").to_numpy(), s.field("copies").to_numpy(), unit(np.frombuffer(raw, kind), dim), s)
         for batch in batches:
             for i in range(batch.num_rows):
-                a, n, x = arrays(batch.column(2), i)
-                b, m, y = arrays(batch.column(3), i)
-                linked = x @ y.T >= threshold
-                whole = batch.column(0)[i].as_py() and batch.column(1)[i].as_py()
-                if whole:  # a block with itself: each pair is in the product twice
-                    linked &= a[:, None] != b[None, :]
+                a, n, x, s = arrays(batch.column(0), i)
+                b, m, y, _ = arrays(batch.column(1), i)
+                inside = s.field("inside").to_numpy(zero_copy_only=False)
+                linked = (x @ y.T >= threshold) & (a[:, None] != b[None, :])
                 left, right = np.nonzero(linked)
                 if not len(left):
                     continue
+                # a visitor from the same cell is a member as well and counts its links itself
+                once = ~inside[left]
+                count = np.concatenate([np.bincount(left, m[right], len(a)),
+                                        np.bincount(right[once], n[left[once]], len(b))]).astype(np.int64)
                 ids = np.concatenate([a, b])
-                if whole:
-                    where = np.argsort(b)
-                    same = where[np.searchsorted(b[where], a)]
-                    label = _forest(len(a), np.concatenate([left, np.arange(len(a))]), np.concatenate([right, same]), ids)
-                    count = np.bincount(left, m[right], len(a))
-                    found = count > 0
-                    out = a[found], count[found], label[:len(a)][found]
-                else:
-                    label = _forest(len(a), left, right, ids)
-                    count = np.concatenate([np.bincount(left, m[right], len(a)), np.bincount(right, n[left], len(b))])
-                    found = count > 0
-                    out = ids[found], count[found], label[found]
-                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1].astype(np.int64)), pa.array(out[2])],
+                label = _forest(len(a), left, right, ids)
+                found = (count > 0) | (label != ids)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[found]), pa.array(count[found]), pa.array(label[found])],
                                                  names=["rep", "n", "root"])
-    found = materialize(pairs.mapInArrow(multiply, "rep long, n long, root long"))
+    with arrow_rows(spark, 16):  # blocks are large
+        found = materialize(visitors.join(members, "cell").select("rows", "members")
+                            .mapInArrow(multiply, "rep long, n long, root long"))
     counts = found.groupBy("rep").agg(F.sum("n").alias("n_links"))
     return groups, counts, found.select(F.col("rep").alias("a"), F.col("root").alias("b"))
 
@@ -216,7 +237,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, key: str = "vec
     groups, counts, edges = links(vectors, threshold, key, vector, **index)
     reps = (groups.select("x", "rep", "copies").join(counts, "rep", "left")
             .join(components(edges).withColumnsRenamed({"node": "rep"}), "rep", "left"))
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("x"))
+    rows = vectors.select(F.col(key).alias("id"), F.when(F.col(key).isNotNull(), F.col(vector)).alias("x"))
     return (rows.join(reps, "x", "left")
             .withColumn("component_id", F.coalesce("component", "rep", "id"))
             .select(F.col("id").alias(key),

@@ -9,12 +9,14 @@ runs per word.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import types as T
 
 #: Bytes handled at once; temporaries take about 60 bytes for each of them.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -224,7 +226,7 @@ def bounds(sorted_rows: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(sorted_rows, np.arange(n + 1))
 
 
-def slices(batch, column: int, limit: int = 4 * CHUNK_BYTES):
+def slices(batch, column: int, limit: int = 2 * CHUNK_BYTES):
     """Parts of a record batch with about ``limit`` bytes in a text column (one row at least)."""
     _data, offsets = utf8_column(batch.column(column))
     a = 0
@@ -235,6 +237,18 @@ def slices(batch, column: int, limit: int = 4 * CHUNK_BYTES):
         a = b
 
 
+@contextmanager
+def arrow_rows(spark, rows: int):
+    """Jobs inside send at most ``rows`` rows at once to Python; the session's setting returns after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_batches(df, fn, fields: list[tuple[str, str]], text: str | None = None):
     """``df`` with columns added by ``fn(RecordBatch) -> list of arrays`` in map tasks.
 
