@@ -14,8 +14,10 @@ Semantics follow pandas as used for daily bars:
 
 Every function takes the series key ``by`` (default ticker), the order column
 (default date) and the value column (default close), and returns the input
-columns plus the indicator columns. Rows with a NULL value are outside the
-contract (the quality gate removes them) and are filtered first.
+columns plus the indicator columns. Rows with a NULL value or date are outside
+the contract (``quality.quarantine`` counts and keeps them) and are filtered
+first. Numbering reads its input twice (chunk counts and rows), so give these
+functions a stored table with the columns they need, not a long plan.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions import series as S
-from candela.session import materialize
 from candela.functions.series import Ewm, span_alpha
 
 BY = ("ticker",)
@@ -34,16 +35,11 @@ ORDER = "date"
 VALUE = "close"
 
 
-def _base(df: DataFrame, value: str) -> DataFrame:
-    """Rows with a value, materialized: numbering reads them twice (chunk
-    counts and rows), and they are usually an aggregate of a large scan."""
-    return materialize(df.filter(F.col(value).isNotNull()))
-
-
 def _positioned(df: DataFrame, by, order: str, value: str) -> tuple[DataFrame, bool]:
     if S.POS in df.columns:
         return df, False
-    return S.with_position(_base(df, value), by, order), True
+    valued = df.filter(F.col(value).isNotNull() & F.col(order).isNotNull())
+    return S.with_position(valued, by, order), True
 
 
 def _finish(df: DataFrame, added: bool) -> DataFrame:
@@ -90,9 +86,8 @@ def wilder_avg(df: DataFrame, window: int = 14, *, by=BY, order=ORDER, value=VAL
     """Wilder averages of gains and losses (the two halves of RSI)."""
     p, added = _positioned(df, by, order, value)
     a = 1.0 / window
-    out = S.scan(p, by, {"_prev": S.lagged(value)}, lookback=1, stages=[
-        S.Stage([Ewm(up_name, "_up", a, start=1), Ewm(down_name, "_down", a, start=1)],
-                prepare=lambda x: _up_down(x, value))])
+    out = S.scan(p, by, {"_prev": S.lagged(value)}, lookback=1, prepare=lambda x: _up_down(x, value),
+                 specs=[Ewm(up_name, "_up", a, start=1), Ewm(down_name, "_down", a, start=1)])
     return _finish(out.drop("_prev", "_up", "_down"), added)
 
 
@@ -113,12 +108,11 @@ def rsi(df: DataFrame, window: int = 14, *, by=BY, order=ORDER, value=VALUE,
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, *, by=BY,
          order=ORDER, value=VALUE) -> DataFrame:
     p, added = _positioned(df, by, order, value)
-    out = S.scan(p, by, stages=[
-        S.Stage([Ewm("_fast", value, span_alpha(fast)), Ewm("_slow", value, span_alpha(slow))]),
-        S.Stage([Ewm("macd_signal", "macd", span_alpha(signal))],
-                prepare=lambda x: x.withColumn("macd", F.col("_fast") - F.col("_slow"))),
-    ])
-    out = (out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    out = S.scan(p, by, specs=[
+        Ewm("_fast", value, span_alpha(fast)), Ewm("_slow", value, span_alpha(slow)),
+        Ewm("macd_signal", {"_fast": 1.0, "_slow": -1.0}, span_alpha(signal))])
+    out = (out.withColumn("macd", F.col("_fast") - F.col("_slow"))
+              .withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
               .drop("_fast", "_slow"))
     return _finish(out, added)
 
@@ -135,37 +129,42 @@ def bollinger(df: DataFrame, window: int = 20, num_std: float = 2.0, *, by=BY,
     return _finish(out, added)
 
 
-def with_indicators(df: DataFrame, *, by=BY, order=ORDER, value=VALUE) -> DataFrame:
-    """All twelve indicators in one pass (the wide indicator row).
+#: The recursive averages of the wide row.
+AVERAGES = (Ewm("ema_12", VALUE, span_alpha(12)), Ewm("ema_26", VALUE, span_alpha(26)),
+            Ewm("_avg_up", "_up", 1.0 / 14, start=1), Ewm("_avg_down", "_down", 1.0 / 14, start=1),
+            Ewm("macd_signal", {"ema_12": 1.0, "ema_26": -1.0}, span_alpha(9)))
+
 
-    One numbering, then one shuffle by (ticker, superblock) and one chain of
-    window operators: SMA 5/10/20, STD 20 and the previous value as rolling
-    frames; EMA 12/26 and both Wilder averages as the first recursive stage;
-    the MACD signal, which recurses over the MACD line, as the second.
+def scan_indicators(positioned: DataFrame, *, by=BY, value=VALUE, seeds: dict[str, str] | None = None,
+                    history: str | None = None) -> DataFrame:
+    """All twelve indicators and their recursion state (``_avg_up``, ``_avg_down``) of positioned rows.
+
+    One shuffle by (ticker, superblock) and one sort: SMA 5/10/20, STD 20 and
+    the previous value as rolling frames, then all averages as one recursion.
+    ``seeds`` and ``history`` continue a series (see ``series.scan``).
     """
-    p = S.with_position(_base(df, value), by, order)
-    out = S.scan(p, by, {
+    specs = [Ewm(s.name, value if s.value == VALUE else s.value, s.alpha, s.start) for s in AVERAGES]
+    out = S.scan(positioned, by, {
         "sma_5": S.rolling_mean(value, 5),
         "sma_10": S.rolling_mean(value, 10),
         "sma_20": S.rolling_mean(value, 20),
         "_std_20": S.rolling_std(value, 20),
         "_prev": S.lagged(value),
-    }, lookback=19, stages=[
-        S.Stage([Ewm("ema_12", value, span_alpha(12)),
-                 Ewm("ema_26", value, span_alpha(26)),
-                 Ewm("_avg_up", "_up", 1.0 / 14, start=1),
-                 Ewm("_avg_down", "_down", 1.0 / 14, start=1)],
-                prepare=lambda x: _up_down(x, value)),
-        S.Stage([Ewm("macd_signal", "macd", span_alpha(9))],
-                prepare=lambda x: x.withColumn("macd", F.col("ema_12") - F.col("ema_26"))),
-    ])
+    }, lookback=19, prepare=lambda x: _up_down(x, value), specs=specs, seeds=seeds, history=history)
     two = F.lit(2.0)
-    return (out.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    return (out.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
+               .withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
                .withColumn("rsi_14", rsi_from(F.col("_avg_up"), F.col("_avg_down")))
                .withColumn("bollinger_upper", F.col("sma_20") + F.col("_std_20") * two)
                .withColumn("bollinger_middle", F.col("sma_20"))
                .withColumn("bollinger_lower", F.col("sma_20") - F.col("_std_20") * two)
-               .drop(S.POS, "_std_20", "_prev", "_up", "_down", "_avg_up", "_avg_down"))
+               .drop("_std_20", "_prev", "_up", "_down"))
+
+
+def with_indicators(df: DataFrame, *, by=BY, order=ORDER, value=VALUE) -> DataFrame:
+    """All twelve indicators in one pass (the wide indicator row)."""
+    p, _added = _positioned(df, by, order, value)
+    return scan_indicators(p, by=by, value=value).drop(S.POS, "_avg_up", "_avg_down")
 
 
 def complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:

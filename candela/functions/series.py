@@ -12,21 +12,20 @@ a ticker can hold a third of all rows. Windows here are partitioned by
    series in one task: rows are cut into calendar chunks, chunk sizes are
    counted (partial aggregation), prefix-summed over the small chunk table and
    added to a row number inside each (key, chunk).
-2. Positions are grouped into blocks of ``BLOCK`` rows and blocks into
-   superblocks. ``scan`` shuffles the rows once by (key, superblock); every
-   superblock also receives a copy of the blocks just before it (the halo),
-   enough history for every frame and recursion evaluated in it. All window
-   functions of a pass then run on that one partitioning; halo rows are
-   dropped at the end.
+2. Positions are grouped into blocks and blocks into superblocks. ``scan``
+   shuffles the rows once by (key, superblock); every superblock also receives
+   a copy of the rows before it that rolling frames look back at (the halo).
+   All windows of the pass run on that partitioning and one sort.
 3. Rolling frames are ``rowsBetween`` frames over positions.
-4. A recursive average ``y = q*y_prev + s`` is a block scan without any join:
-   the end of every block is an order-free weighted sum over the block,
-   ``E_b = sum_j q^(B-1-j) s_j``; the carry into block b is
-   ``C = sum_d q^(B*d) E_(b-1-d)`` over the K previous block ends (a RANGE
-   frame over block numbers); inside the block the recursion is folded from
-   the carry. K is chosen so that q^(B*K) is below double precision, which
-   makes the truncation exact. A recursion over the output of another one
-   (MACD signal) needs K more halo blocks.
+4. A recursive average ``y = q*y_prev + s`` is, inside a block that starts
+   from ``C``, ``y_j = q^(j+1) C + q^j * sum_{i<=j} q^-i s_i``: a running sum.
+   The local part needs no other block. The carries ``C`` of all blocks follow
+   from the blocks' last local values alone, a table with one row per block:
+   groups of ``FAN`` blocks are folded, then groups of groups, until one group
+   holds a series, and the carries are handed down again (``block_carries``).
+   Nothing is cut off: a carry holds the whole history, however small it gets.
+   An average over others (the MACD signal recurses over EMA12 - EMA26) is part
+   of the same linear recursion, so it needs no second pass.
 
 All expressions are built-in functions; nothing leaves the JVM.
 """
@@ -39,6 +38,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from candela.session import materialize
 
 POS = "_pos"
 BLK = "_blk"
@@ -46,33 +48,45 @@ SB = "_sb"
 HALO = "_halo"
 CHUNK = "_chunk"
 
-BLOCK = 64            # positions per block
-MIN_SUPERBLOCK = 16   # blocks per superblock (at least; grows with the halo)
-CHUNK_DAYS = 2048     # calendar days per numbering chunk (daily bars: <= 2048 rows)
-DECAY_FLOOR = 1e-18   # carries older than this weight are below double precision
+BLOCK = 256           # positions per block (fewer where q^-BLOCK would overflow)
+SUPERBLOCK = 16       # blocks per superblock
+FAN = 64              # blocks folded together on each level of the carries
+CHUNK_DAYS = 2048     # calendar days per numbering chunk of daily bars
+CHUNK_HOURS = 2048    # hours per numbering chunk of bars with a time of day
 
 
 def _keys(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def with_position(df: DataFrame, by: str | Sequence[str], order: str,
-                  chunk_days: int = CHUNK_DAYS) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys of ``left`` stay."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(other, on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
+
+
+def with_position(df: DataFrame, by: str | Sequence[str], order: str) -> DataFrame:
     """Add ``_pos``: 0-based rank of each row inside its series.
 
-    ``(by, order)`` must be unique (bars are). The work is bounded per task by
-    the rows of one (key, calendar chunk), independent of series length.
+    ``(by, order)`` must be unique (bars are) and ``order`` not NULL; a NULL
+    key is a series of its own. The work per task is bounded by the rows of one
+    (key, calendar chunk), independent of series length.
     """
     keys = _keys(by)
-    day = F.datediff(F.to_date(F.col(order)), F.lit("1970-01-01"))
-    chunked = df.withColumn(CHUNK, F.floor(day / F.lit(chunk_days)))
+    if isinstance(df.schema[order].dataType, T.DateType):
+        chunk = F.floor(F.datediff(F.col(order), F.lit("1970-01-01")) / F.lit(CHUNK_DAYS))
+    else:
+        chunk = F.floor(F.unix_timestamp(F.col(order).cast("timestamp")) / F.lit(3600 * CHUNK_HOURS))
+    chunked = df.withColumn(CHUNK, chunk)
     sizes = chunked.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_chunk_rows"))
     before = Window.partitionBy(*keys).orderBy(CHUNK)
     offsets = sizes.select(
         *keys, CHUNK,
         (F.sum("_chunk_rows").over(before) - F.col("_chunk_rows")).alias("_chunk_offset"))
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    return (chunked.join(offsets, [*keys, CHUNK])
+    return (null_safe_join(chunked, offsets, [*keys, CHUNK])
             .withColumn(POS, F.col("_chunk_offset") + F.row_number().over(inside) - 1)
             .drop(CHUNK, "_chunk_offset"))
 
@@ -81,12 +95,13 @@ def with_position(df: DataFrame, by: str | Sequence[str], order: str,
 class Ewm:
     """One recursive average ``y = (1 - alpha) * y_prev + alpha * x``.
 
-    The recursion starts at position ``start`` with ``y = x`` (pandas
-    ``ewm(adjust=False)`` skipping ``start`` leading NULLs); earlier rows give
-    NULL. ``value`` must be non-NULL from ``start`` on.
+    ``value`` is a column, or ``{name: weight}`` over earlier averages of the
+    same scan (of column values). The recursion starts at position ``start``
+    with ``y = x`` (pandas ``ewm(adjust=False)`` skipping ``start`` leading
+    NULLs); earlier rows give NULL. A column must be non-NULL from ``start`` on.
     """
     name: str
-    value: str
+    value: str | dict[str, float]
     alpha: float
     start: int = 0
 
@@ -94,24 +109,19 @@ class Ewm:
     def decay(self) -> float:
         return 1.0 - self.alpha
 
+    @property
+    def inputs(self) -> dict[str, float]:
+        return self.value if isinstance(self.value, dict) else {}
+
 
 def span_alpha(span: float) -> float:
     return 2.0 / (span + 1.0)
 
 
-def carry_blocks(decay: float, size: int = BLOCK) -> int:
-    """Blocks whose carry still matters: decay**(size*K) < DECAY_FLOOR."""
-    if decay <= 0.0:
-        return 1
-    return max(1, math.ceil(math.log(DECAY_FLOOR) / (size * math.log(decay))))
-
-
-@dataclass(frozen=True)
-class Stage:
-    """One recursion step of a scan: ``prepare`` adds the input columns (it may
-    use the outputs of earlier stages), then the ``specs`` are evaluated."""
-    specs: Sequence[Ewm]
-    prepare: Callable[[DataFrame], DataFrame] | None = None
+def block_size(specs: Sequence[Ewm]) -> int:
+    """Positions per block, such that the weights q^-j of a block stay finite."""
+    least = min([s.decay for s in specs if s.decay > 0], default=1.0)
+    return BLOCK if least >= 1.0 else max(1, min(BLOCK, int(250 / -math.log10(least))))
 
 
 def rolling_mean(value: str, n: int):
@@ -138,77 +148,159 @@ def lagged(value: str, k: int = 1):
     return build
 
 
-def _decayed_sum(field: str, block_decay: float):
-    """acc + E_k * (q^B)^(b-1-k) over the collected block ends."""
-    def merge(acc: Column, e: Column) -> Column:
-        return acc + e[f"v_{field}"] * F.pow(F.lit(block_decay), F.col(BLK) - 1 - e["k"])
-    return merge
+def _weight(decay: float, power: Column | int) -> Column:
+    return F.pow(F.lit(decay), F.lit(power) if isinstance(power, int) else power)
+
+
+def _carried(s: Ewm, of: Ewm, j: Column) -> Column:
+    """What the carry of ``of`` adds to ``s`` at offset ``j`` of a block, for one unit."""
+    q, p = s.decay, of.decay
+    scale = s.alpha * s.inputs[of.name] * p
+    if math.isclose(q, p):
+        return F.lit(scale) * (j + 1) * _weight(q, j)
+    return F.lit(scale / (q - p)) * (_weight(q, j + 1) - _weight(p, j + 1))
+
+
+def _transfer(specs: Sequence[Ewm], size: int) -> list[list[float]]:
+    """State at a block's end from the state at its start: a matrix."""
+    by_name = {s.name: s for s in specs}
+    out = []
+    for s in specs:
+        row = {s.name: s.decay ** size}
+        for name, weight in s.inputs.items():
+            q, p = s.decay, by_name[name].decay
+            step = size * q ** (size - 1) if math.isclose(q, p) else (q ** size - p ** size) / (q - p)
+            row[name] = s.alpha * weight * p * step
+        out.append([row.get(x.name, 0.0) for x in specs])
+    return out
 
 
-def _recursion(decay: float):
-    """acc * q + s: one step of the recursion."""
-    def merge(acc: Column, v: Column) -> Column:
-        return acc * F.lit(decay) + v
-    return merge
+def _power(m: list[list[float]], n: int) -> list[list[float]]:
+    size = len(m)
+    result = [[float(i == j) for j in range(size)] for i in range(size)]
+    for _ in range(n):
+        result = [[sum(result[i][k] * m[k][j] for k in range(size)) for j in range(size)] for i in range(size)]
+    return result
+
+
+def _next(matrix: list[list[float]], state: Column, end: Column) -> list[Column]:
+    fields = []
+    for i, row in enumerate(matrix):
+        value = end[f"e{i}"]
+        for j, weight in enumerate(row):
+            if weight:
+                value = value + state[f"c{j}"] * F.lit(weight)
+        fields.append(value.alias(f"c{i}"))
+    return fields
+
+
+def block_carries(ends: DataFrame, keys: Sequence[str], matrix: list[list[float]]) -> DataFrame:
+    """(keys, block, c0, c1, ...): the state before each block from 1 on.
+
+    ``ends`` has ``BLK`` and the blocks' local end values e0, e1, ...; blocks of
+    a key are numbered without gaps. A group holds at most ``FAN`` blocks, on
+    every level.
+    """
+    m = len(matrix)
+    state_type = "struct<" + ",".join(f"c{i}:double" for i in range(m)) + ">"
+    values = F.struct(F.col(BLK).alias("k"), *[F.col(f"e{i}") for i in range(m)])
+    groups = (ends.groupBy(*keys, F.floor(F.col(BLK) / FAN).alias("_group"))
+              .agg(F.array_sort(F.collect_list(values)).alias("_ends")))
+    zero = F.struct(*[F.lit(0.0).alias(f"c{i}") for i in range(m)])
+    last = ends.agg(F.max(BLK)).first()[0]
+    if last is not None and last >= FAN:
+        groups = materialize(groups)
+        top = F.aggregate("_ends", zero, lambda c, e: F.struct(*_next(matrix, c, e)))
+        ends_above = (groups.filter(F.size("_ends") == FAN)
+                      .select(*keys, F.col("_group").alias(BLK), top.alias("_top"))
+                      .select(*keys, BLK, *[F.col(f"_top.c{i}").alias(f"e{i}") for i in range(m)]))
+        above = block_carries(materialize(ends_above), keys, _power(matrix, FAN))
+        above = above.select(*keys, F.col(BLK).alias("_group"), F.struct(*[f"c{i}" for i in range(m)]).alias("_start"))
+        groups = null_safe_join(groups, above, [*keys, "_group"], "left")
+        start = F.coalesce(F.col("_start"), zero)
+    else:
+        start = zero
+
+    def step(acc: Column, e: Column) -> Column:
+        state = F.struct(*_next(matrix, acc["state"], e))
+        row = F.struct((e["k"] + 1).alias("k"), state.alias("c"))
+        return F.struct(state.alias("state"), F.array_append(acc["rows"], row).alias("rows"))
+    none = F.expr(f"cast(array() as array<struct<k:bigint,c:{state_type}>>)")
+    rows = F.aggregate("_ends", F.struct(start.cast(state_type).alias("state"), none.alias("rows")), step,
+                       lambda acc: acc["rows"])
+    return (groups.select(*keys, F.explode(rows).alias("_row"))
+            .select(*keys, F.col("_row.k").alias(BLK), "_row.c.*"))
 
 
 def scan(df: DataFrame, by: str | Sequence[str], rolling: dict[str, Callable] | None = None,
-         lookback: int = 0, stages: Sequence[Stage] = ()) -> DataFrame:
-    """One pass over positioned rows: rolling frames, then recursive stages.
+         lookback: int = 0, prepare: Callable[[DataFrame], DataFrame] | None = None,
+         specs: Sequence[Ewm] = (), seeds: dict[str, str] | None = None,
+         history: str | None = None) -> DataFrame:
+    """One pass over positioned rows: rolling frames, then recursive averages.
 
     ``rolling`` maps names to ``f(window) -> Column`` (window ordered by
-    position) that look at most ``lookback`` rows back. Output: the input
-    columns plus every rolling and stage column; one row per input row.
+    position) that look at most ``lookback`` rows back; ``prepare`` adds the
+    averages' inputs. Output: the input columns plus all added ones; one row
+    per input row.
+
+    To continue a series, put its last rows first: ``history`` names a boolean
+    column that marks them, and ``seeds`` maps averages to the columns that
+    hold their values on the last one of them (NULL elsewhere).
     """
     keys = _keys(by)
     rolling = rolling or {}
-    size = BLOCK
-    k_max = max([carry_blocks(s.decay) for st in stages for s in st.specs], default=0)
-    halo_blocks = max(len(stages) * k_max, math.ceil(lookback / size))
-    per_sb = max(MIN_SUPERBLOCK, 4 * halo_blocks)
-
+    size = block_size(specs)
+    halo_blocks = math.ceil(lookback / size)
     pos = F.col(POS)
     blk = F.floor(pos / size)
     offset = pos % size
-    own_sb = F.floor(blk / per_sb)
-    targets = F.sequence(own_sb, F.floor((blk + halo_blocks) / per_sb))
-    x = (df.withColumn(BLK, blk)
-           .withColumn(SB, F.explode(targets))
-           .withColumn(HALO, F.col(SB) != own_sb))
-
-    w_rows = Window.partitionBy(*keys, SB).orderBy(POS)
-    w_block = Window.partitionBy(*keys, SB, BLK)
-    w_fold = Window.partitionBy(*keys, SB, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    w_prev = Window.partitionBy(*keys, SB).orderBy(BLK).rangeBetween(-k_max, -1)
-
+    own_sb = F.floor(blk / SUPERBLOCK)
+    x = df.withColumn(BLK, blk)
+    if halo_blocks:
+        targets = F.sequence(own_sb, F.floor((blk + halo_blocks) / SUPERBLOCK))
+        x = x.withColumn(SB, F.explode(targets)).withColumn(HALO, F.col(SB) != own_sb)
+    else:
+        x = x.withColumn(SB, own_sb).withColumn(HALO, F.lit(False))
+    # one order for all windows of the pass: blocks ascend with positions
+    w_rows = Window.partitionBy(*keys, SB).orderBy(BLK, POS)
+    w_block = Window.partitionBy(*keys, SB, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     if rolling:
         x = x.select("*", *[fn(w_rows).alias(name) for name, fn in rolling.items()])
-
-    for st in stages:
-        if st.prepare is not None:
-            x = st.prepare(x)
-        scaled = {}
-        for s in st.specs:
-            v = F.col(s.value).cast("double")
-            scaled[s.name] = (F.when(pos < s.start, F.lit(0.0))
-                               .when(pos == s.start, v)
-                               .otherwise(F.lit(s.alpha) * v))
-        # block ends (whole-block weighted sums)
-        x = x.select("*", *[F.sum(scaled[s.name] * F.pow(F.lit(s.decay), F.lit(size - 1) - offset))
-                            .over(w_block).alias(f"_e_{s.name}") for s in st.specs])
-        # ends of the K previous blocks
-        x = x.withColumn("_ends", F.collect_list(F.when(offset == size - 1, F.struct(
-            F.col(BLK).alias("k"), *[F.col(f"_e_{s.name}").alias(f"v_{s.name}") for s in st.specs])))
-            .over(w_prev))
-        # fold inside the block, starting from the carry
-        folds = []
-        for s in st.specs:
-            carry = F.aggregate(F.col("_ends"), F.lit(0.0), _decayed_sum(s.name, s.decay ** size))
-            y = F.aggregate(F.collect_list(scaled[s.name]).over(w_fold), carry, _recursion(s.decay))
-            folds.append(F.when(pos >= s.start, y).alias(s.name))
-        x = x.select("*", *folds).drop("_ends", *[f"_e_{s.name}" for s in st.specs])
-
-    return x.filter(~F.col(HALO)).drop(BLK, SB, HALO)
+    x = x.filter(~F.col(HALO)).drop(HALO)
+    if prepare is not None:
+        x = prepare(x)
+    if not specs:
+        return x.drop(BLK, SB)
+
+    local = {s.name: f"_local_{i}" for i, s in enumerate(specs)}
+    for layer in ([s for s in specs if not s.inputs], [s for s in specs if s.inputs]):
+        columns = []
+        for s in layer:
+            v = (sum((F.col(local[n]) * F.lit(w) for n, w in s.inputs.items()), F.lit(0.0)) if s.inputs
+                 else F.col(s.value).cast("double"))
+            term = (F.when(pos < s.start, F.lit(0.0)).when(pos == s.start, v).otherwise(F.lit(s.alpha) * v))
+            if history is not None:
+                seed = F.col(seeds[s.name]) if seeds and s.name in seeds else F.lit(None).cast("double")
+                term = F.when(F.col(history), F.coalesce(seed, F.lit(0.0))).otherwise(term)
+            y = (term if s.decay == 0 else
+                 _weight(s.decay, offset) * F.sum(term * _weight(s.decay, -offset)).over(w_block))
+            columns.append(y.alias(local[s.name]))
+        if columns:
+            x = x.select("*", *columns)
+    x = materialize(x.drop(SB))  # read by the blocks' ends and by the rows
+    ends = x.filter(offset == size - 1).select(*keys, BLK, *[F.col(local[s.name]).alias(f"e{i}") for i, s in enumerate(specs)])
+    carries = block_carries(ends, keys, _transfer(specs, size))
+    x = null_safe_join(x, carries, [*keys, BLK], "left")
+    carry = {s.name: F.coalesce(F.col(f"c{i}"), F.lit(0.0)) for i, s in enumerate(specs)}
+    by_name = {s.name: s for s in specs}
+    out = []
+    for s in specs:
+        y = F.col(local[s.name]) + _weight(s.decay, offset + 1) * carry[s.name]
+        for name in s.inputs:
+            y = y + _carried(s, by_name[name], offset) * carry[name]
+        out.append(F.when(pos >= s.start, y).alias(s.name))
+    kept = [c for c in x.columns if c not in (BLK, *local.values(), *[f"c{i}" for i in range(len(specs))])]
+    return x.select(*kept, *out)
 
 
 def rolling(df: DataFrame, by: str | Sequence[str], columns: dict[str, Callable],
@@ -219,4 +311,4 @@ def rolling(df: DataFrame, by: str | Sequence[str], columns: dict[str, Callable]
 
 def ewm(df: DataFrame, by: str | Sequence[str], specs: Sequence[Ewm]) -> DataFrame:
     """Recursive averages of ``specs`` over positioned rows (see ``scan``)."""
-    return scan(df, by, stages=[Stage(specs)])
+    return scan(df, by, specs=specs)
