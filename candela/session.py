@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(master: str | None = None, app: str = "candela",
                   shuffle_partitions: int | None = None,
@@ -30,8 +36,7 @@ def build_session(master: str | None = None, app: str = "candela",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -44,6 +49,7 @@ def build_session(master: str | None = None, app: str = "candela",
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings this library needs on a session it did not build."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     checkpoint_root(spark)
     return spark
 
@@ -51,30 +57,60 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.
-    When it is unset (tests, a laptop) a private folder is made and set, so
-    ``DataFrame.checkpoint()`` and scratch tables have somewhere to go.
+    On a cluster this setting points at shared storage and is only read. Only
+    where it is unset and the master is local (tests, a laptop), a private
+    folder is made, set, and removed when Python ends. On any other master
+    each executor would write to its own disk, so the unset setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
         configured = tempfile.mkdtemp(prefix="candela-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the checkpoint root."""
     root = checkpoint_root(spark)
-    return os.path.join(root, "candela", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, "candela", f"{name}-{uuid.uuid4().hex[:12]}")
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Folders that :func:`scratch_path` and :func:`materialize` make inside are deleted at the end.
+
+    For jobs that have written their results elsewhere by then.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            p, fs = _hadoop_path(spark, path)
+            fs.delete(p, True)
 
 
 def materialize(df):
@@ -92,4 +128,20 @@ def materialize(df):
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._candela_stage = path
+    return out
+
+
+def discard(*stages) -> None:
+    """Delete the folders of :func:`materialize` results that nothing reads any more.
+
+    Spark removes the shuffle files of finished jobs when the driver's JVM
+    collects their plans; it is asked to do so here, since a driver with a large
+    heap may not for hours.
+    """
+    for df in stages:
+        spark = df.sparkSession
+        p, fs = _hadoop_path(spark, df._candela_stage)
+        fs.delete(p, True)
+        spark.sparkContext._jvm.System.gc()
