@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from candela.schemas import BATCH, STREAMING
 
-# Metric name of run times and the cap on plausible run times (seconds).
+# Metric name of run times.
 PROCESSING_TIME = "PROCESSING_TIME"
-MAX_PLAUSIBLE_SECONDS = 3600.0
 
 
 def compare_indicators(indicators: DataFrame) -> DataFrame:
@@ -19,6 +18,7 @@ def compare_indicators(indicators: DataFrame) -> DataFrame:
     pushed below the join."""
     s = indicators.filter(F.col("processing_type") == STREAMING).alias("s")
     b = indicators.filter(F.col("processing_type") == BATCH).alias("b")
+    # The result names of this comparison.
     return (s.join(b, (F.col("s.date") == F.col("b.date")) & (F.col("s.ticker") == F.col("b.ticker")))
              .select(F.col("s.date").alias("date"), F.col("s.ticker").alias("ticker"),
                      F.col("s.sma_20").alias("stream_sma20"), F.col("b.sma_20").alias("batch_sma20"),
@@ -55,11 +55,10 @@ def signal_agreement(counts: DataFrame) -> DataFrame:
                       pct("stream_hold", "batch_hold").alias("hold_agreement"))
 
 
-def processing_times(metrics: DataFrame) -> DataFrame:
-    """Run-time metrics below the plausibility cap, in one pushed-down filter."""
-    return (metrics.filter((F.col("metric_name") == PROCESSING_TIME)
-                           & (F.col("metric_value") < MAX_PLAUSIBLE_SECONDS))
-                   .orderBy("execution_date", "processing_type", "details"))
+def processing_times(metrics: DataFrame, below: float | None = None) -> DataFrame:
+    """Run-time metrics; with ``below`` only those under so many seconds (pushed down)."""
+    times = metrics.filter(F.col("metric_name") == PROCESSING_TIME)
+    return times if below is None else times.filter(F.col("metric_value") < below)
 
 
 def perf_summary(times: DataFrame) -> DataFrame:
@@ -111,17 +110,3 @@ def nested_report(flat: DataFrame) -> DataFrame:
         F.struct(F.col("batch_total_time").alias("total_time")).alias("batch_performance"),
         F.struct("avg_sma_diff", "avg_rsi_diff", "avg_macd_diff").alias("indicator_accuracy"),
         F.struct("buy_agreement", "sell_agreement", "hold_agreement").alias("signal_agreement"))
-
-
-def metrics_from_events(events: DataFrame) -> DataFrame:
-    """A deterministic run-metrics table derived from ``events`` (test input):
-    one metric row per event; value = 10 x event value (seconds)."""
-    return events.select(
-        F.col("ts").alias("execution_date"),
-        F.when(F.col("event_id") % 2 == 0, F.lit(BATCH)).otherwise(F.lit(STREAMING)).alias("processing_type"),
-        F.when(F.col("event_type") == "error", F.lit("ERROR_TIME")).otherwise(F.lit(PROCESSING_TIME))
-         .alias("metric_name"),
-        (F.col("value") * 10).alias("metric_value"),
-        F.concat(F.col("user_id").cast("string"), F.lit(" records")).alias("window_size"),
-        F.to_json(F.struct(F.col("event_id").alias("batch_id"),
-                           F.col("user_id").alias("record_count"))).alias("details"))

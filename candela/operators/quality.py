@@ -2,8 +2,8 @@
 
 Each check is one aggregate (``count_if`` for NULLs, a grouped count for
 duplicate keys), returned as long rows ``(table_name, check_name, violations)``.
-Rows that break the bar contract can be split off (``quarantine``) before
-indicators are computed.
+Rows that break the bar contract are split off with a reason (``quarantine``)
+before indicators are computed, in the batch and in the stream job.
 """
 
 from __future__ import annotations
@@ -37,14 +37,17 @@ def violations(df: DataFrame, table: str, not_null: Sequence[str],
                       F.col("violations").cast("bigint").alias("violations"))
 
 
-def bar_is_valid() -> Column:
-    ok = F.lit(True)
-    for c in BAR_NOT_NULL:
-        ok = ok & F.col(c).isNotNull()
-    return ok & (F.col("low") <= F.col("high"))
+def rejection() -> Column:
+    """Why a bar breaks the contract (NULL: it doesn't)."""
+    checks = [F.when(F.col(c).isNull(), F.lit(f"not_null:{c}")) for c in BAR_NOT_NULL]
+    return F.coalesce(*checks, F.when(F.col("low") > F.col("high"), F.lit("low_above_high")))
 
 
 def quarantine(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows) by the bar contract."""
-    valid = bar_is_valid()
-    return bars.filter(valid), bars.filter(~F.coalesce(valid, F.lit(False)))
+    """(valid rows, rejected rows with a ``reason``) by the bar contract.
+
+    Several bars of one (date, ticker) are not rejected here: keyed inserts keep
+    the first.
+    """
+    judged = bars.withColumn("reason", rejection())
+    return judged.filter("reason IS NULL").drop("reason"), judged.filter("reason IS NOT NULL")

@@ -4,45 +4,39 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candela.functions.indicators import complete, with_indicators
 from candela.functions.signals import signals
-from candela.schemas import BATCH, INDICATOR_COLUMNS, STREAMING
-from candela.session import materialize
+from candela.schemas import BATCH, INDICATOR_COLUMNS
+from candela.session import materialize, scratch_scope
 
+INDICATOR_KEY = ["date", "ticker", "processing_type"]
 INDICATOR_TABLE_COLUMNS = ["date", "ticker", "processing_type", "close", *INDICATOR_COLUMNS]
 
 
 def indicator_rows(bars: DataFrame, processing_type: str = BATCH,
                    by: tuple[str, ...] = ("ticker",)) -> DataFrame:
     """Complete indicator rows (warm-up rows dropped) tagged with the processing type."""
-    wide = with_indicators(bars, by=by)
+    needed = dict.fromkeys([*by, "ticker", "date"])
+    wide = with_indicators(bars.select(*needed, F.col("close").cast("double").alias("close")), by=by)
     return (complete(wide, ["close", *INDICATOR_COLUMNS])
             .withColumn("processing_type", F.lit(processing_type))
             .select(*INDICATOR_TABLE_COLUMNS))
 
 
-def restarted_indicator_rows(bars: DataFrame, processing_type: str = STREAMING) -> DataFrame:
-    """Indicators restarted every calendar year per ticker.
-
-    Reproduces, deterministically, the cold start of a stream that recomputes
-    indicators from scratch for each delivery of one year of bars.
-    """
-    yearly = bars.withColumn("_year", F.year("date"))
-    return indicator_rows(yearly, processing_type, by=("ticker", "_year"))
-
-
 def signal_rows(indicators: DataFrame) -> DataFrame:
     return signals(indicators)
 
 
 def run_metric(spark: SparkSession, processing_type: str, seconds: float, record_count: int,
-               window_size: str) -> DataFrame:
+               window_size: str, rejected_count: int = 0) -> DataFrame:
     """One metric row: run time with a JSON detail document."""
-    details = json.dumps({"record_count": record_count, "processing_time_sec": seconds})
+    details = json.dumps({"record_count": record_count, "rejected_count": rejected_count,
+                          "processing_time_sec": seconds})
     return spark.createDataFrame(
         [(processing_type, "PROCESSING_TIME", float(seconds), window_size, details)],
         "processing_type string, metric_name string, metric_value double, "
@@ -51,19 +45,28 @@ def run_metric(spark: SparkSession, processing_type: str, seconds: float, record
 
 
 def run(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
-    """Batch leg: write indicators (keyed upsert) and signals (idempotent
-    append) under ``out_dir`` and return the run metric row."""
-    from candela.sinks.keyed import append_parquet, upsert_parquet
+    """Batch leg under ``out_dir``; returns the run metric row.
+
+    Bars that break the contract go to ``rejected_bars`` with a reason; the
+    others give indicators (keyed upsert) and signals (all signals of the
+    touched dates are replaced, so a correction leaves none behind). Row counts
+    are observed while the rows are written.
+    """
+    from candela.operators.quality import quarantine
+    from candela.sinks.keyed import replace_parquet, upsert_parquet
 
     started = time.time()
-    # Computed once, read by the upsert, the signals and the row count.
-    ind = materialize(indicator_rows(bars))
-    upsert_parquet(spark, f"{out_dir}/technical_indicators", ind,
-                   key=["date", "ticker", "processing_type"], partition_by="processing_type")
-    append_parquet(spark, f"{out_dir}/trading_signals", signal_rows(ind),
-                   key=["date", "ticker", "processing_type", "signal_source"])
-    record_count = ind.count()
-    elapsed = time.time() - started
-    metric = run_metric(spark, BATCH, elapsed, record_count, "FULL DATASET")
-    metric.write.mode("append").parquet(f"{out_dir}/performance_metrics")
+    with scratch_scope(spark):
+        valid, rejected = quarantine(materialize(bars))
+        counted = Observation()
+        rejected.observe(counted, F.count(F.lit(1)).alias("rejected")).write.mode("overwrite").parquet(
+            f"{out_dir}/rejected_bars")
+        rows = Observation()
+        # Computed once, read by the upsert and the signals.
+        ind = materialize(indicator_rows(valid).observe(rows, F.count(F.lit(1)).alias("records")))
+        upsert_parquet(spark, f"{out_dir}/technical_indicators", ind, key=INDICATOR_KEY)
+        replace_parquet(spark, f"{out_dir}/trading_signals", signal_rows(ind), ind, key=INDICATOR_KEY)
+        elapsed = time.time() - started
+        metric = run_metric(spark, BATCH, elapsed, rows.get["records"], "FULL DATASET", counted.get["rejected"])
+        metric.write.mode("overwrite").parquet(f"{out_dir}/performance_metrics/run=batch-{uuid.uuid4().hex[:12]}")
     return metric

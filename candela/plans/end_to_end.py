@@ -1,10 +1,9 @@
 """Ingest -> batch -> stream -> compare, in order, into one output folder.
 
-1. ingest:  bars are added to ``raw_stock_data`` only for new (date, ticker)
-2. batch:   indicators (keyed upsert) and signals (idempotent append), run metric
-3. stream:  bar messages replayed through the windowed stream leg; its
-            indicators and signals are stored as STREAMING rows, one run metric
-            per micro-batch
+1. ingest:  valid bars are added to ``raw_stock_data`` only for new (date,
+            ticker); rejected ones go to ``rejected_bars``
+2. batch:   indicators (keyed upsert), signals (replaced by key), run metric
+3. stream:  the windowed stream job over the same bars as messages
 4. compare: stream-vs-batch differences, signal agreement and run times,
             written as the nested JSON report
 """
@@ -14,23 +13,21 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from candela.functions.signals import signals
+from candela.fixtures import Replay
 from candela.operators import compare as C
+from candela.operators.quality import quarantine
 from candela.plans import batch, stream_job
-from candela.sinks.keyed import append_parquet, new_rows, read_if_exists, upsert_parquet
-from candela.sinks.report import write_report
 from candela.session import materialize, prepare
+from candela.sinks.keyed import insert_parquet
+from candela.sinks.report import write_report
 
 
 def ingest(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
+    """Insert-if-absent of the valid bars; the stored table."""
     path = os.path.join(out_dir, "raw_stock_data")
-    current = read_if_exists(spark, path)
-    if current is None:
-        bars.write.parquet(path)
-    else:
-        materialize(new_rows(current, bars, ["date", "ticker"])).write.mode("append").parquet(path)
+    valid, _rejected = quarantine(bars)
+    insert_parquet(spark, path, valid, ["date", "ticker"])
     return spark.read.parquet(path)
 
 
@@ -40,15 +37,9 @@ def run_all(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
     raw = ingest(spark, bars, out_dir)
     batch.run(spark, raw, out_dir)
 
-    rows, run = stream_job.window_indicators(spark, raw)
-    stream_ind = materialize(rows.withColumn("processing_type", F.lit("STREAMING"))
-                             .select(*batch.INDICATOR_TABLE_COLUMNS))
-    upsert_parquet(spark, os.path.join(out_dir, "technical_indicators"), stream_ind,
-                   key=["date", "ticker", "processing_type"], partition_by="processing_type")
-    append_parquet(spark, os.path.join(out_dir, "trading_signals"), signals(stream_ind),
-                   key=["date", "ticker", "processing_type", "signal_source"])
-    stream_job.progress_metrics(spark, run).withColumn("execution_date", F.current_timestamp()) \
-        .write.mode("append").parquet(os.path.join(out_dir, "performance_metrics"))
+    replay = Replay(spark, "end-to-end")
+    replay.run(raw, lambda: stream_job.start_indicator_job(
+        spark, out_dir, replay.checkpoint, feed_dir=replay.feed, trigger=stream_job.AVAILABLE))
 
     ind = spark.read.parquet(os.path.join(out_dir, "technical_indicators"))
     sig = spark.read.parquet(os.path.join(out_dir, "trading_signals"))

@@ -124,7 +124,7 @@ metrics AS (
   FROM events
 ),
 times AS (
-  SELECT * FROM metrics WHERE metric_name = 'PROCESSING_TIME' AND metric_value < 3600
+  SELECT * FROM metrics WHERE metric_name = 'PROCESSING_TIME'
 ),
 summary AS (
   SELECT processing_type, avg(metric_value) AS avg_time, sum(metric_value) AS total_time,
@@ -200,7 +200,11 @@ ORACLES: dict[str, str] = {
           f"SELECT date, ticker, processing_type, {rs(['close', *IND])} FROM ex e WHERE NOT EXISTS "
           "(SELECT 1 FROM up u WHERE u.date = e.date AND u.ticker = e.ticker "
           "AND u.processing_type = e.processing_type)",
-    "append_signals_dedup": "WITH RECURSIVE " + BOTH + f" SELECT {SIG_COLS} FROM all_sig",
+    "append_signals_dedup": "WITH RECURSIVE " + ",".join([
+        BOTH, SETTLED, O.indicators("settled", "ind_s"), complete_cte("first_ind", "ind_s", "BATCH"),
+        signals_cte("first_sig", "first_ind")])
+        + f" SELECT {SIG_COLS} FROM all_sig UNION ALL SELECT {SIG_COLS} FROM first_sig f WHERE NOT EXISTS "
+          "(SELECT 1 FROM batch_ind b WHERE b.date = f.date AND b.ticker = f.ticker)",
     "publish_bar_json": f"WITH {O.BARS} SELECT ticker AS key, {BAR_JSON} AS value FROM bars",
     "publish_indicator_json": with_ind(complete_cte("c", "ind", "BATCH"))
                               + f" SELECT ticker AS key, {IND_JSON} AS value FROM c",
@@ -221,7 +225,8 @@ ORACLES: dict[str, str] = {
     "signal_agreement": "WITH RECURSIVE " + BOTH + " SELECT "
                         + rs(["buy_agreement", "sell_agreement", "hold_agreement"]) + " FROM agreement",
     "metrics_filtered": f"WITH {METRICS} SELECT execution_date, processing_type, metric_name, "
-                        f"{r('metric_value')}, window_size, details FROM times",
+                        f"{r('metric_value')}, window_size, details FROM times WHERE metric_value < 3600 "
+                        "ORDER BY execution_date, processing_type, details",
     "perf_summary": f"WITH {METRICS} SELECT processing_type, {rs(['avg_time', 'total_time'])}, "
                     "run_count FROM summary",
     "comparison_report": "WITH RECURSIVE " + BOTH + "," + METRICS + """
@@ -299,8 +304,35 @@ ORACLES.update({
     "stream_window_collect": WINDOW_ROWS,
     "stream_late_rows": WINDOW_ROWS,
     "stream_window_indicators": "WITH RECURSIVE " + POOLS
-        + f" SELECT date, ticker, 'STREAMING' AS processing_type, {rs(['close', *IND])} "
-          "FROM latest WHERE rk = 1",
+        + " SELECT date, ticker, 'STREAMING' AS processing_type, "
+        + ", ".join(f"CAST(round(CAST({c} AS DECIMAL(16,6)), 3) AS DOUBLE) AS {c}" for c in ["close", *IND])
+        + " FROM latest WHERE rk = 1",
     "stream_indicators_stateful": with_ind(complete_cte("c", "ind", "STREAMING"))
         + f" SELECT date, ticker, processing_type, {rs(['close', *IND])} FROM c",
 })
+
+STORED_STRENGTH = "CAST(CAST(signal_strength AS DECIMAL(5,2)) AS DOUBLE) AS signal_strength"
+MESSAGES = """
+msg AS (
+  SELECT b.*, (date - DATE '1970-01-01') % 11 AS kind FROM bars b
+)"""
+
+ORACLES.update({
+    "stream_window_signals": "WITH RECURSIVE " + POOLS + ","
+        + "stored AS (SELECT *, 'STREAMING' AS processing_type FROM latest WHERE rk = 1),"
+        + signals_cte("sig", "stored")
+        + f" SELECT date, ticker, processing_type, signal_rank, signal_type, {STORED_STRENGTH}, "
+          "signal_source, description FROM sig",
+    "stream_metrics": "WITH RECURSIVE " + POOLS + """
+        SELECT 'STREAMING' AS processing_type, 'PROCESSING_TIME' AS metric_name,
+               CAST(count(*) AS VARCHAR) || ' records' AS window_size, count(*) AS record_count, true AS timed
+        FROM pooled GROUP BY pool""",
+    "run_metrics": with_ind(complete_cte("c", "ind", "BATCH")) + """
+        SELECT 'BATCH' AS processing_type, 'PROCESSING_TIME' AS metric_name, 'FULL DATASET' AS window_size,
+               count(*) AS record_count, true AS timed FROM c""",
+    "quarantine_bars": f"WITH {O.BARS}, {MESSAGES}" + """
+        SELECT CASE kind WHEN 1 THEN 'not_null:close' WHEN 2 THEN 'not_null:ticker' WHEN 3 THEN 'low_above_high'
+                         WHEN 4 THEN 'not_null:date' WHEN 5 THEN 'not_null:date' ELSE 'valid' END AS reason,
+               count(*) AS rows
+        FROM msg GROUP BY 1""",
+})

@@ -20,9 +20,12 @@ from candela.functions.signals import signals
 from candela.operators import compare as C
 from candela.operators.quality import (BAR_KEY, BAR_NOT_NULL, INDICATOR_KEY, INDICATOR_NOT_NULL,
                                        SIGNAL_NOT_NULL, violations)
-from candela.plans.batch import indicator_rows, restarted_indicator_rows
-from candela.schemas import BAR_COLUMNS, BAR_MESSAGE, INDICATOR_COLUMNS
-from candela.session import prepare, scratch_path
+from candela.fixtures import Replay, metrics_from_events, restarted_indicator_rows
+from candela.plans import stream_job
+from candela.plans.batch import INDICATOR_KEY, INDICATOR_TABLE_COLUMNS, indicator_rows
+from candela.schemas import (BAR_COLUMNS, BAR_MESSAGE, INDICATOR_COLUMNS, PRICE_DECIMAL, STREAMING,
+                             STRENGTH_DECIMAL)
+from candela.session import materialize, prepare, scratch_path
 from candela.sinks import keyed, publish
 from candela.sources import files, tables
 
@@ -52,6 +55,11 @@ def bars(spark: SparkSession, data_dir: str) -> DataFrame:
     return tables.daily_bars(spark, data_dir)
 
 
+def closes(spark: SparkSession, data_dir: str) -> DataFrame:
+    """What indicators read of the bars, as a stored stage (they read it more than once)."""
+    return materialize(bars(spark, data_dir).select("date", "ticker", "close"))
+
+
 def settled_bars(spark: SparkSession, data_dir: str) -> DataFrame:
     """Bars of fulfilled orders only: an earlier, partial load of the same feed."""
     prepare(spark)
@@ -64,75 +72,76 @@ def settled_bars(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @query("sma")
 def q_sma(spark, d):
-    return rounded(I.sma(bars(spark, d)).select("date", "ticker", "close", "sma_5", "sma_10", "sma_20"))
+    return rounded(I.sma(closes(spark, d)).select("date", "ticker", "close", "sma_5", "sma_10", "sma_20"))
 
 
 @query("rolling_std")
 def q_rolling_std(spark, d):
-    return rounded(I.rolling_std(bars(spark, d), 20).select("date", "ticker", "close", "std_20"))
+    return rounded(I.rolling_std(closes(spark, d), 20).select("date", "ticker", "close", "std_20"))
 
 
 @query("price_delta")
 def q_price_delta(spark, d):
-    return rounded(I.delta(bars(spark, d)).select("date", "ticker", "close", "delta"))
+    return rounded(I.delta(closes(spark, d)).select("date", "ticker", "close", "delta"))
 
 
 @query("ema")
 def q_ema(spark, d):
-    return rounded(I.ema(bars(spark, d), (12, 26)).select("date", "ticker", "close", "ema_12", "ema_26"))
+    return rounded(I.ema(closes(spark, d), (12, 26)).select("date", "ticker", "close", "ema_12", "ema_26"))
 
 
 @query("wilder_avg")
 def q_wilder(spark, d):
-    return rounded(I.wilder_avg(bars(spark, d), 14).select("date", "ticker", "avg_gain", "avg_loss"))
+    return rounded(I.wilder_avg(closes(spark, d), 14).select("date", "ticker", "avg_gain", "avg_loss"))
 
 
 @query("macd")
 def q_macd(spark, d):
-    return rounded(I.macd(bars(spark, d)).select("date", "ticker", "macd", "macd_signal", "macd_histogram"))
+    return rounded(I.macd(closes(spark, d)).select("date", "ticker", "macd", "macd_signal", "macd_histogram"))
 
 
 @query("rsi")
 def q_rsi(spark, d):
-    return rounded(I.rsi(bars(spark, d), 14).select("date", "ticker", "rsi_14"))
+    return rounded(I.rsi(closes(spark, d), 14).select("date", "ticker", "rsi_14"))
 
 
 @query("bollinger")
 def q_bollinger(spark, d):
-    return rounded(I.bollinger(bars(spark, d)).select(
+    return rounded(I.bollinger(closes(spark, d)).select(
         "date", "ticker", "bollinger_upper", "bollinger_middle", "bollinger_lower"))
 
 
 @query("indicators_wide")
 def q_wide(spark, d):
-    return rounded(I.with_indicators(bars(spark, d)).select("date", "ticker", "close", *INDICATOR_COLUMNS))
+    return rounded(I.with_indicators(closes(spark, d)).select("date", "ticker", "close", *INDICATOR_COLUMNS))
 
 
 @query("indicators_complete")
 def q_complete(spark, d):
-    return rounded(indicator_rows(bars(spark, d)))
+    return rounded(indicator_rows(closes(spark, d)))
 
 
 @query("signals_long")
 def q_signals(spark, d):
-    return rounded(signals(indicator_rows(bars(spark, d))))
+    return rounded(signals(indicator_rows(closes(spark, d))))
+
+
+def settled_closes(spark: SparkSession, data_dir: str) -> DataFrame:
+    return materialize(settled_bars(spark, data_dir).select("date", "ticker", "close"))
 
 
 # ------------------------------------------------------------ sources / SQL
 
 @query("batch_project_filter_sort")
 def q_project_filter_sort(spark, d):
-    bars(spark, d).createOrReplaceTempView("stock_data")
-    return spark.sql(f"""
-        SELECT date, ticker, open, high, low, close, adj_close, volume
-        FROM stock_data
-        WHERE ticker = '{SELECTED_TICKER}'
-        ORDER BY date""")
+    bars(spark, d).createOrReplaceTempView("daily_bars")
+    return spark.sql(f"SELECT {', '.join(BAR_COLUMNS)} FROM daily_bars WHERE ticker = :ticker ORDER BY date",
+                     args={"ticker": SELECTED_TICKER})
 
 
 @query("latest_indicators_limit")
 def q_latest_limit(spark, d):
-    return rounded(indicator_rows(bars(spark, d)).orderBy(F.col("date").desc(), "ticker").limit(10))
+    return rounded(indicator_rows(closes(spark, d)).orderBy(F.col("date").desc(), "ticker").limit(10))
 
 
 @query("ingest_csv_bars")
@@ -169,37 +178,43 @@ def q_insert_if_absent(spark, d):
 
 @query("upsert_indicators")
 def q_upsert(spark, d):
-    existing = indicator_rows(bars(spark, d))
-    update = indicator_rows(settled_bars(spark, d))
+    existing = indicator_rows(closes(spark, d))
+    update = indicator_rows(settled_closes(spark, d))
     return rounded(keyed.merge_latest(existing, update, ["date", "ticker", "processing_type"]))
 
 
-SIGNAL_KEY = ["date", "ticker", "processing_type", "signal_source"]
-
-
 @query("append_signals_dedup")
 def q_append_dedup(spark, d):
-    b = bars(spark, d)
-    stored = signals(restarted_indicator_rows(b))
-    batch = signals(indicator_rows(b))
-    for _run in range(2):        # the batch job runs twice; the second run adds nothing
-        stored = stored.unionByName(keyed.append_idempotent(stored, batch, SIGNAL_KEY))
+    """Two different batches: a partial load, then the corrected whole; each replaces the signals of its keys."""
+    whole = closes(spark, d)
+    stored = materialize(signals(restarted_indicator_rows(whole)))
+    for batch in (settled_closes(spark, d), whole):
+        ind = materialize(indicator_rows(batch))
+        stored = materialize(keyed.replace_keys(stored, signals(ind), ind, INDICATOR_KEY))
     return rounded(stored)
 
 
+def exact(df: DataFrame, columns: list[str], kind: T.DecimalType, digits: int | None = None) -> DataFrame:
+    """Columns as decimals, so that their text is the same in any engine."""
+    return df.withColumns({c: (F.col(c) if digits is None else F.round(c, digits)).cast(kind) for c in columns})
+
+
+PRICES = ["open", "high", "low", "close", "adj_close"]
+
+
 @query("publish_bar_json")
 def q_pub_bars(spark, d):
-    return publish.bar_messages(bars(spark, d))
+    return publish.bar_messages(exact(bars(spark, d), PRICES, PRICE_DECIMAL))
 
 
 @query("publish_indicator_json")
 def q_pub_ind(spark, d):
-    return publish.indicator_messages(indicator_rows(bars(spark, d)))
+    return publish.indicator_messages(exact(indicator_rows(closes(spark, d)), INDICATOR_COLUMNS, PRICE_DECIMAL, DIGITS))
 
 
 @query("publish_signal_json")
 def q_pub_sig(spark, d):
-    return publish.signal_messages(signals(indicator_rows(bars(spark, d))))
+    return publish.signal_messages(exact(signals(indicator_rows(closes(spark, d))), ["signal_strength"], STRENGTH_DECIMAL))
 
 
 # --------------------------------------------------------- scalar functions
@@ -235,9 +250,9 @@ def q_window_collect(spark, d):
 
 @query("quality_violations")
 def q_quality(spark, d):
-    b = bars(spark, d)
-    hourly = tables.hourly_bars(spark, d).withColumnRenamed("time", "date")
-    ind = indicator_rows(b)
+    b = materialize(bars(spark, d))
+    hourly = materialize(tables.hourly_bars(spark, d).withColumnRenamed("time", "date"))
+    ind = materialize(indicator_rows(b))
     return (violations(b, "raw_stock_data", BAR_NOT_NULL, BAR_KEY)
             .unionByName(violations(hourly, "hourly_bars", BAR_NOT_NULL, BAR_KEY))
             .unionByName(violations(ind, "technical_indicators", INDICATOR_NOT_NULL, INDICATOR_KEY))
@@ -247,18 +262,17 @@ def q_quality(spark, d):
 # ---------------------------------------------------------------- compare
 
 def both_indicator_types(spark, d) -> DataFrame:
-    b = bars(spark, d)
+    b = closes(spark, d)
     return indicator_rows(b).unionByName(restarted_indicator_rows(b))
 
 
 def both_signal_types(spark, d) -> DataFrame:
-    b = bars(spark, d)
-    return signals(indicator_rows(b)).unionByName(signals(restarted_indicator_rows(b)))
+    return signals(both_indicator_types(spark, d))
 
 
 @query("compare_indicators")
 def q_compare(spark, d):
-    return rounded(C.compare_indicators(both_indicator_types(spark, d)))
+    return rounded(C.compare_indicators(both_indicator_types(spark, d))).orderBy("date", "ticker")
 
 
 @query("indicator_accuracy")
@@ -268,7 +282,7 @@ def q_accuracy(spark, d):
 
 @query("signal_counts")
 def q_signal_counts(spark, d):
-    return C.signal_counts(both_signal_types(spark, d))
+    return C.signal_counts(both_signal_types(spark, d)).orderBy("date")
 
 
 @query("signal_agreement")
@@ -278,12 +292,17 @@ def q_agreement(spark, d):
 
 def run_metrics_table(spark, d) -> DataFrame:
     prepare(spark)
-    return C.metrics_from_events(tables.table(spark, d, "events"))
+    return metrics_from_events(tables.table(spark, d, "events"))
+
+
+# The limit of the filtered metric report; the summary and the comparison take all runs.
+PLAUSIBLE_SECONDS = 3600.0
 
 
 @query("metrics_filtered")
 def q_metrics_filtered(spark, d):
-    return rounded(C.processing_times(run_metrics_table(spark, d)))
+    return rounded(C.processing_times(run_metrics_table(spark, d), below=PLAUSIBLE_SECONDS)
+                   .orderBy("execution_date", "processing_type", "details"))
 
 
 @query("perf_summary")
@@ -293,7 +312,6 @@ def q_perf_summary(spark, d):
 
 @query("comparison_report")
 def q_report(spark, d):
-    from candela.session import materialize
     summary = C.perf_summary(C.processing_times(run_metrics_table(spark, d)))
     ind = materialize(both_indicator_types(spark, d))      # read by both halves below
     accuracy = C.indicator_accuracy(C.compare_indicators(ind))
@@ -307,65 +325,110 @@ def _stream_bars(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.col("date").cast("date")).select(*BAR_COLUMNS)
 
 
+def _replayed(spark, d, name: str, start, **options) -> Replay:
+    """The bars as deliveries through the query that ``start(messages, out, checkpoint, trigger)`` starts."""
+    run = Replay(spark, name)
+    run.run(bars(spark, d), lambda: start(run.messages(), run.out, run.checkpoint, stream_job.AVAILABLE), **options)
+    return run
+
+
 @query("stream_json_ingest")
 def q_stream_ingest(spark, d):
-    from candela.plans import stream_job
-    return _stream_bars(stream_job.ingest(spark, bars(spark, d)))
+    return _stream_bars(spark.read.parquet(_replayed(spark, d, "ingest", stream_job.start_ingest).out))
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark, d):
-    from candela.plans import stream_job
-    return _stream_bars(stream_job.dedup(spark, bars(spark, d))[0])
+    """Every delivery arrives twice."""
+    return _stream_bars(spark.read.parquet(_replayed(spark, d, "dedup", stream_job.start_dedup, copies=2).out))
 
 
 WINDOW_ROW = ["date", "ticker", "window_start", "window_end", "open", "high", "low", "close",
               "adj_close", "volume"]
 
 
+def _window_rows(spark, d, **options) -> DataFrame:
+    run = _replayed(spark, d, "windows", stream_job.start_window_collect, **options)
+    return stream_job.latest_windows(spark.read.parquet(run.out)).select(*WINDOW_ROW)
+
+
 @query("stream_window_collect")
 def q_stream_windows(spark, d):
-    from candela.plans import stream_job
-    return stream_job.window_collect(spark, bars(spark, d))[0].select(*WINDOW_ROW)
+    """Bars that are sent twice are in their window once."""
+    return _window_rows(spark, d, copies=2)
 
 
 @query("stream_late_rows")
 def q_stream_late(spark, d):
-    """Window stream plus a late re-delivery of the first period: the late
-    rows are dropped by the watermark, so the windows keep their rows."""
-    from candela.plans import stream_job
-    return stream_job.window_collect(spark, bars(spark, d), late_repeat=True)[0].select(*WINDOW_ROW)
+    """After the last delivery, the first period arrives again with other prices. Its
+    windows are closed, so the watermark drops all of these rows."""
+    late = bars(spark, d).withColumns({c: F.col(c) * 2 + 1 for c in PRICES})
+    return _window_rows(spark, d, late=late)
+
+
+def _stream_job(spark, d) -> str:
+    run = Replay(spark, "indicator-job")
+    run.run(bars(spark, d), lambda: stream_job.start_indicator_job(
+        spark, run.out, run.checkpoint, feed_dir=run.feed, trigger=stream_job.AVAILABLE))
+    return run.out
 
 
 @query("stream_window_indicators")
 def q_stream_window_ind(spark, d):
-    from candela.plans import stream_job
-    from candela.plans.batch import INDICATOR_TABLE_COLUMNS
-    return rounded(stream_job.window_indicators(spark, bars(spark, d))[0]
-                   .select(*INDICATOR_TABLE_COLUMNS))
+    stored = spark.read.parquet(os.path.join(_stream_job(spark, d), "technical_indicators"))
+    # Rounded as the decimals that are stored.
+    return stored.select(*[F.round(c, 3).cast("double").alias(c) if c in ("close", *INDICATOR_COLUMNS) else F.col(c)
+                           for c in INDICATOR_TABLE_COLUMNS])
+
+
+@query("stream_window_signals")
+def q_stream_window_sig(spark, d):
+    stored = spark.read.parquet(os.path.join(_stream_job(spark, d), "trading_signals"))
+    return stored.select("date", "ticker", "processing_type", "signal_rank", "signal_type",
+                         F.col("signal_strength").cast("double").alias("signal_strength"), "signal_source", "description")
 
 
 @query("stream_indicators_stateful")
 def q_stream_stateful(spark, d):
     from candela.functions.indicators import complete
-    from candela.plans import stream_job
-    from candela.plans.batch import INDICATOR_TABLE_COLUMNS
-    from candela.schemas import STREAMING
-    out = stream_job.stateful(spark, bars(spark, d))[0]
-    out = (complete(out, ["close", *INDICATOR_COLUMNS])
-           .withColumn("date", F.col("date").cast("date"))
-           .withColumn("processing_type", F.lit(STREAMING)))
-    return rounded(out.select(*INDICATOR_TABLE_COLUMNS))
+    run = _replayed(spark, d, "stateful", stream_job.start_stateful, copies=2)
+    out = complete(spark.read.parquet(os.path.join(run.out, "rows")), ["close", *INDICATOR_COLUMNS])
+    return rounded(out.withColumn("date", F.col("date").cast("date")).withColumn("processing_type", F.lit(STREAMING))
+                   .select(*INDICATOR_TABLE_COLUMNS))
+
+
+def _metric_facts(metrics: DataFrame) -> DataFrame:
+    """What of a run metric doesn't depend on the clock."""
+    return metrics.select("processing_type", "metric_name", "window_size",
+                          F.get_json_object("details", "$.record_count").cast("long").alias("record_count"),
+                          (F.col("metric_value") > 0).alias("timed"))
 
 
 @query("stream_metrics")
 def q_stream_metrics(spark, d):
-    from candela.plans import stream_job
-    _rows, run = stream_job.window_indicators(spark, bars(spark, d))
-    return stream_job.progress_metrics(spark, run)
+    """One metric row for each micro-batch with rows: the bars pooled in its windows."""
+    return _metric_facts(spark.read.parquet(os.path.join(_stream_job(spark, d), "performance_metrics")))
 
 
 @query("run_metrics")
 def q_run_metrics(spark, d):
     from candela.plans import batch
-    return batch.run(spark, bars(spark, d), scratch_path(spark, "batch-run"))
+    return _metric_facts(batch.run(spark, bars(spark, d), scratch_path(spark, "batch-run")))
+
+
+@query("quarantine_bars")
+def q_quarantine(spark, d):
+    """Bars with injected faults as messages: bad dates, missing fields, wrong order, no JSON, repeats."""
+    from candela.sinks.publish import bar_messages
+    kind = F.pmod(F.datediff("date", F.lit("1970-01-01")), F.lit(11))
+    b = bars(spark, d)
+    faulty = b.withColumns({
+        "close": F.when(kind != 1, F.col("close")), "ticker": F.when(kind != 2, F.col("ticker")),
+        "low": F.when(kind == 3, F.col("high") + 1).otherwise(F.col("low"))})
+    sent = bar_messages(faulty).withColumn("date", F.to_date(F.regexp_extract("value", '"date":"([^"]*)"', 1)))
+    messages = sent.select(
+        F.when(kind == 4, F.regexp_replace("value", '"date":"', '"date":"no '))
+         .when(kind == 5, F.concat(F.lit("{"), F.col("value"))).otherwise(F.col("value")).alias("value"))
+    valid = stream_job.valid_bars(messages).groupBy().agg(F.count("*").alias("rows"))
+    reasons = stream_job.rejected_messages(messages).groupBy("reason").agg(F.count("*").alias("rows"))
+    return valid.select(F.lit("valid").alias("reason"), "rows").unionByName(reasons)

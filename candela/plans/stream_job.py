@@ -1,154 +1,209 @@
-"""The stream legs, driven by deliveries of bar messages.
+"""The stream jobs: messages in, stored and published indicators and signals out.
 
-Each delivery is published to the feed and the streaming query is run with
-``availableNow``: it processes what arrived and stops; the next run resumes
-from the checkpoint (offsets, watermark, state). On a cluster the same
-queries run continuously with a processing-time trigger on a Kafka topic.
+``start_indicator_job`` is the continuous job: give it a topic (or a folder of
+message files), where to write, a checkpoint path that stays the same over
+restarts, and a trigger. ``run_available`` runs the same queries once over what
+has arrived.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.streaming.query import StreamingQuery
 
-from candela.plans.batch import indicator_rows
+from candela.functions.signals import signals
+from candela.operators.quality import rejection
+from candela.plans.batch import INDICATOR_KEY, indicator_rows, run_metric
 from candela.schemas import STREAMING
-from candela.session import scratch_path
+from candela.session import materialize, scratch_scope
+from candela.sinks import publish
+from candela.sinks.keyed import first_per_key, replace_parquet, upsert_parquet
 from candela.streaming import feed
-from candela.streaming.stateful import stateful_indicators
+from candela.streaming.stateful import continue_indicators
 from candela.streaming.windows import collect_windows, flatten_windows
 
+CONTINUOUS = {"processingTime": "10 seconds"}
+AVAILABLE = {"availableNow": True}
 
-class StreamRun:
-    """Folders of one stream leg: feed, checkpoint and output."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        root = scratch_path(spark, f"stream-{name}")
-        self.feed = os.path.join(root, "feed")
-        self.checkpoint = os.path.join(root, "checkpoint")
-        self.out = os.path.join(root, "out")
-        self.progress: list[dict] = []
-
-    def run_once(self, start) -> None:
-        """Start a query with ``availableNow``, wait for it, keep its progress."""
-        q = start()
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-        self.progress.extend(p for p in q.recentProgress)
-
-    def messages(self) -> DataFrame:
-        return feed.message_stream(self.spark, self.feed)
 
+class ProgressLog(StreamingQueryListener):
+    """All progress reports of a session's queries while it listens (``recentProgress`` keeps 100)."""
 
-def replay(run: StreamRun, bars: DataFrame, start, copies: int = 1, late_repeat: bool = False):
-    """Publish the bars delivery by delivery and run the query after each."""
-    ids = feed.deliveries(bars)
-    for d in ids:
-        feed.write_delivery(bars, run.feed, d, copies=copies)
-        run.run_once(start)
-    if late_repeat and ids:
-        feed.write_delivery(bars, run.feed, ids[0], name="late")
-        run.run_once(start)
+    def __init__(self):
+        self.progress: list[dict] = []
+        self.ended: set[str] = set()
 
+    def onQueryStarted(self, event):
+        pass
 
-def _decoded(run: StreamRun) -> DataFrame:
-    return feed.decode(run.messages())
+    def onQueryIdle(self, event):
+        pass
 
+    def onQueryProgress(self, event):
+        self.progress.append(json.loads(event.progress.json))
 
-def ingest(spark: SparkSession, bars: DataFrame) -> DataFrame:
-    """Decode the messages and append them to a Parquet table."""
-    run = StreamRun(spark, "ingest")
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.runId))
 
-    def start():
-        return (_decoded(run).writeStream.format("parquet").option("path", run.out)
-                .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
-    replay(run, bars, start)
-    return spark.read.parquet(run.out)
 
+def run_available(spark: SparkSession, start, log: ProgressLog | None = None) -> None:
+    """Start queries (``start()`` gives one or several), wait until they end, raise their errors."""
+    if log is not None:
+        spark.streams.addListener(log)
+    try:
+        queries = start()
+        queries = queries if isinstance(queries, list) else [queries]
+        for q in queries:
+            q.awaitTermination()
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+        deadline = time.time() + 30  # reports arrive a little after the query's end
+        while log is not None and not {str(q.runId) for q in queries} <= log.ended and time.time() < deadline:
+            time.sleep(0.05)
+    finally:
+        if log is not None:
+            spark.streams.removeListener(log)
 
-def dedup(spark: SparkSession, bars: DataFrame, late_repeat: bool = False) -> tuple[DataFrame, StreamRun]:
-    """Every delivery arrives twice; repeats are dropped within the watermark."""
-    run = StreamRun(spark, "dedup")
 
-    def start():
-        rows = feed.watermarked(_decoded(run)).dropDuplicatesWithinWatermark(["ticker", "date"])
-        return (rows.writeStream.format("parquet").option("path", run.out)
-                .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
-    replay(run, bars, start, copies=2, late_repeat=late_repeat)
-    return spark.read.parquet(run.out), run
+def valid_bars(messages: DataFrame) -> DataFrame:
+    """Bars of the messages that keep the bar contract."""
+    return feed.decode(messages).filter(rejection().isNull()).drop(feed.RAW)
 
 
-def _windowed(run: StreamRun) -> DataFrame:
-    return collect_windows(feed.watermarked(_decoded(run)))
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """The raw text of all other messages, with the reason."""
+    return (feed.decode(messages).withColumn("reason", rejection()).filter("reason IS NOT NULL")
+            .select("reason", feed.RAW))
 
 
-def _batch_path(run: StreamRun, batch_id: int) -> str:
-    return os.path.join(run.out, f"batch_id={batch_id}")
+def start_rejects(messages: DataFrame, out_dir: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    return (rejected_messages(messages).writeStream.format("parquet")
+            .option("path", os.path.join(out_dir, "rejected_messages"))
+            .option("checkpointLocation", os.path.join(checkpoint, "rejected")).trigger(**trigger).start())
 
 
-def window_collect(spark: SparkSession, bars: DataFrame,
-                   late_repeat: bool = False) -> tuple[DataFrame, StreamRun]:
-    """20-day windows per ticker in update mode; every touched window is
-    re-emitted whole. Result: the latest emission of every window."""
-    run = StreamRun(spark, "windows")
+def indicator_batch(out_dir: str, publish_options: dict[str, str] | None = None,
+                    topics: dict[str, str] | None = None):
+    """The callback of one micro-batch of windows.
 
+    Indicators over the pooled rows of the touched windows (the warm-up
+    restarts in every batch), keyed upsert; signals of the same keys are
+    replaced; both are published; one metric row. A batch without rows does
+    nothing. All writes replace by key or by batch, so a batch that is run
+    again after a failure leaves the same tables. With ``topics`` (names for
+    ``indicators`` and ``signals``) messages go to Kafka, else to text files.
+    """
+    def sink(df: DataFrame, batch_id: int) -> None:
+        if df.isEmpty():
+            return
+        started = time.time()
+        spark = df.sparkSession
+        with scratch_scope(spark):
+            bars = flatten_windows(df).select("date", "ticker", "close")
+            pooled = materialize(first_per_key(bars, ["date", "ticker"]))
+            ind = materialize(indicator_rows(pooled, STREAMING))
+            upsert_parquet(spark, os.path.join(out_dir, "technical_indicators"), ind, INDICATOR_KEY)
+            found = signals(ind)
+            replace_parquet(spark, os.path.join(out_dir, "trading_signals"), found, ind, INDICATOR_KEY)
+            for name, messages in (("indicators", publish.indicator_messages(ind)),
+                                   ("signals", publish.signal_messages(found))):
+                publish.publish(messages, publish_options, topic=(topics or {}).get(name),
+                                path=os.path.join(out_dir, "messages", name, f"batch_id={batch_id}"))
+            records = pooled.count()
+            metric = run_metric(spark, STREAMING, time.time() - started, records, f"{records} records")
+            metric.write.mode("overwrite").parquet(os.path.join(out_dir, "performance_metrics", f"run=stream-{batch_id}"))
+    return sink
+
+
+def start_indicator_job(spark: SparkSession, out_dir: str, checkpoint: str, *, feed_dir: str | None = None,
+                        kafka_options: dict[str, str] | None = None, max_per_trigger: int | None = None,
+                        trigger: dict | None = None, publish_options: dict[str, str] | None = None,
+                        topics: dict[str, str] | None = None) -> list[StreamingQuery]:
+    """Start the windowed indicator job and the query that stores rejected messages.
+
+    ``kafka_options`` (brokers, ``subscribe``) or ``feed_dir`` is the source,
+    ``max_per_trigger`` bounds a micro-batch, ``trigger`` defaults to every 10
+    seconds. ``checkpoint`` holds offsets, watermark and state: with the same
+    path, a restarted job continues where the last one ended.
+    """
+    trigger = trigger or CONTINUOUS
+    messages = feed.message_stream(spark, feed_dir, kafka_options, max_per_trigger)
+    windows = collect_windows(feed.watermarked(valid_bars(messages)))
+    main = (windows.writeStream.outputMode("update").foreachBatch(indicator_batch(out_dir, publish_options, topics))
+            .option("checkpointLocation", os.path.join(checkpoint, "indicators")).trigger(**trigger).start())
+    return [main, start_rejects(messages, out_dir, checkpoint, trigger)]
+
+
+def start_ingest(messages: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Append the valid bars of the messages to a Parquet table."""
+    return (valid_bars(messages).writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def start_dedup(messages: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """The same without repeats (within the watermark)."""
+    rows = feed.watermarked(valid_bars(messages)).dropDuplicatesWithinWatermark(["ticker", "date"])
+    return (rows.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def start_window_collect(messages: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """20-day windows per ticker in update mode: every touched window is emitted whole, by batch."""
     def sink(df: DataFrame, batch_id: int) -> None:
         # Overwriting the batch's own folder makes a replayed batch idempotent.
-        flatten_windows(df).write.mode("overwrite").parquet(_batch_path(run, batch_id))
+        flatten_windows(df).write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+    windows = collect_windows(feed.watermarked(valid_bars(messages)))
+    return (windows.writeStream.outputMode("update").foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
-    def start():
-        return (_windowed(run).writeStream.outputMode("update").foreachBatch(sink)
-                .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
-    replay(run, bars, start, late_repeat=late_repeat)
-    emitted = spark.read.parquet(run.out)
+
+def latest_windows(emitted: DataFrame) -> DataFrame:
+    """The latest emission of every window."""
     latest = Window.partitionBy("ticker", "window_start")
     return (emitted.withColumn("_last", F.max("batch_id").over(latest))
-                   .filter(F.col("batch_id") == F.col("_last")).drop("_last", "batch_id"), run)
+            .filter(F.col("batch_id") == F.col("_last")).drop("_last", "batch_id"))
+
 
+def start_stateful(messages: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Continuous indicators: each batch continues the series from the stored state.
 
-def window_indicators(spark: SparkSession, bars: DataFrame) -> tuple[DataFrame, StreamRun]:
-    """Per micro-batch: indicators over the pooled rows of the touched windows
-    (restarting the warm-up every batch), keyed upsert of the complete rows."""
-    run = StreamRun(spark, "window-indicators")
+    ``out/rows`` holds the rows and ``out/state`` the state, both by batch id; a
+    batch that is run again reads the state of the batch before it and replaces
+    its own.
+    """
+    rows_path, state_path = os.path.join(out, "rows"), os.path.join(out, "state")
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        pooled = flatten_windows(df).select("date", "ticker", "close")
-        rows = indicator_rows(pooled, STREAMING)
-        rows.write.mode("overwrite").parquet(_batch_path(run, batch_id))
-
-    def start():
-        return (_windowed(run).writeStream.outputMode("update").foreachBatch(sink)
-                .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
-    replay(run, bars, start)
-    stored = spark.read.parquet(run.out)
-    cols = [c for c in stored.columns if c not in ("date", "ticker", "batch_id")]
-    latest = (stored.groupBy("date", "ticker")
-                    .agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_row"))
-                    .select("date", "ticker", "_row.*"))
-    return latest, run
-
-
-def stateful(spark: SparkSession, bars: DataFrame) -> tuple[DataFrame, StreamRun]:
-    """Continuous indicators with per-ticker state across micro-batches."""
-    run = StreamRun(spark, "stateful")
-
-    def start():
-        rows = stateful_indicators(feed.watermarked(_decoded(run)))
-        return (rows.writeStream.format("parquet").option("path", run.out).outputMode("append")
-                .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
-    replay(run, bars, start)
-    return spark.read.parquet(run.out), run
-
-
-def progress_metrics(spark: SparkSession, run: StreamRun) -> DataFrame:
-    """One metric row per micro-batch from the query progress reports."""
+        from candela.sinks.keyed import read_if_exists
+        if df.isEmpty():
+            return
+        spark = df.sparkSession
+        with scratch_scope(spark):
+            states = read_if_exists(spark, state_path)
+            if states is not None:
+                states = states.filter(F.col("batch_id") < batch_id)
+                before = states.agg(F.max("batch_id")).first()[0]
+                states = None if before is None else states.filter(F.col("batch_id") == before).drop("batch_id")
+            rows, state, counts = continue_indicators(df, states)
+            rows.write.mode("overwrite").parquet(os.path.join(rows_path, f"batch_id={batch_id}"))
+            state.write.mode("overwrite").parquet(os.path.join(state_path, f"batch_id={batch_id}"))
+            counts.write.mode("overwrite").parquet(os.path.join(out, "counts", f"batch_id={batch_id}"))
+    bars = valid_bars(messages).select("date", "ticker", "close")
+    return (bars.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def progress_metrics(spark: SparkSession, progress: list[dict]) -> DataFrame:
+    """One metric row per micro-batch with input, from the query's progress reports."""
     rows = [(int(p["batchId"]), int(p.get("numInputRows", 0)),
              float(p.get("durationMs", {}).get("triggerExecution", 0)))
-            for p in run.progress]
+            for p in progress if int(p.get("numInputRows", 0)) > 0]
     df = spark.createDataFrame(rows, "batch_id long, record_count long, processing_time_ms double")
     return df.select(
         F.lit(STREAMING).alias("processing_type"), F.lit("PROCESSING_TIME").alias("metric_name"),
@@ -157,6 +212,6 @@ def progress_metrics(spark: SparkSession, run: StreamRun) -> DataFrame:
         F.to_json(F.struct("batch_id", "record_count", "processing_time_ms")).alias("details"))
 
 
-def dropped_late_rows(run: StreamRun) -> int:
+def dropped_late_rows(progress: list[dict]) -> int:
     return sum(int(op.get("numRowsDroppedByWatermark", 0))
-               for p in run.progress for op in p.get("stateOperators", []))
+               for p in progress for op in p.get("stateOperators", []))

@@ -39,35 +39,6 @@ CSV_BARS = T.StructType([
     T.StructField("Volume", T.LongType()),
 ])
 
-CSV_HEADER = ["Date", "Open", "High", "Low", "Close", "Adj Close", "Volume"]
-
-# Base table of daily bars; (date, ticker) is unique, no column may be NULL.
-RAW_BARS = T.StructType([
-    T.StructField("date", T.DateType(), False),
-    T.StructField("ticker", T.StringType(), False),
-    T.StructField("open", T.DoubleType(), False),
-    T.StructField("high", T.DoubleType(), False),
-    T.StructField("low", T.DoubleType(), False),
-    T.StructField("close", T.DoubleType(), False),
-    T.StructField("adj_close", T.DoubleType(), False),
-    T.StructField("volume", T.LongType(), False),
-])
-
-# Indicators; (date, ticker, processing_type) is unique.
-INDICATORS = T.StructType(
-    [T.StructField("date", T.DateType(), False),
-     T.StructField("ticker", T.StringType(), False),
-     T.StructField("processing_type", T.StringType(), False)]
-    + [T.StructField(c, T.DoubleType()) for c in INDICATOR_COLUMNS]
-)
-
-SIGNAL = T.StructType([
-    T.StructField("signal_type", T.StringType()),
-    T.StructField("signal_strength", T.DoubleType()),
-    T.StructField("signal_source", T.StringType()),
-    T.StructField("description", T.StringType()),
-])
-
 # Stored precision of prices and indicators (NUMERIC(16,6)) and of strength (NUMERIC(5,2)).
 PRICE_DECIMAL = T.DecimalType(16, 6)
 STRENGTH_DECIMAL = T.DecimalType(5, 2)

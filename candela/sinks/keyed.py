@@ -4,38 +4,51 @@
                         (first staged row per key wins) — ``ON CONFLICT DO NOTHING``
 * ``merge_latest``      keyed upsert, the newest version of a key wins —
                         ``ON CONFLICT DO UPDATE``
-* ``append_idempotent`` append rows whose key is not stored yet, so a re-run
-                        of the same job does not duplicate them
-* ``upsert_parquet``    a partitioned Parquet table updated through
-                        ``merge_latest``; only touched partitions are rewritten
-
-All are joins and aggregations; groups are bounded by the number of versions
-of one key, never by the size of a ticker.
+* ``replace_keys``      all rows of the touched keys are replaced by the new
+                        ones: what a corrected input no longer gives, goes
+* ``*_parquet``         the same on a Parquet table; a first load runs the same
+                        code against an empty table. Tables that change by key
+                        are partitioned by ``processing_type`` and month, and
+                        only the partitions that a change touches are read and
+                        rewritten.
+
+NULL equals NULL in keys, so a row with a NULL key is stored once like any
+other. All are joins and aggregations; groups are bounded by the number of
+versions of one key, never by the size of a ticker.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from candela.functions.series import null_safe_join
+from candela.schemas import PRICE_DECIMAL, STRENGTH_DECIMAL
+from candela.session import materialize, path_exists
 
-from candela.session import materialize
+MONTH = "month"
+CREATED = "created_at"
+PARTITIONS = ["processing_type", MONTH]
 
 
-def _first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None) -> DataFrame:
-    if not order:
-        return df.dropDuplicates(list(key))
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the first by ``order``, then by the other columns (so the winner is defined)."""
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.distinct()
+    rank = F.struct(*[F.col(c) for c in [*(order or ()), *(c for c in rest if c not in (order or ()))]])
+    return (df.groupBy(*key).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
+            .select(*key, "_row.*").select(*df.columns))
 
 
 def new_rows(target: DataFrame, stage: DataFrame, key: Sequence[str],
              stage_order: Sequence[str] | None = None) -> DataFrame:
     """Staged rows whose key the target lacks (first staged row per key)."""
-    fresh = _first_per_key(stage.select(*target.columns), key, stage_order)
-    return fresh.join(target.select(*key), list(key), "left_anti")
+    fresh = null_safe_join(stage, target.select(*key).distinct(), key, "left_anti")
+    return first_per_key(fresh, key, stage_order).select(*target.columns)
 
 
 def insert_if_absent(target: DataFrame, stage: DataFrame, key: Sequence[str],
@@ -52,62 +65,76 @@ def merge_latest(existing: DataFrame, updates: DataFrame, key: Sequence[str],
                  version: str | None = None) -> DataFrame:
     """Keyed upsert: per key the row with the highest version wins.
 
-    Without ``version`` every row of ``updates`` is newer than ``existing``.
-    A ``max_by`` aggregation per key (partial aggregation on both sides, at
-    most one row per key and version in a group).
+    Without ``version`` every row of ``updates`` is newer than ``existing``;
+    of several updates with one key the greatest row wins. A ``max_by``
+    aggregation per key (partial aggregation on both sides, at most one row per
+    key and version in a group).
     """
-    cols = [c for c in existing.columns if c not in key]
-    if version is None:
-        old = existing.withColumn("_version", F.lit(0))
-        new = updates.select(*existing.columns).withColumn("_version", F.lit(1))
-        version = "_version"
-    else:
-        old, new = existing, updates.select(*existing.columns)
-        cols = [c for c in cols if c != version]
-    both = old.unionByName(new)
-    merged = (both.groupBy(*key)
-                  .agg(F.max_by(F.struct(*cols, version), F.col(version)).alias("_row"))
-                  .select(*key, "_row.*"))
-    if version == "_version":
-        merged = merged.drop("_version")
-    return merged.select(*existing.columns)
-
-
-def append_idempotent(existing: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows to append so that every key is stored once (existing rows win)."""
-    return rows.select(*existing.columns).join(existing.select(*key).distinct(), list(key), "left_anti")
+    cols = [c for c in existing.columns if c not in key and c != version]
+    old = existing.withColumn("_update", F.lit(0))
+    both = old.unionByName(updates.select(*existing.columns).withColumn("_update", F.lit(1)))
+    rank = F.struct(*([F.col(version)] if version else []), F.col("_update"), *[F.col(c) for c in cols])
+    row = F.struct(*cols, *([version] if version else []))
+    return (both.groupBy(*key).agg(F.max_by(row, rank).alias("_row"))
+            .select(*key, "_row.*").select(*existing.columns))
+
+
+def replace_keys(existing: DataFrame, rows: DataFrame, touched: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``existing`` without the rows of the ``touched`` keys, plus ``rows`` (repeated ones once)."""
+    kept = null_safe_join(existing, touched.select(*key).distinct(), key, "left_anti")
+    return kept.unionByName(rows.select(*existing.columns).distinct())
+
+
+def stored(df: DataFrame, created: bool = True) -> DataFrame:
+    """Columns as they are kept: exact decimals, the month, and the time of writing."""
+    def kept(f: T.StructField):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            kind = STRENGTH_DECIMAL if f.name == "signal_strength" else PRICE_DECIMAL
+            return F.col(f.name).cast(kind).alias(f.name)
+        return F.col(f.name)
+    out = df.select(*[kept(f) for f in df.schema.fields])
+    if "date" in df.columns:
+        out = out.withColumn(MONTH, F.date_format("date", "yyyy-MM"))
+    return out.withColumn(CREATED, F.current_timestamp()) if created else out
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The table at ``path``; None where there is no such path. Any error of the read stays an error."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def upsert_parquet(spark: SparkSession, path: str, updates: DataFrame,
-                   key: Sequence[str], partition_by: str) -> None:
-    """Keyed upsert into a partitioned Parquet table.
+def _current(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    if read_if_exists(spark, path) is None:
+        return rows.limit(0)
+    return spark.read.schema(rows.schema).parquet(path)
 
-    Only the partitions the update touches are read, merged and rewritten
-    (dynamic partition overwrite). The merged rows are first written to the
-    shared checkpoint folder so the overwrite does not read what it replaces.
-    """
-    current = read_if_exists(spark, path)
-    if current is None:
-        updates.write.partitionBy(partition_by).parquet(path)
-        return
-    touched = updates.select(partition_by).distinct()
-    base = current.join(touched, partition_by, "left_semi")
-    merged = materialize(merge_latest(base, updates.select(*current.columns), key))
+
+def _rewrite(current: DataFrame, rows: DataFrame, path: str, change) -> None:
+    """Replace the partitions that ``rows`` touch by ``change(their rows)``."""
+    touched = rows.select(*PARTITIONS).distinct()
+    base = null_safe_join(current, touched, PARTITIONS, "left_semi")
+    merged = materialize(change(base))  # so that the overwrite doesn't read what it replaces
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_by).parquet(path))
+     .partitionBy(*PARTITIONS).parquet(path))
+
+
+def upsert_parquet(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str]) -> None:
+    """Keyed upsert of ``updates`` (as stored, see :func:`stored`)."""
+    rows = materialize(stored(updates))
+    _rewrite(_current(spark, path, rows), rows, path, lambda base: merge_latest(base, rows, key))
+
+
+def replace_parquet(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame, key: Sequence[str]) -> None:
+    """Replace all rows of the ``touched`` keys by ``rows``."""
+    rows = materialize(stored(rows))
+    parts = touched.select("date", "processing_type", F.date_format("date", "yyyy-MM").alias(MONTH))
+    _rewrite(_current(spark, path, rows), parts, path, lambda base: replace_keys(base, rows, touched, key))
 
 
-def append_parquet(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str]) -> None:
-    """Idempotent append: rows whose key is already stored are skipped."""
-    current = read_if_exists(spark, path)
-    if current is None:
-        rows.write.parquet(path)
-        return
-    materialize(append_idempotent(current, rows, key)).write.mode("append").parquet(path)
+def insert_parquet(spark: SparkSession, path: str, stage: DataFrame, key: Sequence[str],
+                   stage_order: Sequence[str] | None = None) -> None:
+    """Append the staged rows whose key the table lacks."""
+    rows = materialize(stored(stage).drop(MONTH))
+    target = _current(spark, path, rows)
+    order = [CREATED] if stage_order is None else stage_order
+    materialize(new_rows(target, rows, key, order)).write.mode("append").parquet(path)

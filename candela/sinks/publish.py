@@ -1,9 +1,8 @@
 """JSON message encoding and publishing (topic or text files).
 
 One ``to_json(struct(...))`` expression per DataFrame, never one job per row.
-Numbers are published as ``decimal(16,6)`` (the stored precision of prices
-and indicators), strengths as ``decimal(5,2)``; dates as ``yyyy-MM-dd`` text.
-NULL fields are left out of the message.
+Values are published as they are, unrounded; dates as ``yyyy-MM-dd`` text. NULL
+fields are left out of the message.
 """
 
 from __future__ import annotations
@@ -11,45 +10,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.schemas import INDICATOR_COLUMNS, PRICE_DECIMAL, STRENGTH_DECIMAL
+from candela.schemas import INDICATOR_COLUMNS
 
-PRICE_FIELDS = ["open", "high", "low", "close", "adj_close"]
+BAR_FIELDS = ["open", "high", "low", "close", "adj_close", "volume"]
+SIGNAL_FIELDS = ["signal_type", "signal_strength", "signal_source", "description"]
 
 
-def _day(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
-
-
-def _price(c: str) -> Column:
-    return F.col(c).cast(PRICE_DECIMAL).alias(c)
+def _messages(df: DataFrame, fields: list[str]) -> DataFrame:
+    day: Column = F.date_format("date", "yyyy-MM-dd").alias("date")
+    return df.select(F.col("ticker").alias("key"), F.to_json(F.struct(day, "ticker", *fields)).alias("value"))
 
 
 def bar_messages(bars: DataFrame) -> DataFrame:
     """``key`` (ticker, so one ticker stays in one topic partition) and ``value``."""
-    body = F.struct(_day("date"), F.col("ticker"), *[_price(c) for c in PRICE_FIELDS],
-                    F.col("volume").cast("bigint").alias("volume"))
-    return bars.select(F.col("ticker").alias("key"), F.to_json(body).alias("value"))
+    return _messages(bars, BAR_FIELDS)
 
 
-def indicator_messages(indicators: DataFrame, digits: int = 4) -> DataFrame:
-    body = F.struct(_day("date"), F.col("ticker"),
-                    *[F.round(F.col(c), digits).cast(PRICE_DECIMAL).alias(c) for c in INDICATOR_COLUMNS])
-    return indicators.select(F.col("ticker").alias("key"), F.to_json(body).alias("value"))
+def indicator_messages(indicators: DataFrame) -> DataFrame:
+    return _messages(indicators, INDICATOR_COLUMNS)
 
 
 def signal_messages(signals: DataFrame) -> DataFrame:
-    body = F.struct(_day("date"), F.col("ticker"), F.col("signal_type"),
-                    F.col("signal_strength").cast(STRENGTH_DECIMAL).alias("signal_strength"),
-                    F.col("signal_source"), F.col("description"))
-    return signals.select(F.col("ticker").alias("key"), F.to_json(body).alias("value"))
+    return _messages(signals, SIGNAL_FIELDS)
 
 
 def publish(messages: DataFrame, options: dict[str, str] | None = None,
             path: str | None = None, topic: str | None = None) -> None:
     """Write messages to a Kafka topic (``options`` holds the broker settings)
-    or, without a broker, as text files (one message per line)."""
+    or, without a broker, as text files in a folder of their own (one message per
+    line; the folder is replaced, so a repeated batch publishes once)."""
     if topic is not None:
         (messages.write.format("kafka").options(**(options or {}))
                  .option("topic", topic).save())
     else:
-        messages.select("value").write.mode("append").text(path)
+        messages.select("value").write.mode("overwrite").text(path)

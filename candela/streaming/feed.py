@@ -1,57 +1,47 @@
 """Bar messages as a stream source.
 
-Production reads a Kafka topic (``kafka_options``); without a broker the same
-``value`` column comes from JSON text files, one folder per delivery. A
-delivery is the set of messages that arrives together (here: the bars of a
-period of ``DELIVERY_YEARS`` calendar years, replayed from a bar table).
+The source is a Kafka topic (``kafka_options``) or a folder tree of JSON text
+files; both give one string column ``value``. A message that is no JSON, or
+whose date or price can't be read, becomes a row that the bar contract rejects;
+it keeps its raw text, so it can be stored and counted (``quarantine``).
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.schemas import BAR_MESSAGE
-from candela.sinks.publish import bar_messages
 
-DELIVERY_YEARS = 2
-
-
-def delivery_of(date: Column) -> Column:
-    return F.floor(F.year(date) / DELIVERY_YEARS)
-
-
-def deliveries(bars: DataFrame) -> list[int]:
-    """Delivery ids in time order (a handful: one per period of the calendar)."""
-    return [r[0] for r in bars.select(delivery_of(F.col("date")).alias("d")).distinct()
-            .orderBy("d").collect()]
-
-
-def write_delivery(bars: DataFrame, feed_dir: str, delivery: int, copies: int = 1,
-                   name: str | None = None) -> None:
-    """Publish the bars of one delivery as JSON text (``copies`` > 1 repeats it)."""
-    part = bars.filter(delivery_of(F.col("date")) == delivery)
-    msgs = bar_messages(part).select("value")
-    for c in range(copies):
-        msgs.write.mode("overwrite").text(os.path.join(feed_dir, name or f"d{delivery}", f"copy{c}"))
+RAW = "raw_message"
 
 
 def message_stream(spark: SparkSession, feed_dir: str | None = None,
-                   kafka_options: dict[str, str] | None = None) -> DataFrame:
-    """Streaming DataFrame with one string column ``value`` per message."""
+                   kafka_options: dict[str, str] | None = None,
+                   max_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame with one string column ``value`` per message.
+
+    ``max_per_trigger`` bounds a micro-batch: offsets of the topic, or files.
+    """
     if kafka_options:
-        return (spark.readStream.format("kafka").options(**kafka_options).load()
+        options = dict(kafka_options)
+        if max_per_trigger:
+            options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+        return (spark.readStream.format("kafka").options(**options).load()
                 .select(F.col("value").cast("string").alias("value")))
-    return spark.readStream.format("text").load(os.path.join(feed_dir, "*", "*"))
+    reader = spark.readStream.format("text")
+    if max_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    return reader.load(os.path.join(feed_dir, "*", "*"))
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """JSON -> bar columns; the date becomes the event time (a timestamp)."""
-    return (messages.select(F.from_json(F.col("value"), BAR_MESSAGE).alias("data"))
-                    .select("data.*")
-                    .withColumn("date", F.to_timestamp(F.col("date"), "yyyy-MM-dd")))
+    """JSON -> bar columns and the raw text; the date becomes the event time (a timestamp)."""
+    return (messages.select(F.from_json(F.col("value"), BAR_MESSAGE).alias("data"), F.col("value").alias(RAW))
+                    .select("data.*", RAW)
+                    .withColumn("date", F.try_to_timestamp(F.col("date"), F.lit("yyyy-MM-dd"))))
 
 
 def watermarked(bars: DataFrame, delay: str = "1 day") -> DataFrame:

@@ -1,99 +1,57 @@
-"""Continuous indicators with per-ticker state (no cold start per micro-batch).
+"""Continuous indicators: a micro-batch continues each ticker's series.
 
-``groupBy("ticker").applyInPandasWithState``: the state of a ticker is the
-last 19 closes, the previous close, both EMAs, the MACD signal, both Wilder
-averages, the row count and the last date. New rows of a micro-batch are
-taken in date order; a row not newer than the last date is a repeat or late
-and is dropped. Memory is bounded by the state (a few numbers) plus the new
-rows of one ticker in one micro-batch (limit them with ``maxFilesPerTrigger``
-or ``maxOffsetsPerTrigger``), whatever the length of the series.
+The state of a ticker is its last 19 rows, the last of them with the values of
+all recursive averages (20 numbers and 19 closes). New rows follow these as
+history in the distributed scan of the batch leg, with the averages seeded, so
+a ticker that holds most rows of a batch is spread over tasks as in batch, and
+results equal one run over everything, however the rows are divided.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-import numpy as np
-import pandas as pd
+from candela.functions import series as S
+from candela.functions.indicators import AVERAGES, scan_indicators
+from candela.schemas import INDICATOR_COLUMNS
+from candela.session import materialize
+from candela.sinks.keyed import first_per_key
 
-from candela.functions.series import span_alpha
-
-# The indicator parameters.
-A12, A26, A9 = span_alpha(12), span_alpha(26), span_alpha(9)
-A14 = 1.0 / 14
-WINDOWS = (5, 10, 20)
 HISTORY = 19
-
-OUTPUT_SCHEMA = (
-    "date timestamp, ticker string, close double, sma_5 double, sma_10 double, sma_20 double, "
-    "ema_12 double, ema_26 double, macd double, macd_signal double, macd_histogram double, "
-    "rsi_14 double, bollinger_upper double, bollinger_middle double, bollinger_lower double"
-)
-STATE_SCHEMA = (
-    "last_date timestamp, n long, closes array<double>, prev double, ema_12 double, "
-    "ema_26 double, signal double, avg_up double, avg_down double"
-)
-OUT_COLUMNS = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
-
-
-def _none(x: float | None):
-    return None if x is None or (isinstance(x, float) and math.isnan(x)) else x
-
-
-def step_ticker(key, batches: Iterator[pd.DataFrame], state):
-    """State function for ``applyInPandasWithState`` (one ticker)."""
-    (ticker,) = key
-    if state.exists:
-        last_date, n, closes, prev, e12, e26, sig, up, down = state.get
-        closes = list(closes)
-    else:
-        last_date, n, closes, prev, e12, e26, sig, up, down = None, 0, [], None, None, None, None, None, None
-
-    rows = pd.concat(list(batches), ignore_index=True).sort_values("date")
-    rows = rows.drop_duplicates("date")
-    if last_date is not None:
-        rows = rows[rows["date"] > pd.Timestamp(last_date)]
-    out = []
-    for date, close in zip(rows["date"], rows["close"].astype(float)):
-        if n == 0:
-            e12 = e26 = close
-            sig = 0.0
-        else:
-            e12 = (1 - A12) * e12 + A12 * close
-            e26 = (1 - A26) * e26 + A26 * close
-            sig = (1 - A9) * sig + A9 * (e12 - e26)
-            d = close - prev
-            gain, loss = (d if d > 0 else 0.0), (-d if d < 0 else 0.0)
-            if n == 1:
-                up, down = gain, loss
-            else:
-                up = (1 - A14) * up + A14 * gain
-                down = (1 - A14) * down + A14 * loss
-        window = closes + [close]
-        sma = {w: (sum(window[-w:]) / w if len(window) >= w else None) for w in WINDOWS}
-        std = float(np.std(window[-20:], ddof=1)) if len(window) >= 20 else None
-        if down is None:
-            rsi = None
-        elif down == 0:
-            rsi = 100.0 if up > 0 else None
-        else:
-            rsi = 100.0 - 100.0 / (1.0 + up / down)
-        macd = e12 - e26
-        mid = sma[20]
-        out.append((date, ticker, close, sma[5], sma[10], mid, e12, e26, macd, sig, macd - sig, rsi,
-                    None if mid is None else mid + 2 * std, mid,
-                    None if mid is None else mid - 2 * std))
-        closes = window[-HISTORY:]
-        prev, n, last_date = close, n + 1, date
-    state.update((last_date, n, closes, prev, e12, e26, sig, up, down))
-    yield pd.DataFrame(out, columns=OUT_COLUMNS)
-
-
-def stateful_indicators(bars):
-    """Streaming bars (date, ticker, close) -> one indicator row per new bar."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-    return (bars.select("date", "ticker", "close")
-                .groupBy("ticker")
-                .applyInPandasWithState(step_ticker, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-                                        GroupStateTimeout.NoTimeout))
+SEEDS = {s.name: f"_seed_{s.name}" for s in AVERAGES}
+STATE_COLUMNS = ["ticker", "date", "close", *SEEDS.values()]
+
+
+def continue_indicators(bars: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(indicator rows, new state, counts) of new ``bars`` (date, ticker, close).
+
+    Rows without a date or close take no part. A row that is not newer than its
+    ticker's last date is a repeat or late: it is dropped and counted, like all
+    but one of several rows of one (ticker, date).
+    """
+    bars = materialize(bars.select("ticker", "date", F.col("close").cast("double").alias("close"))
+                       .filter("date IS NOT NULL AND close IS NOT NULL"))
+    new = bars
+    if state is not None:
+        last = state.groupBy("ticker").agg(F.max("date").alias("_last"))
+        new = S.null_safe_join(bars, last, ["ticker"], "left").filter("_last IS NULL OR date > _last").drop("_last")
+    new = materialize(first_per_key(new, ["ticker", "date"]))
+    none = [F.lit(None).cast("double").alias(c) for c in SEEDS.values()]
+    rows = new.select("ticker", "date", "close", *none, F.lit(False).alias("_history"))
+    if state is not None:
+        touched = S.null_safe_join(state.select(*STATE_COLUMNS), new.select("ticker").distinct(), ["ticker"], "left_semi")
+        rows = rows.unionByName(touched.withColumn("_history", F.lit(True)))
+    done = materialize(scan_indicators(S.with_position(materialize(rows), "ticker", "date"), by=("ticker",),
+                                       seeds=SEEDS, history="_history"))
+    ends = done.groupBy("ticker").agg(F.max(S.POS).alias("_end"))
+    tail = S.null_safe_join(done, ends, ["ticker"]).filter(F.col(S.POS) > F.col("_end") - HISTORY)
+    seeds = [F.when(F.col(S.POS) == F.col("_end"), F.col(name)).alias(seed) for name, seed in SEEDS.items()]
+    new_state = tail.select("ticker", "date", "close", *seeds)
+    if state is not None:
+        others = S.null_safe_join(state.select(*STATE_COLUMNS), ends.select("ticker"), ["ticker"], "left_anti")
+        new_state = new_state.unionByName(others)
+    counts = (bars.agg(F.count(F.lit(1)).alias("received")).withColumn("name", F.lit("received"))
+              .select("name", F.col("received").alias("n"))
+              .unionByName(new.agg(F.count(F.lit(1)).alias("n")).select(F.lit("accepted").alias("name"), "n")))
+    return done.filter("NOT _history").select("date", "ticker", "close", *INDICATOR_COLUMNS), new_state, counts

@@ -2,8 +2,9 @@
 
 The window of a bar is ``window(date, '20 days')`` (aligned to 1970-01-01).
 All fields of a row are collected as one struct, so they stay aligned even
-when one of them is NULL. A window holds at most 20 calendar days of one
-ticker, so the collected list is bounded by the calendar, not by data size.
+when one of them is NULL. Rows are collected as a set, so a bar that is sent again while its window is
+open counts once. A window holds at most 20 calendar days of one ticker, so the
+set is bounded by the calendar (and the versions of a bar), not by data size.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def collect_windows(df: DataFrame, time_col: str = "date") -> DataFrame:
     """(window, ticker, rows: array<struct<date, open, …, volume>>)."""
     return (with_window(df, time_col)
             .groupBy("window", "ticker")
-            .agg(F.collect_list(F.struct(*FIELDS)).alias("rows")))
+            .agg(F.collect_set(F.struct(*FIELDS)).alias("rows")))
 
 
 def flatten_windows(collected: DataFrame) -> DataFrame:
