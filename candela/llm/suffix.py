@@ -4,12 +4,13 @@ A byte goes if a string of ``length`` bytes that covers it also starts in a
 document with a smaller id. Every string of the corpus is judged:
 
 1. Anchors. In each string of ``length`` bytes the ``gram``-byte piece with the
-   least hash is its anchor, so equal strings have equal anchors. One pass
-   sends 32 bits of each document's anchors (one string in 18 has a new one),
+   least hash is its anchor, so equal strings have equal anchors, and share the
+   17 bytes before or after it as well. One pass sends 32 bits of each
+   document's anchors (one string in 18 has a new one) with either side,
    packed, and marks those that two documents or more have in a bit array of
    fixed size (``2**filter_bits`` bits, 16 MB). It is a filter only: a wrong
    mark costs work, never a result.
-2. Shards. Map tasks build a suffix array for each shard of about 4 MB of text,
+2. Shards. Map tasks build a suffix array for each shard of about 1 MB of text,
    over the regions whose anchors are marked, by Larsson-Sadakane refinement:
    suffixes are sorted by 8 bytes, then only those in unsorted groups by the
    ranks 8, 16 and 32 bytes further. Kasai's common prefixes (in lockstep over
@@ -44,20 +45,31 @@ from pyspark.sql import functions as F
 from candela.llm.textops import _BYTE_VALUE, _INT_BASE, _INT_INVERSE, map_batches, mix, powers, utf8_column
 from candela.session import materialize
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
-def _all_hashes(data: np.ndarray, width: int) -> np.ndarray:
+def _prefix_sums(data: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        c = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUE[data] * powers(len(data), _INT_BASE), out=c[1:])
+        return c
+
+
+def _all_hashes(data: np.ndarray, width: int, sums: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the ``width`` bytes from every place on."""
     n = len(data)
     if n < width:
         return np.zeros(0, np.uint64)
+    c = _prefix_sums(data) if sums is None else sums
     with np.errstate(over="ignore"):
-        c = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[data] * powers(n, _INT_BASE), out=c[1:])
         return mix((c[width:] - c[:-width]) * powers(n - width + 1, _INT_INVERSE))
 
 
+def _hashes_at(sums: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix((sums[at + width] - sums[at]) * powers(len(sums), _INT_INVERSE)[at])
+
+
 class Part:
     """A run of texts or pieces of a long text: bytes, and each piece's row and place in it."""
 
@@ -91,22 +103,47 @@ def parts_of(data, offsets, length: int, limit: int = SHARD_BYTES, skip=None):
         yield Part(data[a:pieces[-1][1]], *zip(*((x - a, y - a, r, b) for x, y, r, b in pieces)))
 
 
-def anchors(part: Part, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places of all strings, the anchor's place of each, hashes of all grams)."""
-    h = _all_hashes(part.data, gram)
-    place_bits = np.uint64(max(1, int(len(h)).bit_length()))
-    v = (h >> place_bits << place_bits) | np.arange(len(h), dtype=np.uint64)
+def anchors(part: Part, length: int, gram: int):
+    """Runs of strings with one anchor: (first place, last place, anchor's place, piece), prefix sums."""
+    sums = _prefix_sums(part.data)
+    v = _all_hashes(part.data, gram, sums)
+    n = len(v)
+    place_bits = np.uint64(max(1, int(n).bit_length()))
+    v >>= place_bits
+    v <<= place_bits
+    v |= np.arange(n, dtype=np.uint64)
     window, have = length - gram + 1, 1
-    while 2 * have <= window:  # least of the last 2, 4, 8 ... grams
+    while 2 * have <= window:  # least of the next 2, 4, 8 ... grams
         v = np.minimum(v[:-have], v[have:])
         have *= 2
     if have < window:
         v = np.minimum(v[:len(v) - (window - have)], v[window - have:])
-    valid = np.zeros(len(part.data) + 1, np.int8)
-    np.add.at(valid, part.starts, 1)
-    np.add.at(valid, part.ends - length + 1, -1)
-    at = np.flatnonzero(np.cumsum(valid[:len(v)]) > 0)
-    return at, (v[at] & np.uint64((1 << int(place_bits)) - 1)).astype(np.int64), h
+    edge = np.zeros(len(v) + 1, bool)
+    edge[1:-1] = v[1:] != v[:-1]
+    edge[part.starts] = True
+    edge[np.minimum(part.ends - length + 1, len(v))] = True
+    first = np.flatnonzero(edge[:-1])
+    last = np.append(first[1:], len(v)) - 1
+    piece = part.piece(first)
+    valid = first <= part.ends[piece] - length
+    first, last, piece = first[valid], last[valid], piece[valid]
+    return first, last, (v[first] & np.uint64((1 << int(place_bits)) - 1)).astype(np.int64), piece, sums
+
+
+def sided(sums, anchor, first, last, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of anchors with the bytes after and before them; 0 where these leave ``first``..``last``.
+
+    A string that begins at most ``(length - gram + 1) // 2`` bytes before its
+    anchor holds the anchor with the bytes after it, any other that with the
+    bytes before it.
+    """
+    m = (length - gram) // 2
+    after, before = np.zeros(len(anchor), np.uint64), np.zeros(len(anchor), np.uint64)
+    k = anchor + gram + m <= last
+    after[k] = _hashes_at(sums, anchor[k], gram + m) | np.uint64(1)
+    k = anchor - m >= first
+    before[k] = mix(_hashes_at(sums, anchor[k] - m, gram + m)) | np.uint64(1)
+    return after, before
 
 
 def big_endian_words(data: np.ndarray) -> np.ndarray:
@@ -211,11 +248,11 @@ def _shared_anchors(docs: DataFrame, length: int, gram: int, filter_bits: int, p
             slots = []
             data, offsets = utf8_column(batch.column(1))
             for part in parts_of(data, offsets, length, skip=batch.column(0).is_null().to_numpy(zero_copy_only=False)):
-                at, anchor, h = anchors(part, length, gram)
-                new = np.append(True, anchor[1:] != anchor[:-1])
-                row = part.rows[part.piece(at[new])]
-                both = np.unique((row.astype(np.uint64) << np.uint64(32)) | (h[anchor[new]] >> np.uint64(32)))
-                slots.append(both.astype(np.uint32))
+                _first, _last, anchor, piece, sums = anchors(part, length, gram)
+                h = sided(sums, anchor, part.starts[piece], part.ends[piece], length, gram)
+                row = part.rows[piece].astype(np.uint64) << np.uint64(32)
+                both = np.concatenate([(row | (x >> np.uint64(32)))[x > 0] for x in h])
+                slots.append(np.unique(both).astype(np.uint32))
             if slots:
                 slots = np.sort(np.concatenate(slots))
                 cuts = np.searchsorted(slots, (np.arange(1, parts, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
@@ -254,7 +291,106 @@ def _ranges(row, first, last, ids, sigs):
             pa.ListArray.from_arrays(offs, pa.array(last.astype(np.int64)))]
 
 
-_NAMES = ["part", "id", "sig", "firsts", "lasts", "ids", "sigs", "packed"]
+_NAMES = ["part", "id", "sig", "firsts", "lasts", "packed"]
+
+
+def shard_rows(batches, bits: np.ndarray, length: int, gram: int, parts: int):
+    """Cuts within shards, and runs of what is left for the partitions, of (id, sig, text) batches."""
+    filter_bits = int(len(bits)).bit_length() + 2
+    for batch in batches:
+        data, offsets = utf8_column(batch.column(2))
+        ids, sigs = batch.column(0), batch.column(1)
+        number = ids.fill_null(0).to_numpy()
+        skip = ids.is_null().to_numpy(zero_copy_only=False)
+        left, size_left = [], 0
+        for part in parts_of(data, offsets, length, skip=skip):
+            first, last, anchor, piece, sums = anchors(part, length, gram)
+            marked = []
+            for x in sided(sums, anchor, part.starts[piece], part.ends[piece], length, gram):
+                slot = (x >> np.uint64(64 - filter_bits)).astype(np.int64)
+                marked.append((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool) & (x > 0))
+            # of each run, strings that begin well before the anchor, then the others, as ranges
+            turn = np.clip(anchor - (length - gram + 1) // 2, first, last + 1)
+            lo = np.stack([first, turn], 1).ravel()
+            size = np.stack([np.where(marked[1], turn - first, 0), np.where(marked[0], last + 1 - turn, 0)], 1).ravel()
+            run = np.repeat(np.arange(len(first)), 2)[size > 0]
+            lo, size = lo[size > 0], size[size > 0]
+            if not len(lo):
+                continue
+            # regions of adjoining ranges: their bytes, and where their strings start
+            piece = piece[run]
+            a = np.append(0, np.flatnonzero((lo[1:] != lo[:-1] + size[:-1]) | (piece[1:] != piece[:-1])) + 1)
+            b = np.append(a[1:], len(lo)) - 1
+            sizes = lo[b] + size[b] - lo[a] + length - 1
+            text = part.data[_gather(lo[a], sizes)]
+            moved = np.repeat(np.cumsum(sizes) - sizes - lo[a], b - a + 1)
+            at = _gather(lo, size)
+            starts = at + np.repeat(moved, size)
+            row = np.repeat(part.rows[piece], size)
+            place = at + np.repeat(part.base[piece] - part.starts[piece], size)
+            anchor = np.repeat(anchor[run], size)
+            order, group = equal_groups(text, length)
+            which = np.full(len(text), -1, np.int64)
+            which[starts] = np.arange(len(at))
+            mine = which[order]
+            group, mine = group[mine >= 0], mine[mine >= 0]
+            doc = number[row]
+            first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            least = np.minimum.reduceat(doc[mine], first)
+            cut = np.zeros(len(at), bool)
+            cut[mine] = doc[mine] > np.repeat(least, np.diff(np.append(first, len(mine))))
+            k = np.flatnonzero(cut)
+            if len(k):
+                a, b = _runs(place[k], row[k])
+                found = _ranges(row[k][a], place[k][a], place[k][b] + length, ids, sigs)
+                m = len(found[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((mix(np.arange(m, dtype=np.uint64) + sums[-1]) % np.uint64(parts)).astype(np.int32)), *found,
+                     pa.nulls(m, pa.binary())], names=_NAMES)
+            k = np.flatnonzero(~cut)
+            if len(k):
+                a, b = _runs(at[k], anchor[k], row[k])
+                sizes = at[k][b] - at[k][a] + length
+                left.append((_hashes_at(sums, anchor[k][a], gram), row[k][a], place[k][a], sizes,
+                             part.data[_gather(at[k][a], sizes)]))
+                size_left += int(sizes.sum())
+            if size_left > 4 * SHARD_BYTES:
+                yield _packed_runs(left, number, sigs, parts)
+                left, size_left = [], 0
+        if left:
+            yield _packed_runs(left, number, sigs, parts)
+
+
+def _packed_runs(left: list, number, sigs, parts: int) -> pa.RecordBatch:
+    """A row for each partition: its runs' ids, text hashes, places, sizes and bytes."""
+    h, row, place, size, text = (np.concatenate(x) for x in zip(*left))
+    to = (mix(h) % np.uint64(parts)).astype(np.int32)
+    by = np.argsort(to, kind="stable")
+    text = text[_gather((np.cumsum(size) - size)[by], size[by])]
+    to, row, place, size = to[by], row[by], place[by], size[by]
+    ids, sig = number[row], sigs.to_numpy()[row]
+    ends = np.append(0, np.cumsum(size))
+    edge = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+    packed = [b"".join([np.uint32(y - x).tobytes(), ids[x:y].tobytes(), sig[x:y].tobytes(),
+                        place[x:y].astype(np.uint64).tobytes(), size[x:y].astype(np.uint16).tobytes(),
+                        text[ends[x]:ends[y]].tobytes()])
+              for x, y in zip(edge.tolist(), np.append(edge[1:], len(to)).tolist())]
+    m = len(packed)
+    empty = pa.nulls(m, pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(to[edge]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), empty, empty,
+                                       pa.array(packed, pa.binary())], names=_NAMES)
+
+
+def merge_rows(batches, length: int):
+    """The cuts of one partition: those found within shards, and those found by merging its runs."""
+    merged = _Merged(length)
+    for batch in batches:
+        local = batch.filter(batch.column("packed").is_null())
+        if local.num_rows:
+            yield local.select(["id", "sig", "firsts", "lasts"])
+        for i in np.flatnonzero(batch.column("packed").is_valid().to_numpy(zero_copy_only=False)).tolist():
+            merged.add(batch.column("packed")[i].as_py())
+    yield from merged.cuts()
 
 
 def cuts(docs: DataFrame, length: int = 50, gram: int = 16, filter_bits: int = 27) -> DataFrame:
@@ -264,87 +400,14 @@ def cuts(docs: DataFrame, length: int = 50, gram: int = 16, filter_bits: int = 2
     conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
     filter_parts = 1 << max(5, math.ceil(math.log2(max(1, size / (64 << 20)))))
     marked = spark.sparkContext.broadcast(_shared_anchors(docs, length, gram, filter_bits, min(filter_parts, 1 << 16)))
-    parts = max(conf, math.ceil(size / (8 << 20)))
+    parts = max(conf, math.ceil(size / (2 << 20)))
 
     def shards(batches):
-        for batch in batches:
-            data, offsets = utf8_column(batch.column(2))
-            ids, sigs = batch.column(0), batch.column(1)
-            number = ids.fill_null(0).to_numpy()
-            skip = ids.is_null().to_numpy(zero_copy_only=False)
-            bits = marked.value
-            for part in parts_of(data, offsets, length, skip=skip):
-                at, anchor, h = anchors(part, length, gram)
-                slot = (h[anchor] >> np.uint64(64 - filter_bits)).astype(np.int64)
-                often = (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
-                at, anchor = at[often], anchor[often]
-                if not len(at):
-                    continue
-                piece = part.piece(at)
-                a, b = _runs(at, piece)
-                # the regions' bytes, and where their strings start
-                sizes = at[b] - at[a] + length
-                text = part.data[_gather(at[a], sizes)]
-                starts = _gather(np.cumsum(sizes) - sizes, b - a + 1)
-                order, group = equal_groups(text, length)
-                which = np.full(len(text), -1, np.int64)
-                which[starts] = np.arange(len(at))
-                mine = which[order]
-                group, mine = group[mine >= 0], mine[mine >= 0]
-                row = part.rows[piece]
-                doc = number[row]
-                first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-                least = np.minimum.reduceat(doc[mine], first)
-                cut = np.zeros(len(at), bool)
-                cut[mine] = doc[mine] > np.repeat(least, np.diff(np.append(first, len(mine))))
-                place = part.base[piece] + at - part.starts[piece]
-                k = np.flatnonzero(cut)
-                if len(k):
-                    a, b = _runs(place[k], row[k])
-                    found = _ranges(row[k][a], place[k][a], place[k][b] + length, ids, sigs)
-                    m = len(found[0])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((mix(np.arange(m, dtype=np.uint64) + h[0]) % np.uint64(parts)).astype(np.int32)), *found,
-                         pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.binary())],
-                        names=_NAMES)
-                k = np.flatnonzero(~cut)
-                if not len(k):
-                    continue
-                a, b = _runs(at[k], anchor[k], piece[k])
-                to = (mix(h[anchor[k][a]]) % np.uint64(parts)).astype(np.int64)
-                by = np.argsort(to, kind="stable")
-                a, b, to = a[by], b[by], to[by]
-                sizes = at[k][b] - at[k][a] + length
-                bytes_ = part.data[_gather(at[k][a], sizes)]
-                byte_ends = np.append(0, np.cumsum(sizes))
-                edges = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
-                out = []
-                for x, y in zip(edges.tolist(), np.append(edges[1:], len(to)).tolist()):
-                    rows, doc_at = np.unique(row[k][a[x:y]], return_inverse=True)
-                    packed = b"".join([np.uint32(y - x).tobytes(), doc_at.astype(np.uint32).tobytes(),
-                                       place[k][a[x:y]].astype(np.uint64).tobytes(), sizes[x:y].astype(np.uint16).tobytes(),
-                                       bytes_[byte_ends[x]:byte_ends[y]].tobytes()])
-                    who = pa.array(rows)
-                    out.append((int(to[x]), ids.take(who).to_pylist(), sigs.take(who).to_pylist(), packed))
-                m = len(out)
-                empty = pa.nulls(m, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in out], pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), empty, empty,
-                     pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.int64())),
-                     pa.array([x[3] for x in out], pa.binary())], names=_NAMES)
+        return shard_rows(batches, marked.value, length, gram, parts)
 
     def merge(batches):
-        merged = _Merged(length)
-        for batch in batches:
-            local = batch.filter(batch.column("packed").is_null())
-            if local.num_rows:
-                yield local.select(["id", "sig", "firsts", "lasts"])
-            for i in np.flatnonzero(batch.column("packed").is_valid().to_numpy(zero_copy_only=False)).tolist():
-                merged.add(batch.column("ids")[i].values.to_numpy(), batch.column("sigs")[i].values.to_numpy(),
-                           batch.column("packed")[i].as_py())
-        yield from merged.cuts()
-    schema = ("part int, id long, sig long, firsts array<long>, lasts array<long>, ids array<long>, "
-              "sigs array<long>, packed binary")
+        return merge_rows(batches, length)
+    schema = "part int, id long, sig long, firsts array<long>, lasts array<long>, packed binary"
     return (docs.select("id", "sig", "text").mapInArrow(shards, schema).repartition(parts, "part")
             .drop("part").mapInArrow(merge, "id long, sig long, firsts array<long>, lasts array<long>"))
 
@@ -357,40 +420,42 @@ class _Merged:
     def __init__(self, length: int):
         self.length = length
         self.keys, self.least = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.where = np.zeros(0, np.int64)  # a string with that key: run << 40 | place
-        self.runs, self.waiting, self.size = [], [], 0
+        self.where = np.zeros(0, np.int64)  # the place of a string with that key, in all runs' texts
+        self.runs, self.waiting, self.size, self.base = [], [], 0, 0
 
-    def add(self, ids, sigs, packed: bytes) -> None:
+    def add(self, packed: bytes) -> None:
         n = int(np.frombuffer(packed, np.uint32, 1)[0])
-        doc = np.frombuffer(packed, np.uint32, n, 4)
-        place = np.frombuffer(packed, np.uint64, n, 4 + 4 * n).astype(np.int64)
-        size = np.frombuffer(packed, np.uint16, n, 4 + 12 * n).astype(np.int64)
-        text = np.frombuffer(packed, np.uint8, offset=4 + 14 * n)
-        self.waiting.append((ids[doc], sigs[doc], place, size, text))
+        ids, sigs = np.frombuffer(packed, np.int64, n, 4), np.frombuffer(packed, np.int64, n, 4 + 8 * n)
+        place = np.frombuffer(packed, np.uint64, n, 4 + 16 * n).astype(np.int64)
+        size = np.frombuffer(packed, np.uint16, n, 4 + 24 * n).astype(np.int64)
+        text = np.frombuffer(packed, np.uint8, offset=4 + 26 * n)
+        self.waiting.append((ids, sigs, place, size, text))
         self.size += len(text)
         if self.size > self.RUN:
             self._flush()
 
-    def _strings(self, run):
-        """(key, place in the run's text, number of its context) of each string."""
-        _ids, _sigs, _place, size, text = run
+    def _strings(self, size) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the run's text, number of its context) of each string."""
         n = size - self.length + 1
-        at = _gather(np.cumsum(size) - size, n)
-        return _all_hashes(text, self.length)[at], at, np.repeat(np.arange(len(n)), n)
+        return _gather(np.cumsum(size) - size, n), np.repeat(np.arange(len(n)), n)
 
     def _flush(self) -> None:
         if not self.waiting:
             return
-        run = tuple(np.concatenate(x) for x in zip(*self.waiting))
+        ids, sigs, place, size, text = (np.concatenate(x) for x in zip(*self.waiting))
         self.waiting, self.size = [], 0
-        self.runs.append(run)
-        key, at, context = self._strings(run)
-        doc = run[0][context]
+        at, context = self._strings(size)
+        key = _all_hashes(text, self.length)[at]
         order = np.argsort(key)
-        key, at, doc = key[order], at[order], doc[order]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        least = np.minimum.reduceat(doc, first)
-        key, where = key[first], at[first] | ((len(self.runs) - 1) << 40)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        first = np.flatnonzero(new)
+        which = np.zeros(len(key), np.int32)  # of each string among the run's keys
+        which[order] = np.cumsum(new) - 1
+        least = np.minimum.reduceat(ids[context[order]], first)
+        key, where = key[first], at[order[first]] + self.base
+        self.runs.append((ids, sigs, place, size, text, key, which, self.base))
+        self.base += len(text)
         to = np.searchsorted(self.keys, key)
         there = np.zeros(len(key), bool)
         inside = to < len(self.keys)
@@ -400,48 +465,40 @@ class _Merged:
         self.keys, self.least, self.where = (np.insert(x, to[new], y[new]) for x, y in (
             (self.keys, key), (self.least, least), (self.where, where)))
 
-    def _bytes(self, where: np.ndarray) -> np.ndarray:
-        """The strings' bytes, a row each."""
-        out = np.zeros((len(where), self.length), np.uint8)
-        run = where >> 40
-        for r in np.unique(run):
-            mine = np.flatnonzero(run == r)
-            at = where[mine] & ((1 << 40) - 1)
-            out[mine] = self.runs[r][4][at[:, None] + np.arange(self.length)]
-        return out
-
-    def _different(self) -> dict:
+    def _different(self, text: np.ndarray) -> dict:
         """Smallest document by key and string, for keys of more than one string."""
+        words = big_endian_words(text)
+        steps = [*range(0, self.length - 8, 8), self.length - 8]
         odd = set()
-        for number, run in enumerate(self.runs):
-            key, at, _context = self._strings(run)
-            # of a run's equal keys in one document all but the first are compared as well
-            to = np.searchsorted(self.keys, key)
-            for a in range(0, len(key), 1 << 17):
-                b = a + (1 << 17)
-                mine = self._bytes(at[a:b] | (number << 40))
-                same = (mine == self._bytes(self.where[to[a:b]])).all(1)
-                odd.update(key[a:b][~same].tolist())
+        for _ids, _sigs, _place, size, _text, key, which, base in self.runs:
+            at, _context = self._strings(size)
+            at += base
+            other = self.where[np.searchsorted(self.keys, key)][which]
+            for k in steps:
+                bad = words[at + k] != words[other + k]
+                if bad.any():
+                    odd.update(key[which[bad]].tolist())
         found: dict[tuple, int] = {}
-        for number, run in enumerate(self.runs if odd else []):
-            key, at, context = self._strings(run)
-            for i in np.flatnonzero(np.isin(key, np.array(list(odd), np.uint64))).tolist():
-                who = (int(key[i]), run[4][at[i]:at[i] + self.length].tobytes())
-                doc = int(run[0][context[i]])
+        for ids, _sigs, _place, size, text, key, which, _base in self.runs if odd else []:
+            at, context = self._strings(size)
+            for i in np.flatnonzero(np.isin(key, np.array(list(odd), np.uint64))[which]).tolist():
+                who = (int(key[which[i]]), text[at[i]:at[i] + self.length].tobytes())
+                doc = int(ids[context[i]])
                 found[who] = min(doc, found.get(who, doc))
         return found
 
     def cuts(self):
         self._flush()
-        different = self._different()
+        if not self.runs:
+            return
+        different = self._different(np.concatenate([run[4] for run in self.runs]))
         odd = np.array(sorted({k for k, _ in different}), np.uint64)
-        for run in self.runs:
-            key, at, context = self._strings(run)
-            least = self.least[np.searchsorted(self.keys, key)].copy()
+        for ids, sigs, place, size, text, key, which, _base in self.runs:
+            at, context = self._strings(size)
+            least = self.least[np.searchsorted(self.keys, key)][which]
             if len(odd):
-                for i in np.flatnonzero(np.isin(key, odd)).tolist():
-                    least[i] = different[int(key[i]), run[4][at[i]:at[i] + self.length].tobytes()]
-            ids, sigs, place, size, _text = run
+                for i in np.flatnonzero(np.isin(key, odd)[which]).tolist():
+                    least[i] = different[int(key[which[i]]), text[at[i]:at[i] + self.length].tobytes()]
             k = np.flatnonzero(ids[context] > least)
             if not len(k):
                 continue

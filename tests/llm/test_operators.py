@@ -338,10 +338,10 @@ def test_small_shards_and_runs_merge(texts, monkeypatch):
     for limit in (150, 5000):
         seen = []
         for part in suffix.parts_of(data, offsets, 50, limit):
-            at, anchor, _h = suffix.anchors(part, 50, 16)
-            assert ((anchor >= at) & (anchor <= at + 34)).all()
-            k = part.piece(at)
-            seen += list(zip(part.rows[k].tolist(), (part.base[k] + at - part.starts[k]).tolist()))
+            first, last, anchor, piece, _sums = suffix.anchors(part, 50, 16)
+            assert ((anchor >= last) & (anchor <= first + 34)).all()
+            for a, b, k in zip(first.tolist(), last.tolist(), piece.tolist()):
+                seen += [(int(part.rows[k]), int(part.base[k] - part.starts[k]) + x) for x in range(a, b + 1)]
         want = [(i, s) for i in range(len(texts)) for s in range(int(offsets[i + 1] - offsets[i]) - 49)]
         assert sorted(seen) == want
 
@@ -352,14 +352,13 @@ def test_merged_strings_of_one_key(monkeypatch):
     monkeypatch.setattr(suffix._Merged, "RUN", 60)
 
     def blob(*runs):
-        text = b"".join(t for _, _, t in runs)
-        return b"".join([np.uint32(len(runs)).tobytes(), np.arange(len(runs), dtype=np.uint32).tobytes(),
-                         np.array([p for _, p, _ in runs], np.uint64).tobytes(),
-                         np.array([len(t) for _, _, t in runs], np.uint16).tobytes(), text])
+        return b"".join([np.uint32(len(runs)).tobytes(), np.array([d for d, _, _ in runs]).tobytes(),
+                         np.zeros(len(runs), np.int64).tobytes(), np.array([p for _, p, _ in runs], np.uint64).tobytes(),
+                         np.array([len(t) for _, _, t in runs], np.uint16).tobytes(), b"".join(t for _, _, t in runs)])
     a, b = b"a" * 50, b"b" * 50
     m = suffix._Merged(50)
     for doc, place, text in ((9, 0, a), (4, 3, b), (2, 7, a), (8, 1, b)):
-        m.add(np.array([doc]), np.array([0]), blob((doc, place, text)))
+        m.add(blob((doc, place, text)))
     got = [(x["id"], x["firsts"], x["lasts"]) for batch in m.cuts() for x in batch.to_pylist()]
     assert sorted(got) == [(8, [1], [51]), (9, [0], [50])]
 
