@@ -282,16 +282,15 @@ def _shared_anchors(docs: DataFrame, length: int, gram: int, filter_bits: int, p
     return out
 
 
-def _ranges(row, first, last, ids, sigs):
-    """A record batch (id, sig, firsts, lasts) with the ranges of each row; rows ascend."""
-    starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-    offs = pa.array(np.append(starts, len(row)).astype(np.int32))
-    who = pa.array(row[starts])
-    return [ids.take(who), sigs.take(who), pa.ListArray.from_arrays(offs, pa.array(first.astype(np.int64))),
-            pa.ListArray.from_arrays(offs, pa.array(last.astype(np.int64)))]
+_NAMES = ["part", "cut", "packed"]
+_FIELDS = "part int, cut boolean, packed binary"
 
 
-_NAMES = ["part", "id", "sig", "firsts", "lasts", "packed"]
+def _packed_cuts(part: list[int], cuts: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows of cuts; each array has the rows id, text hash, first and last."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part, pa.int32()), pa.array([True] * len(part)),
+         pa.array([np.ascontiguousarray(x, "<i8").tobytes() for x in cuts], pa.binary())], names=_NAMES)
 
 
 def shard_rows(batches, bits: np.ndarray, length: int, gram: int, parts: int):
@@ -342,11 +341,9 @@ def shard_rows(batches, bits: np.ndarray, length: int, gram: int, parts: int):
             k = np.flatnonzero(cut)
             if len(k):
                 a, b = _runs(place[k], row[k])
-                found = _ranges(row[k][a], place[k][a], place[k][b] + length, ids, sigs)
-                m = len(found[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((mix(np.arange(m, dtype=np.uint64) + sums[-1]) % np.uint64(parts)).astype(np.int32)), *found,
-                     pa.nulls(m, pa.binary())], names=_NAMES)
+                who = row[k][a]
+                yield _packed_cuts([int(sums[-1] % np.uint64(parts))], [np.stack(
+                    [number[who], sigs.to_numpy()[who], place[k][a], place[k][b] + length])])
             k = np.flatnonzero(~cut)
             if len(k):
                 a, b = _runs(at[k], anchor[k], row[k])
@@ -375,26 +372,54 @@ def _packed_runs(left: list, number, sigs, parts: int) -> pa.RecordBatch:
                         place[x:y].astype(np.uint64).tobytes(), size[x:y].astype(np.uint16).tobytes(),
                         text[ends[x]:ends[y]].tobytes()])
               for x, y in zip(edge.tolist(), np.append(edge[1:], len(to)).tolist())]
-    m = len(packed)
-    empty = pa.nulls(m, pa.list_(pa.int64()))
-    return pa.RecordBatch.from_arrays([pa.array(to[edge]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), empty, empty,
-                                       pa.array(packed, pa.binary())], names=_NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(to[edge]), pa.array([False] * len(packed)), pa.array(packed, pa.binary())],
+                                      names=_NAMES)
 
 
-def merge_rows(batches, length: int):
-    """The cuts of one partition: those found within shards, and those found by merging its runs."""
-    merged = _Merged(length)
+def merge_rows(batches, length: int, parts: int):
+    """The cuts of one partition, within shards and by merging its runs, for partitions by document."""
+    merged, found = _Merged(length), []
     for batch in batches:
-        local = batch.filter(batch.column("packed").is_null())
-        if local.num_rows:
-            yield local.select(["id", "sig", "firsts", "lasts"])
-        for i in np.flatnonzero(batch.column("packed").is_valid().to_numpy(zero_copy_only=False)).tolist():
-            merged.add(batch.column("packed")[i].as_py())
-    yield from merged.cuts()
+        for cut, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if cut:
+                found.append(np.frombuffer(packed, "<i8").reshape(4, -1))
+            else:
+                merged.add(packed)
+    found += merged.cuts()
+    if found:
+        cuts = np.concatenate(found, 1)
+        to = (mix(cuts[0].view(np.uint64) ^ mix(cuts[1].view(np.uint64))) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        to, cuts = to[order], cuts[:, order]
+        edge = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+        yield _packed_cuts(to[edge].tolist(), np.split(cuts, edge[1:], 1))
+
+
+def unite_rows(batches):
+    """(id, sig, cut): the maximal spans of each document's cuts, packed as pairs of int64."""
+    found = [np.frombuffer(x, "<i8").reshape(4, -1) for batch in batches for x in batch.column(0).to_pylist()]
+    if not found:
+        return
+    cuts = np.concatenate(found, 1)
+    doc, sig, first, last = cuts[:, np.lexsort((cuts[2], cuts[1], cuts[0]))]
+    new_doc = np.append(True, (doc[1:] != doc[:-1]) | (sig[1:] != sig[:-1]))
+    # documents one after the other on one line: a later one begins beyond all ends of those before
+    line = (np.cumsum(new_doc) - 1) * (int(last.max()) + 2)
+    reach = np.maximum.accumulate(line + last)
+    new = np.append(True, line[1:] + first[1:] > reach[:-1])
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], len(line)) - 1
+    spans = np.stack([first[start], (reach - line)[end]], 1).astype("<i8")
+    edge = np.flatnonzero(new_doc[start])
+    ends = np.append(edge[1:], len(spans))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(doc[start][edge]), pa.array(sig[start][edge]),
+         pa.array([spans[a:b].tobytes() for a, b in zip(edge.tolist(), ends.tolist())], pa.binary())],
+        names=["id", "sig", "cut"])
 
 
 def cuts(docs: DataFrame, length: int = 50, gram: int = 16, filter_bits: int = 27) -> DataFrame:
-    """(id, sig, firsts, lasts): byte ranges to remove, not united, of ``docs`` (id, sig, text)."""
+    """(id, sig, cut): the byte spans to remove of ``docs`` (id, sig, text), packed; documents without are left out."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -406,10 +431,10 @@ def cuts(docs: DataFrame, length: int = 50, gram: int = 16, filter_bits: int = 2
         return shard_rows(batches, marked.value, length, gram, parts)
 
     def merge(batches):
-        return merge_rows(batches, length)
-    schema = "part int, id long, sig long, firsts array<long>, lasts array<long>, packed binary"
-    return (docs.select("id", "sig", "text").mapInArrow(shards, schema).repartition(parts, "part")
-            .drop("part").mapInArrow(merge, "id long, sig long, firsts array<long>, lasts array<long>"))
+        return merge_rows(batches, length, conf)
+    return (docs.select("id", "sig", "text").mapInArrow(shards, _FIELDS).repartition(parts, "part")
+            .select("cut", "packed").mapInArrow(merge, _FIELDS).repartition(conf, "part")
+            .select("packed").mapInArrow(unite_rows, "id long, sig long, cut binary"))
 
 
 class _Merged:
@@ -487,10 +512,12 @@ class _Merged:
                 found[who] = min(doc, found.get(who, doc))
         return found
 
-    def cuts(self):
+    def cuts(self) -> list[np.ndarray]:
+        """Arrays of id, text hash, first and last of what larger documents lose."""
         self._flush()
+        out: list[np.ndarray] = []
         if not self.runs:
-            return
+            return out
         different = self._different(np.concatenate([run[4] for run in self.runs]))
         odd = np.array(sorted({k for k, _ in different}), np.uint64)
         for ids, sigs, place, size, text, key, which, _base in self.runs:
@@ -506,15 +533,8 @@ class _Merged:
             a, b = _runs(at[k], context[k])
             first = place[context[k][a]] + (at[k] - begin)[a]
             last = place[context[k][b]] + (at[k] - begin)[b] + self.length
-            # by document
-            doc, sig = ids[context[k][a]], sigs[context[k][a]]
-            order = np.lexsort((first, sig, doc))
-            doc, sig, first, last = doc[order], sig[order], first[order], last[order]
-            edge = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (sig[1:] != sig[:-1])))
-            offs = pa.array(np.append(edge, len(doc)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[edge]), pa.array(sig[edge]), pa.ListArray.from_arrays(offs, pa.array(first)),
-                 pa.ListArray.from_arrays(offs, pa.array(last))], names=["id", "sig", "firsts", "lasts"])
+            out.append(np.stack([ids[context[k][a]], sigs[context[k][a]], first, last]))
+        return out
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50,
@@ -525,23 +545,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     strings are bytes and can end inside a character.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("sig"), F.col(text).alias("text"))
-    found = cuts(rows, length)
-
-    def unite(batches):
-        for batch in batches:
-            spans = []
-            for firsts, lasts in zip(batch.column(2), batch.column(3)):
-                a = firsts.values.flatten().to_numpy()
-                b = lasts.values.flatten().to_numpy()
-                order = np.argsort(a, kind="stable")
-                a, b = a[order], np.maximum.accumulate(b[order])
-                new = np.append(True, a[1:] > b[:-1])
-                ends = b[np.append(np.flatnonzero(new)[1:] - 1, len(b) - 1)]
-                spans.append(np.stack([a[new], ends], 1).astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, pa.binary())],
-                                             names=["id", "sig", "cut"])
-    spans = materialize(found.groupBy("id", "sig").agg(F.collect_list("firsts").alias("a"), F.collect_list("lasts").alias("b"))
-                        .mapInArrow(unite, "id long, sig long, cut binary"))
+    spans = materialize(cuts(rows, length))
     size = spans.agg(F.coalesce(F.sum(F.length("cut") + 24), F.lit(0))).first()[0]
     joined = rows.join(F.broadcast(spans) if size <= broadcast_bytes else spans, ["id", "sig"], "left")
 

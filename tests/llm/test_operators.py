@@ -359,8 +359,8 @@ def test_merged_strings_of_one_key(monkeypatch):
     m = suffix._Merged(50)
     for doc, place, text in ((9, 0, a), (4, 3, b), (2, 7, a), (8, 1, b)):
         m.add(blob((doc, place, text)))
-    got = [(x["id"], x["firsts"], x["lasts"]) for batch in m.cuts() for x in batch.to_pylist()]
-    assert sorted(got) == [(8, [1], [51]), (9, [0], [50])]
+    got = [(x[0], x[2], x[3]) for cuts in m.cuts() for x in cuts.T.tolist()]
+    assert sorted(got) == [(8, 1, 51), (9, 0, 50)]
 
 
 def test_suffix_array_and_prefixes():
