@@ -15,15 +15,19 @@ lower-cased words); documents link from a similarity of ``percent`` / 100 on.
    document only are dropped.
 3. Groups. Documents with equal sets collapse to the one with the smallest id,
    and of those, documents with equal prefixes and sizes to one group.
-4. Stars. In each bucket of a prefix shingle, every group is paired with the
-   bucket's smallest group only, and every member of a group with its first;
-   pairs must pass the size, position and sketch filters (a sketch holds the
-   parities of 1024 hash buckets; its distance never exceeds the sets'). One
-   pair for each document is verified and gives first components.
-5. Rest. Groups expand to their members; the pairs of a bucket that lie in
-   different components so far pass the same filters and are verified, unless
-   they were. A large group of near copies is one component by then, so
-   it gives no pairs, and no bucket emits all its pairs.
+4. Stars. In each bucket of a prefix shingle, every group is paired with one
+   centre only (by four orders of the groups, so that one document meets several
+   centres), and every member of a group with its first; pairs must pass the
+   size, position and sketch filters (a sketch holds the parities of 1024 hash
+   buckets; its distance never exceeds the sets'). The most promising
+   pair of each document is verified, which gives first components. ``turns`` times more, groups expand to
+   members, and in buckets of several components every document is paired with
+   a centre drawn for that bucket, if that lies in another component.
+5. Rest. The pairs of a bucket that lie in different components still pass the
+   same filters and are verified, unless they were. A large group of near
+   copies is one component by then, so it gives no pairs. In large buckets
+   the join itself compares short sketches, so of documents that resemble one
+   another without a link it emits no pairs either.
 6. Components of all verified links.
 
 Verification intersects whole sets; their texts are read again for the
@@ -49,7 +53,7 @@ from pyspark.sql import functions as F
 from candela.llm.components import components
 from candela.llm.textops import (HashTable, cut_at_non_word, hash_windows, lower_ascii, mix, slices,
                                  utf8_column, words_of)
-from candela.session import materialize
+from candela.session import discard, materialize
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -228,27 +232,39 @@ def _shared_prefixes(signed: DataFrame, parts: int) -> DataFrame:
 
 
 def _may_link(percent: int, a: str = "", b: str = "2") -> Column:
-    """The size filter, and the position filter at a shared prefix shingle."""
+    """The size filter, and the position filter at a shared prefix shingle.
+
+    The latter holds at the first shared shingle, where any linked pair passes it.
+    """
     x, y, i, j = (F.col(c) for c in (f"n{a}", f"n{b}", f"place{a}", f"place{b}"))
     size = (100 * F.least(x, y) >= percent * F.greatest(x, y))
     return size & ((100 + percent) * (F.least(x - i, y - j)) >= percent * (x + y))
 
 
+def _folded(sketch: Column, k: int) -> Column:
+    """One of 4 words of parities that each join 4 of the sketch's 16 words (distances only shrink)."""
+    word = sketch[k]
+    for j in range(1, 4):
+        word = word.bitwiseXOR(sketch[k + 4 * j])
+    return word
+
+
 class _Join:
     def __init__(self, docs, key, text, width, percent, nodes, broadcast_ids):
         self.docs, self.key, self.text = docs, key, text
         self.width, self.percent, self.nodes, self.broadcast_ids = width, percent, nodes, broadcast_ids
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes and sketches allow a link."""
+        """Pairs (a, b) whose sizes and sketches allow a link, with ``far``, the sketches' relative distance."""
         n = self.nodes.select("rep", "n", "sketch")
         a = n.withColumnsRenamed({"rep": "a", "n": "na", "sketch": "sa"})
         b = n.withColumnsRenamed({"rep": "b", "n": "nb", "sketch": "sb"})
         apart = F.expr("aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
         return (pairs.join(a, "a").join(b, "b")
                 .filter(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb"))
-                .filter((100 + self.percent) * apart <= (100 - self.percent) * (F.col("na") + F.col("nb")))
-                .select("a", "b"))
+                .withColumn("far", apart / (F.col("na") + F.col("nb")))
+                .filter((100 + self.percent) * F.col("far") <= 100 - self.percent + 1e-9)
+                .select(*pairs.columns, "far"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs with 100 * intersection >= percent * union."""
@@ -269,15 +285,18 @@ class _Join:
                                                      names=["id", "shingles"])
         texts = self.docs.select(F.col(self.key).alias("id"), F.col(self.text).alias("text"))
         sets = materialize(texts.join(wanted, "id").select("id", "text")
-                           .mapInArrow(whole_sets, f"id {kind}, shingles array<long>").dropDuplicates(["id"]))
+                           .mapInArrow(whole_sets, f"id {kind}, shingles array<long>"))
         a, b = (sets.withColumnsRenamed({"id": x, "shingles": f"set_{x}"}) for x in "ab")
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
-        return (pairs.join(a, "a").join(b, "b").filter(100 * common >= self.percent * union).select("a", "b"))
+        found = materialize(pairs.join(a, "a").join(b, "b").filter(100 * common >= self.percent * union)
+                            .select("a", "b").distinct())  # an id may have several rows
+        discard(sets)
+        return found
 
 
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, width: int = 5,
-                   listed: int = 1 << 18, least: int = 16, broadcast_ids: int = 500_000) -> DataFrame:
+                   listed: int = 1 << 18, least: int = 16, broadcast_ids: int = 500_000, turns: int = 1) -> DataFrame:
     """(key, n_shingles, component_id) of each document; the smallest key reached by links."""
     spark = docs.sparkSession
     docs = docs.select(key, text)
@@ -285,11 +304,15 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / (64 << 20)))
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, text, width, least, listed, parts))
     signed = materialize(_signatures(docs, key, text, width, percent, frequent, parts))
-    rows = signed.filter("part = -1").select("id", "n", "s1", "s2", "p1", "p2", "sketch")
+    shared = materialize(_shared_prefixes(signed, parts)).withColumnRenamed("id", "rep")
+    rows = materialize(signed.filter("part = -1").select("id", "n", "s1", "s2", "p1", "p2", "sketch"))
+    discard(signed)
     sets = rows.filter("n > 0 AND id IS NOT NULL")
 
     # equal sets, then equal prefixes and sizes
-    reps = sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
+    # (aggregates are written before they are joined to their rows: adaptive execution can then
+    # split a hot key of the join, which it can't right above an aggregate)
+    reps = materialize(sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")))
     members = materialize(sets.select("id", "n", "s1", "s2").join(reps, ["n", "s1", "s2"]).select("id", "rep"))
     heads = members.filter("id = rep").select("rep").distinct()
     signs = sets.withColumnRenamed("id", "rep").join(heads, "rep").dropDuplicates(["rep"])
@@ -297,33 +320,76 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
     nodes = materialize(signs.join(groups, ["n", "p1", "p2"]).select("rep", "gid", "n", "sketch"))
     join = _Join(docs, key, text, width, percent, nodes, broadcast_ids)
 
-    shared = materialize(_shared_prefixes(signed, parts))
-    tokens = shared.withColumnRenamed("id", "rep").join(nodes.select("rep", "gid"), "rep")
-    by_group = tokens.filter("rep = gid").select("token", "rep", "n", "place")
-    centre = (by_group.groupBy("token").agg(F.min(F.struct("rep", "n", "place")).alias("c"), F.count("*").alias("groups"))
-              .filter("groups > 1").select("token", F.col("c.rep").alias("b"), F.col("c.n").alias("n2"), F.col("c.place").alias("place2")))
-    stars = by_group.withColumnRenamed("rep", "a").join(centre, "token").filter("a != b").filter(_may_link(percent))
-    firsts = nodes.filter("rep != gid").select(F.col("rep").alias("a"), F.col("gid").alias("b"))
-    pairs = join.sketched(stars.select("a", "b").union(firsts).distinct())
-    tried = materialize(pairs.groupBy("a").agg(F.min("b").alias("b")))
-    links = materialize(join.verified(tried))
-
-    # what the first components leave apart
-    found = components(links)
-    placed = materialize(nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-                         .select("rep", "gid", F.coalesce("component", "rep").alias("component")))
-    spread = shared.withColumnRenamed("id", "rep").join(placed.select("rep", "component"), "rep")
-    mixed = (spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo != hi").select("token"))
-    spread = materialize(spread.join(mixed, "token"))
-    other = spread.withColumnsRenamed({"rep": "b", "n": "n2", "place": "place2", "component": "component2"})
-    rest = (spread.withColumnRenamed("rep", "a").join(other, "token")
-            .filter("a > b AND component != component2").filter(_may_link(percent)).select("a", "b"))
+    placed = nodes.select("rep", "gid", F.col("rep").alias("component"))
+    links = tried = None
+    spent: list[DataFrame] = []
+
+    def verify(pairs: DataFrame) -> None:
+        nonlocal links, tried
+        pairs = materialize(pairs)
+        found = join.verified(pairs)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        discard(*spent)
+        spent.clear()
+
+    def mixed_buckets(rows: DataFrame) -> DataFrame:
+        """Of (token, rep, n, place), the buckets whose documents lie in several components."""
+        rows = rows.select("token", "rep", "n", "place").join(placed.select("rep", "component"), "rep")
+        mixed = materialize(rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                           F.count("*").alias("members"))
+                            .filter("lo != hi").select("token", "members"))
+        found = materialize(rows.join(mixed, "token"))
+        discard(mixed)
+        return found
+
+    def stars(rows: DataFrame, centre: Column) -> DataFrame:
+        """Pairs of each document of a bucket with its ``centre`` in another component."""
+        other = rows.groupBy("token").agg(F.min_by(F.struct("rep", "n", "place", "component"), centre).alias("c"),
+                                          F.count("*").alias("members")).filter("members > 1").select(
+            "token", F.col("c.rep").alias("centre"), F.col("c.n").alias("n2"), F.col("c.place").alias("place2"),
+            F.col("c.component").alias("component2"))
+        other = materialize(other)
+        spent.append(other)
+        pairs = (rows.join(other, "token").filter("component != component2").filter(_may_link(percent))
+                 .select(F.greatest("rep", "centre").alias("a"), F.least("rep", "centre").alias("b"),
+                         F.col("rep").alias("who")).distinct())
+        return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+    by_group = (shared.join(placed.filter("rep = gid").select("rep", "component"), "rep"))
+    firsts = nodes.filter("rep != gid").select(F.col("rep").alias("a"), F.col("gid").alias("b"), F.col("rep").alias("who"))
+    buckets = shared
+    for turn in range(1 + turns):
+        if turn == 0:
+            # four orders of centres: several for a document, and few pairs in all
+            pairs = stars(by_group, F.xxhash64("rep", F.pmod("token", F.lit(4)))).union(firsts).distinct()
+        else:
+            buckets = mixed_buckets(buckets)
+            pairs = stars(buckets, F.xxhash64("rep", "token", F.lit(turn)))
+        best = join.sketched(pairs).groupBy("who").agg(F.min_by(F.struct("a", "b"), F.struct("far", "a", "b")).alias("p"))
+        verify(best.select("p.a", "p.b").distinct())
+        found = components(links)
+        placed = materialize(nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+                             .select("rep", "gid", F.coalesce("component", "rep").alias("component")))
+
+    # what the components so far leave apart
+    buckets = mixed_buckets(buckets)
+    large = buckets.filter(F.col("members") > 64).join(nodes.select("rep", "sketch"), "rep")
+    short = F.array([_folded(F.col("sketch"), k) for k in range(4)])  # 256 parities from 1024
+    buckets = (buckets.filter(F.col("members") <= 64).withColumn("short", F.lit(None).cast("array<long>"))
+               .unionByName(large.withColumn("short", short).drop("sketch"))).select(
+        "token", "rep", "n", "place", "component", *[F.col("short")[k].alias(f"s{k}") for k in range(4)])
+    other = buckets.withColumnsRenamed({"rep": "b", "n": "n2", "place": "place2", "component": "component2",
+                                        **{f"s{k}": f"t{k}" for k in range(4)}})
+    apart = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(4)), F.lit(0))
+    near = F.col("s0").isNull() | ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2")))
+    rest = (buckets.withColumnRenamed("rep", "a")
+            .join(other, (buckets["token"] == other["token"]) & (F.col("a") > F.col("b"))
+                  & (F.col("component") != F.col("component2")) & _may_link(percent) & near).select("a", "b"))
     peers = placed.select("gid", F.col("rep").alias("b"), F.col("component").alias("component2"))
     same_prefix = (placed.join(peers, "gid").filter("rep > b AND component != component2")
                    .select(F.col("rep").alias("a"), "b"))
-    rest = materialize(join.sketched(rest.union(same_prefix).distinct().join(tried, ["a", "b"], "left_anti")))
-    links = links.unionByName(materialize(join.verified(rest)))
+    verify(join.sketched(rest.union(same_prefix).distinct().join(tried, ["a", "b"], "left_anti")).select("a", "b"))
 
     result = components(links).withColumnRenamed("node", "rep")
     whole = members.join(result, "rep", "left").select("id", F.coalesce("component", "rep").alias("component_id"))
