@@ -98,7 +98,7 @@ def lower_latin1(data: np.ndarray) -> np.ndarray:
 class PreTokenEncoder:
     """Ids or lengths of whole texts, with a table of at most ``capacity`` pre-tokens."""
 
-    def __init__(self, path: str, capacity: int = 1 << 21):
+    def __init__(self, path: str, capacity: int = 1 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
@@ -289,7 +289,7 @@ class PreTokenEncoder:
 _encoders: dict[tuple[str, int], PreTokenEncoder] = {}
 
 
-def encoder(path: str, capacity: int = 1 << 21) -> PreTokenEncoder:
+def encoder(path: str, capacity: int = 1 << 20) -> PreTokenEncoder:
     """This worker process's encoder for a vocabulary file; it lasts over tasks."""
     if (path, capacity) not in _encoders:
         _encoders[path, capacity] = PreTokenEncoder(path, capacity)

@@ -9,6 +9,7 @@ runs per word.
 
 from __future__ import annotations
 
+import ctypes
 from contextlib import contextmanager
 
 import numpy as np
@@ -226,6 +227,15 @@ def bounds(sorted_rows: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(sorted_rows, np.arange(n + 1))
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task then holds little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def slices(batch, column: int, limit: int = 2 * CHUNK_BYTES):
     """Parts of a record batch with about ``limit`` bytes in a text column (one row at least)."""
     _data, offsets = utf8_column(batch.column(column))
@@ -235,6 +245,7 @@ def slices(batch, column: int, limit: int = 2 * CHUNK_BYTES):
         b = min(max(b, a + 1), batch.num_rows)
         yield batch.slice(a, b - a)
         a = b
+    trim()
 
 
 @contextmanager
