@@ -25,6 +25,8 @@ from candela.sources.tables import table
 
 #: Ids that are broadcast to drop documents; more are joined.
 BROADCAST_IDS = 500_000
+#: Distinct page texts of a source that must have a line before it can be boilerplate.
+LEAST_TEXTS = 5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +37,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their sources."""
+    """All documents, without the boilerplate lines of their sources.
+
+    Lines are counted over distinct texts, so that copies keep their text and
+    are left to the near dedup.
+    """
     prepared(spark)
-    return dedup_lines(docs).select(*docs.columns)
+    return dedup_lines(docs, least_texts=LEAST_TEXTS).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
