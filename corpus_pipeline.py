@@ -46,9 +46,36 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, least_texts=LEAST_TEXTS).select(*docs.columns)
 
 
+def one_row_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row, an arbitrary one, for each doc_id (null is one) and text.
+
+    Only the rows that repeat are shuffled with their texts.
+    """
+    row = F.struct("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"),
+                   F.col("text").isNull().alias("no_text"))
+    marked = docs.withColumn("__row", row)
+    repeated = materialize(marked.groupBy("__row").count().filter("count > 1").select(
+        F.col("__row").alias("__again")))
+    n = repeated.count()
+    if not n:
+        return docs
+    if n <= BROADCAST_IDS:
+        repeated = F.broadcast(repeated)
+    again = marked["__row"].eqNullSafe(F.col("__again"))
+    once = marked.join(repeated, again, "left_anti")
+    firsts = marked.join(repeated, again, "left_semi").dropDuplicates(["__row"])
+    return materialize(once.unionByName(firsts).drop("__row"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each component of near copies."""
+    """One document, that with the smallest id, of each component of near copies.
+
+    Rows of one id and text are one row; rows of one id with different texts are
+    one document and stay or go together. A row without an id can't be a
+    component's document: it links with nothing and stays, but once for each text.
+    """
     prepared(spark)
+    docs = one_row_each(docs)
     linked = link_documents(docs)
     gone = materialize(linked.filter("component_id != doc_id").select("doc_id").distinct())
     if gone.count() <= BROADCAST_IDS:

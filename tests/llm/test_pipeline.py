@@ -57,3 +57,39 @@ def test_line_dedup_of_texts_joined(spark):
     rows = [(k, "s", f"own {k}\nmenu") for k in range(20)] + [(50 + k, "s", "copy\nof it") for k in range(10)]
     got = dedup_lines(made(spark, rows), least_texts=P.LEAST_TEXTS, broadcast_rows=0).collect()
     assert in_order((r.doc_id, r.source, r.text) for r in got) == in_order(without_boilerplate(rows))
+
+
+def shingles(t):
+    words = (t or "").lower().split()
+    return {tuple(words)} if 0 < len(words) < 5 else {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
+
+
+def without_near_copies(rows):
+    """One row for each (id, text), of the ids that are the smallest of their component; null ids stay."""
+    sets, up = defaultdict(list), {}
+    for i, _, t in rows:
+        if i is not None:
+            sets[i].append(shingles(t))
+            up[i] = i
+    for a in sets:
+        for b in sets:
+            if a < b and any(x and 4 * len(x & y) >= 3 * len(x | y) for x in sets[a] for y in sets[b]):
+                lo, hi = sorted((up[a], up[b]))
+                up = {i: lo if c == hi else c for i, c in up.items()}
+    return sorted({(i, s, t) for i, s, t in rows if i is None or up[i] == i}, key=str)
+
+
+def test_near_dedup_keeps_one_row_of_an_id_and_text(spark):
+    rng = random.Random(9)
+    text = lambda: " ".join(f"w{rng.randrange(3000)}" for _ in range(60))
+    a, b, c = text(), text(), text()
+    rows = [(5, "s", a), (5, "s", a), (9, "s", a + " more"), (9, "s", a + " more"), (7, "s", b), (7, "s", b), (7, "s", b),
+            (None, "s", c), (None, "s", c), (None, "s", text()), (None, "s", b), (None, "s", None), (None, "s", None),
+            (11, "s", None), (11, "s", None), (12, "s", ""), (12, "s", ""), (13, "s", None), (14, "s", text())]
+    got = P.near_dedup(spark, made(spark, rows), "").collect()
+    got = sorted(((r.doc_id, r.source, r.text) for r in got), key=str)
+    assert got == without_near_copies(rows)
+    assert len(got) == 10
+    once = made(spark, [(1, "s", a), (2, "s", a), (3, "s", b)])
+    assert sorted(r.doc_id for r in P.near_dedup(spark, once, "").collect()) == [1, 3]
+    assert P.near_dedup(spark, once.limit(0), "").count() == 0
