@@ -9,7 +9,9 @@ no shuffle at all, so hot sources or passages need no care.
 
 Null and empty texts have no words and no hits. Very long texts are hashed in
 pieces cut between words; windows run over the cuts. Repeated rows and items
-are judged one by one. An empty benchmark hits nothing.
+are judged one by one. An empty benchmark hits nothing. Items with a null id
+are left out, unless ``unnamed`` is set: then their windows count like others,
+and a hit by any of them adds one null at the end of ``items``.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def _joined(data, starts, ends) -> bytes:
 class WindowSet:
     """The benchmark's windows: by width a table of hashes, the words, and the items."""
 
-    def __init__(self, items: list[tuple[str, str]], n: int):
+    def __init__(self, items: list[tuple[str | None, str]], n: int):
         self.widths: dict[int, list] = {}
         data, offsets = utf8_column(pa.array([t for _, t in items], pa.string()))
         h, r, s, e = _words(data, offsets)
@@ -81,11 +83,11 @@ class WindowSet:
 
 def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text",
          item_id: str = "item_id", item_text: str = "text",
-         max_benchmark_bytes: int = 64 << 20) -> DataFrame:
+         max_benchmark_bytes: int = 64 << 20, unnamed: bool = False) -> DataFrame:
     """``docs`` with n_words, n_hit, items, spans and cleaned.
 
     n_hit: words inside any occurrence of a window; items: ids (as strings) of
-    items with occurring windows; spans: maximal runs of hit words as byte
+    items with occurring windows (null for those of null id); spans: maximal runs of hit words as byte
     ranges; cleaned: the text without these. A benchmark of over
     ``max_benchmark_bytes`` raises ValueError: its windows would not fit a
     broadcast (divide it and scan once for each part).
@@ -95,7 +97,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text",
         raise ValueError(f"the benchmark has {size} bytes; {max_benchmark_bytes} can be broadcast")
     rows = benchmark.select(F.col(item_id).cast("string"), F.col(item_text)).collect()
     windows = docs.sparkSession.sparkContext.broadcast(
-        WindowSet([(str(i), t) for i, t in rows if i is not None], n))
+        WindowSet([(i, t) for i, t in rows if unnamed or i is not None], n))
     column = docs.columns.index(text)
 
     def judge(batch):
@@ -129,7 +131,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text",
             cleaned[row] = (b"".join(kept) + raw[at:]).decode()
         return [np.bincount(r, minlength=n_rows).astype(np.int64),
                 np.bincount(r[hit], minlength=n_rows).astype(np.int64),
-                pa.array([sorted(items.get(i, ())) for i in range(n_rows)], pa.list_(pa.string())),
+                pa.array([sorted(items.get(i, ()), key=lambda x: (x is None, x)) for i in range(n_rows)],
+                         pa.list_(pa.string())),
                 pa.array([[{"start": a, "end": b} for a, b in spans.get(i, ())] for i in range(n_rows)],
                          pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 pa.array(cleaned, pa.string()) if spans else texts]
@@ -144,13 +147,14 @@ def contaminated(one_in: int = 20):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = 13,
-                  one_in: int = 20, text: str = "text") -> DataFrame:
+                  one_in: int = 20, text: str = "text", unnamed: bool = False) -> DataFrame:
     """``docs`` without contaminated documents, or with their hit spans cut out.
 
+    ``unnamed`` as in :func:`scan`.
     ``remove="documents"`` drops a document by :func:`contaminated`;
     ``remove="spans"`` keeps every document and cuts the hit words' spans.
     """
-    scanned = scan(docs.select("*"), benchmark, n, text)
+    scanned = scan(docs.select("*"), benchmark, n, text, unnamed=unnamed)
     if remove == "documents":
         return scanned.filter(~contaminated(one_in)).select(*docs.columns)
     if remove != "spans":

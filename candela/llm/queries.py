@@ -41,7 +41,7 @@ def q_token_counts(spark, d):
 def q_decontaminate(spark, d):
     from candela.llm.decontaminate import contaminated, scan
     docs = table(prepared(spark), d, "documents").select("doc_id", "text")
-    found = scan(docs, table(spark, d, "benchmark"))
+    found = scan(docs, table(spark, d, "benchmark"), unnamed=True)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                         contaminated().alias("contaminated"))

@@ -84,8 +84,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by benchmark items."""
-    return decontaminate(docs, table(prepared(spark), sf_dir, "benchmark"), remove="documents")
+    """Documents that aren't contaminated by benchmark items, also those without an id."""
+    return decontaminate(docs, table(prepared(spark), sf_dir, "benchmark"), remove="documents", unnamed=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

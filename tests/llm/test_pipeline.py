@@ -93,3 +93,22 @@ def test_near_dedup_keeps_one_row_of_an_id_and_text(spark):
     once = made(spark, [(1, "s", a), (2, "s", a), (3, "s", b)])
     assert sorted(r.doc_id for r in P.near_dedup(spark, once, "").collect()) == [1, 3]
     assert P.near_dedup(spark, once.limit(0), "").count() == 0
+
+
+def test_items_without_an_id_count(spark, tmp_path):
+    """op9 against its SQL and the pipeline's stage, with benchmark items whose id is null."""
+    import __spark_entry__ as E
+    from oracle_harness import compare
+    passage = [" ".join(f"p{k}w{j}" for j in range(20)) for k in range(3)]
+    rows = [(1, "s", f"x {passage[0]} y"), (2, "s", f"a {passage[1]}"), (3, "s", f"{passage[0]} {passage[2]}"),
+            (4, "s", "nothing of it"), (5, "s", "Tiny item and more words"), (6, "s", None), (7, "s", "")]
+    docs = made(spark, rows)
+    items = [(None, passage[0]), (8, passage[1]), (9, passage[2]), (None, "tiny item"), (None, passage[0]), (None, None)]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    sql = E.oracle_sql()["op9_decontaminate"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'").replace(
+        "FROM benchmark", f"FROM '{tmp_path}/benchmark.parquet/*.parquet'")  # Spark writes folders
+    r = compare(spark, "op9", E.queries()["op9_decontaminate"], sql, str(tmp_path))
+    assert r["values_match"], r
+    kept = P.benchmark_decontamination(spark, docs, str(tmp_path))
+    assert sorted(x.doc_id for x in kept.collect()) == [4, 6, 7] and kept.columns == docs.columns
