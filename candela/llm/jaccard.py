@@ -36,7 +36,8 @@ a join).
 
 Null and empty texts and texts of white space have no shingles and link with
 nothing. Texts of under five words have one. Rows of one id are one document
-(their links join). Rows with a null id are returned and link with nothing.
+(their links join): if any id has different texts, all nodes are pairs of id and
+text hash until the end, and those of one id are linked. Rows with a null id are returned and link with nothing.
 Very long texts are hashed in pieces cut between words. Other columns are not
 read. An empty table gives an empty result.
 """
@@ -49,6 +50,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from candela.llm.components import components
 from candela.llm.textops import (HashTable, cut_at_non_word, hash_windows, lower_ascii, mix, slices,
@@ -298,8 +300,23 @@ class _Join:
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, width: int = 5,
                    listed: int = 1 << 18, least: int = 16, broadcast_ids: int = 500_000, turns: int = 1) -> DataFrame:
     """(key, n_shingles, component_id) of each document; the smallest key reached by links."""
-    spark = docs.sparkSession
     docs = docs.select(key, text)
+    known = F.col(key).isNotNull()
+    h = F.xxhash64(F.lit(7), text)
+    several = docs.filter(known).groupBy(key).agg(F.min(h).alias("lo"), F.max(h).alias("hi")).filter("lo != hi")
+    options = (percent, width, listed, least, broadcast_ids, turns)
+    if several.isEmpty():
+        return _linked(docs, key, text, *options).select(F.col("id").alias(key), "n_shingles", "component_id")
+    nodes = docs.select(F.when(known, F.struct(F.col(key).alias("id"), h.alias("h"))).alias("node"), F.col(text).alias("text"))
+    linked = _linked(nodes, "node", "text", *options)
+    return linked.select(F.col("id.id").alias(key), "n_shingles", F.col("component_id.id").alias("component_id"))
+
+
+def _linked(docs: DataFrame, key: str, text: str, percent: int, width: int, listed: int, least: int,
+            broadcast_ids: int, turns: int) -> DataFrame:
+    """(id, n_shingles, component_id) for keys that have one text each, or are pairs (id, h) of an id and a text."""
+    spark = docs.sparkSession
+    paired = isinstance(docs.schema[key].dataType, StructType)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / (64 << 20)))
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, text, width, least, listed, parts))
@@ -391,9 +408,13 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", per
                    .select(F.col("rep").alias("a"), "b"))
     verify(join.sketched(rest.union(same_prefix).distinct().join(tried, ["a", "b"], "left_anti")).select("a", "b"))
 
+    if paired:  # the sets of an id are one document
+        first = members.groupBy("id.id").agg(F.min("rep").alias("b")).withColumnRenamed("id", "document")
+        own = members.select(F.col("id.id").alias("document"), F.col("rep").alias("a")).join(first, "document")
+        links = links.unionByName(own.filter("a != b").select("a", "b").distinct())
     result = components(links).withColumnRenamed("node", "rep")
     whole = members.join(result, "rep", "left").select("id", F.coalesce("component", "rep").alias("component_id"))
-    whole = whole.groupBy("id").agg(F.min("component_id").alias("component_id"))
-    return (rows.select("id", "n").join(whole, "id", "left")
-            .select(F.col("id").alias(key), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id")))
+    document = F.col("id.id") if paired else F.col("id")
+    whole = whole.groupBy(document.alias("document")).agg(F.min("component_id").alias("component_id"))
+    return (rows.select("id", "n", document.alias("document")).join(whole, "document", "left")
+            .select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
