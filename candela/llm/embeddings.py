@@ -19,9 +19,13 @@ bounded size, whatever a cell holds. A product gives each vector's number of
 links and a spanning forest of its links, never all pairs. Cosines are
 computed in double precision, and only those of at least ``threshold`` count.
 
-Vectors that are null, zero, of another length than most of the sample, have a
-null id, or hold null or non-finite components link with nothing. Repeated rows are equal
-vectors. An empty table gives an empty result. Other columns are not read.
+Vectors link within their length only: each length that two different vectors
+have gets an index of its own, fitted on a sample of its own, and its own range
+of cell numbers, so that all are joined at once. Fitting takes a small job for
+each length.
+
+Vectors that are null, zero, have a null id, or hold null or non-finite
+components link with nothing. Repeated rows are equal vectors. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -166,34 +170,42 @@ def links(vectors: DataFrame, threshold: float = 0.95, key: str = "vec_id", vect
             & F.exists(vector, lambda x: x != 0))
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("x")).filter(good & F.col("id").isNotNull())
     groups = materialize(rows.groupBy("x").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    total = groups.count()
-    picked = [r[0] for r in groups.orderBy(F.xxhash64("rep")).limit(sample).select("x").collect()]
-    if not picked:
+    totals = {r[0]: r[1] for r in groups.groupBy(F.size("x")).count().filter("count > 1").collect()}
+    if not totals:
         return groups, spark.createDataFrame([], "rep long, n_links long"), spark.createDataFrame([], "a long, b long")
-    dims = np.bincount([len(x) for x in picked])
-    dim = int(dims.argmax())
-    fitted = unit([x for x in picked if len(x) == dim], dim)
-    made = MultiIndex(fitted, k or int(min(512, max(4, round(total ** 0.5 / 6)))))
-    index = spark.sparkContext.broadcast((made, fitted_reach(made, fitted, threshold, recall)))
+    indexes, base = {}, 0  # by length: the index, its reach and the number of its first cell
+    for dim, total in sorted(totals.items()):
+        picked = groups.filter(F.size("x") == dim).orderBy(F.xxhash64("rep")).limit(sample).select("x").collect()
+        fitted = unit([r[0] for r in picked], dim)
+        made = MultiIndex(fitted, k or int(min(512, max(4, round(total ** 0.5 / 6)))))
+        indexes[dim] = made, fitted_reach(made, fitted, threshold, recall), base
+        base += made.k ** 2
+    index = spark.sparkContext.broadcast(indexes)
 
     def locate(batches):
-        made, reach = index.value
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                flat = part.column(2).flatten().to_numpy()
-                query, cell, own = made.visits(unit(flat, dim), reach)
-                at = pa.array(query)
-                raw = [v.tobytes() for v in flat.reshape(-1, dim)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[query] == cell), pa.array(cell), part.column(0).take(at), part.column(1).take(at),
-                     pa.array(raw, pa.binary()).take(at)], names=["inside", "cell", "id", "copies", "x"])
+                whole = batch.slice(a, 256)
+                dims = whole.column(2).value_lengths().to_numpy()
+                for dim in np.unique(dims).tolist():
+                    if dim not in index.value:
+                        continue
+                    made, reach, first = index.value[dim]
+                    part = whole.take(pa.array(np.flatnonzero(dims == dim)))
+                    flat = part.column(2).flatten().to_numpy()
+                    query, cell, own = made.visits(unit(flat, dim), reach)
+                    at = pa.array(query)
+                    raw = [v.tobytes() for v in flat.reshape(-1, dim)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[query] == cell), pa.array(cell + first), part.column(0).take(at),
+                         part.column(1).take(at), pa.array(raw, pa.binary()).take(at)],
+                        names=["inside", "cell", "id", "copies", "x"])
     kind = np.float32 if groups.schema["x"].dataType.elementType.simpleString() == "float" else np.float64
-    visits = materialize(groups.filter(F.size("x") == dim).select("rep", "copies", "x").mapInArrow(
+    visits = materialize(groups.select("rep", "copies", "x").mapInArrow(
         locate, "inside boolean, cell long, id long, copies long, x binary"))
     sizes = visits.groupBy("cell").agg(F.ceil(F.count("*") / (4 * block)).alias("all_parts"),
                                        F.greatest(F.lit(1), F.ceil(F.sum(F.col("inside").cast("int")) / block)).alias("parts"))
-    dealt = materialize(visits.join(sizes, "cell"))  # one row a cell: at most k * k
+    dealt = materialize(visits.join(sizes, "cell"))  # one row a cell: at most k * k a length
 
     def blocks(rows: DataFrame, parts: str, *fields: str) -> DataFrame:
         part = F.pmod(F.xxhash64("id"), F.col(parts)).alias("part")
@@ -204,8 +216,9 @@ def links(vectors: DataFrame, threshold: float = 0.95, key: str = "vec_id", vect
     def multiply(batches):
         def arrays(column, i):
             s = column[i].values
-            raw = b"".join(s.field("x").to_pylist())
-            return (s.field("id").to_numpy(), s.field("copies").to_numpy(), unit(np.frombuffer(raw, kind), dim), s)
+            raw = s.field("x").to_pylist()  # a cell's vectors have one length
+            x = np.frombuffer(b"".join(raw), kind)
+            return (s.field("id").to_numpy(), s.field("copies").to_numpy(), unit(x, len(x) // len(raw)), s)
         for batch in batches:
             for i in range(batch.num_rows):
                 a, n, x, s = arrays(batch.column(0), i)
