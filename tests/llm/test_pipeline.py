@@ -1,8 +1,11 @@
 """The corpus pipeline's stages against brute force, with copies, repeated rows, null ids and empty tables."""
 
 import random
+import zlib
 from collections import defaultdict
 
+import numpy as np
+
 import corpus_pipeline as P
 from candela.llm.ship import prepared
 
@@ -112,3 +115,118 @@ def test_items_without_an_id_count(spark, tmp_path):
     assert r["values_match"], r
     kept = P.benchmark_decontamination(spark, docs, str(tmp_path))
     assert sorted(x.doc_id for x in kept.collect()) == [4, 6, 7] and kept.columns == docs.columns
+
+
+# ------------------------------------------------------- all stages, and run()
+
+CLASHING = "doc_id long, source string, text string, n_chars long, score string, n_lines string, items string"
+
+
+def corpus():
+    """(rows, labels, benchmark items): good and bad documents with copies, near copies, passages and odd rows."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8)))
+    line = lambda: " ".join(word() for _ in range(8))
+    rows, labels, passage = [], [], " ".join(word() for _ in range(26))
+    for i in range(400):
+        lines = [line() for _ in range(rng.randint(3, 7))]
+        bad = i % 5 == 0
+        if bad:
+            lines = [" ".join(w.upper() + "!!" for w in x.split()) for x in lines]
+        elif i % 3 == 0:
+            lines.append("home about contact login")
+        if i % 40 == 7:
+            lines.insert(1, f"{word()} {passage}")
+        rows.append((i, f"site{i % 4}", "\n".join(lines)))
+        labels.append((i, 0 if bad else 1))
+    copy = "\n".join(line() for _ in range(6))
+    rows += [(1000 + k, "site1", copy) for k in range(60)]                       # over a tenth of a source
+    rows += [(1100 + k, "site2", f"{rows[k + 1][2]} {word()}") for k in range(3)]  # near copies
+    rows += [(None, "site3", copy), (None, "site3", copy), (None, "site3", line()), (1200, "small", copy), (1201, None, line())]
+    rows += [(1300, "small", "\n".join(line() for _ in range(120))), rows[1], rows[1], rows[402]]
+    return rows, labels, [(1, passage), (None, " ".join(rows[2][2].split()[:14])), (3, None), (4, "")], passage
+
+
+def written(spark, folder, rows, labels, items):
+    docs = prepared(spark).createDataFrame([(i, s, t, None if t is None else len(t), "x", "y", "z") for i, s, t in rows],
+                                           CLASHING)
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def uncontaminated(rows, items, n=13):
+    windows = set()
+    for _, t in items:
+        w = (t or "").split()
+        windows |= {tuple(w[k:k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} - {()}
+    kept = []
+    for row in rows:
+        w = (row[2] or "").lower().replace("!", " ").split()
+        hit = {p for k in range(len(w) - n + 1) if tuple(w[k:k + n]) in windows for p in range(k, k + n)}
+        if not hit or 20 * len(hit) < len(w):
+            kept.append(row)
+    return kept
+
+
+def pieces(rows, capacity=1024):
+    from tokenizers import Tokenizer
+
+    from candela.llm.queries import vocabulary
+    coder = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    out = []
+    for i, _, t in rows:
+        ids = np.array(coder.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        at, length, piece = 0, (len(ids) - 1) % capacity + 1, 0
+        while at < len(ids):
+            out.append((i, piece, at, length, zlib.crc32(ids[at:at + length].tobytes())))
+            at, length, piece = at + length, capacity, piece + 1
+    return sorted(out, key=str)
+
+
+def packed(rows):
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for found in by_sequence.values():
+        ends = [0, *(a + n for a, n in sorted(found))]
+        assert [a for a, _ in sorted(found)] == ends[:-1] and ends[-1] <= 1024
+    return sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=str)
+
+
+def test_stages_and_run_equal_brute_force(spark, tmp_path):
+    rows, labels, items, passage = corpus()
+    docs = written(spark, tmp_path, rows, labels, items)
+    bad = {i for i, y in labels if not y}
+    good = [r for r in rows if r[0] not in bad]
+    clean = without_boilerplate(good)
+    apart = without_near_copies(clean)
+    left = uncontaminated(apart, items)
+    assert len(rows) > len(good) > len(apart) > len(left) and any(passage in r[2] for r in apart)
+    assert [r[2] for r in apart if r[0] == 1000] == [rows[400][2]]  # one document of the copies, with its text
+    want = dict(zip([name for name, _ in P.STAGES], [good, clean, apart, left, None]))
+    given = rows
+    for name, stage in P.STAGES:
+        df = spark.createDataFrame([(i, s, t, None if t is None else len(t), "x", "y", "z") for i, s, t in given], CLASHING)
+        got = stage(spark, df, str(tmp_path)).collect()
+        if want[name] is None:
+            assert packed(got) == pieces(given), name
+        else:
+            assert in_order((r.doc_id, r.source, r.text) for r in got) == in_order(want[name]), name
+            assert list(got[0].asDict()) == docs.columns, name
+            given = want[name]
+    assert packed(P.run(spark, str(tmp_path)).collect()) == pieces(left)
+
+
+def test_run_on_empty_tables_and_odd_texts(spark, tmp_path):
+    written(spark, tmp_path / "empty", [], [], [])
+    assert P.run(spark, str(tmp_path / "empty")).count() == 0
+    odd = [(1, "s", None), (1, "s", None), (None, None, None), (2, "s", ""), (2, "s", ""), (3, None, " \n\t"), (3, None, "\n")]
+    docs = written(spark, tmp_path / "odd", odd, [], [])
+    rest = P.near_dedup(spark, P.line_dedup(spark, docs, ""), "")
+    rest = P.benchmark_decontamination(spark, rest, str(tmp_path / "odd"))
+    want = sorted(set(odd), key=str)
+    assert sorted(((r.doc_id, r.source, r.text) for r in rest.collect()), key=str) == want
+    assert packed(P.packing(spark, rest, "").collect()) == pieces(want)
+    assert P.quality(spark, docs, str(tmp_path / "odd")).count() == 0  # without labels all scores are 0.5
