@@ -113,3 +113,23 @@ def q_suffix(spark, d):
 def q_pipeline(spark, d):
     import corpus_pipeline
     return corpus_pipeline.run(spark, d)
+
+
+@query("op11_merkle_manifest")
+def q_merkle(spark, d):
+    from candela.llm.merkle import manifest
+    docs = table(prepared(spark), d, "documents")
+    every_fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return manifest(docs, "doc_id", "source", ["doc_id", "source", "lang", "n_chars", "text"],
+                    tampered={"text": F.translate("text", upper, lower)}, where=every_fifth)
+
+
+@query("op13_toxicity")
+def q_toxicity(spark, d):
+    from candela.llm.quality import held_out
+    from candela.llm.toxicity import score, train
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").filter(~held_out())
+    scored = score(docs, train(docs, labels))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
