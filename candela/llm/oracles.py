@@ -88,3 +88,101 @@ reach AS (
 SELECT v.vec_id, coalesce(l.n, 0) AS n_links, r.c AS component_id, v.vec_id = r.c AS kept
 FROM v LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY 1) l ON l.a = v.vec_id
 JOIN (SELECT a, min(b) AS c FROM reach GROUP BY 1) r ON r.a = v.vec_id"""
+
+# crc32 as SQL: a table of 256 entries by its rule, then one step for each byte of the text.
+CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(CAST(b AS BIGINT), range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc32(text: str) -> str:
+    """Unsigned crc32 of a SQL text; ``t`` of the table above must be in scope."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode({text}))),
+         lambda i: CAST('0x' || substr(hex({text}), 2 * i + 1, 2) AS BIGINT))),
+         lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])))"""
+
+
+ORACLES["op12_spelling_variants"] = rf"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (
+  SELECT doc_id, w, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS sent
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
+               '[a-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents)
+  GROUP BY ALL),
+summed AS (SELECT w, n, {crc32("sent")} AS h FROM run, crc_table),
+word AS (
+  SELECT w, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2)
+                    ELSE w END AS w, n FROM summed)
+  GROUP BY 1 HAVING length(w) >= 6 AND sum(n) >= 5),
+less AS (
+  SELECT w, n, i, substr(w, 1, i) || substr(w, i + 2) AS rest FROM (SELECT w, n, unnest(range(length(w))) AS i FROM word)),
+pair AS (
+  SELECT DISTINCT a.w AS a, b.w AS b FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.w <> b.w
+  UNION SELECT less.w, word.w FROM less JOIN word ON less.rest = word.w
+  UNION SELECT word.w, less.w FROM less JOIN word ON less.rest = word.w),
+near AS (
+  SELECT a AS w, word.w AS o, word.n AS o_n, row_number() OVER (PARTITION BY a ORDER BY word.n DESC, word.w) AS k,
+         count(*) OVER (PARTITION BY a) AS n_near
+  FROM pair JOIN word ON pair.b = word.w),
+judged AS (
+  SELECT word.w, word.n, coalesce(n_near, 0) AS n_near, CASE WHEN o_n >= 5 * word.n THEN o END AS form,
+         CASE WHEN o_n >= 5 * word.n THEN o_n END AS form_n
+  FROM word LEFT JOIN (SELECT * FROM near WHERE k = 1) x ON x.w = word.w),
+path AS (
+  SELECT w, w AS here, 0 AS step FROM judged
+  UNION ALL SELECT path.w, form, step + 1 FROM path JOIN judged ON judged.w = path.here WHERE form IS NOT NULL),
+root AS (SELECT w, arg_max(here, step) AS root FROM path GROUP BY 1)
+SELECT judged.w AS word, form, root, n, n_near, form_n FROM judged JOIN root ON root.w = judged.w"""
+
+FAN = 16
+ORACLES["op11_merkle_manifest"] = rf"""
+WITH RECURSIVE {CRC_TABLE},
+field AS (
+  SELECT doc_id, source, lang, n_chars, text,
+         coalesce({crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0, false) AS tampered FROM documents, crc_table),
+coded AS (
+  SELECT doc_id, source, tampered,
+         {" || ".join(f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars"))} AS front,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS back,
+         coalesce(octet_length(encode(text)) || ':' || translate(text, '{UPPER}', '{LOWER}'), '-') AS back_low FROM field),
+leaf AS (
+  SELECT doc_id, source, sha256(front || back) AS leaf,
+         sha256(front || CASE WHEN tampered THEN back_low ELSE back END) AS shown FROM coded),
+placed AS (
+  SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaf),
+node AS (
+  SELECT tree, 0 AS level, pos AS idx, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, idx // {FAN}, sha256(string_agg(h, '' ORDER BY idx)), count(*) OVER (PARTITION BY tree)
+  FROM node WHERE n > 1 GROUP BY tree, level, idx // {FAN}),
+subroot AS (SELECT tree, h FROM node WHERE n = 1),
+crown AS (
+  SELECT 0 AS level, tree AS idx, h, count(*) OVER () AS n FROM subroot
+  UNION ALL
+  SELECT level + 1, idx // {FAN}, sha256(string_agg(h, '' ORDER BY idx)), count(*) OVER ()
+  FROM crown WHERE n > 1 GROUP BY level, idx // {FAN}),
+step AS (
+  SELECT id, level, p, string_agg(h, '' ORDER BY idx) FILTER (WHERE idx < p) AS lo, string_agg(h, '' ORDER BY idx) FILTER (WHERE idx > p) AS hi
+  FROM (SELECT id, level, pos // CAST(pow({FAN}, level) AS BIGINT) AS p, idx, h
+        FROM placed JOIN node ON node.tree = placed.tree AND n > 1
+         AND idx // {FAN} = pos // CAST(pow({FAN}, level + 1) AS BIGINT))
+  GROUP BY ALL
+  UNION ALL
+  SELECT id, 100 + level, p, string_agg(h, '' ORDER BY idx) FILTER (WHERE idx < p), string_agg(h, '' ORDER BY idx) FILTER (WHERE idx > p)
+  FROM (SELECT id, level, tree // CAST(pow({FAN}, level) AS BIGINT) AS p, idx, h
+        FROM placed JOIN crown ON n > 1 AND idx // {FAN} = tree // CAST(pow({FAN}, level + 1) AS BIGINT))
+  GROUP BY ALL),
+path AS (
+  SELECT id, row_number() OVER (PARTITION BY id ORDER BY level) AS k, coalesce(lo, '') AS lo, coalesce(hi, '') AS hi FROM step),
+proof AS (SELECT id, sha256(string_agg(lo || hi, '' ORDER BY k)) AS p FROM path GROUP BY 1),
+folded AS (
+  SELECT id, CAST(0 AS BIGINT) AS k, shown AS h FROM placed
+  UNION ALL
+  SELECT folded.id, path.k, sha256(lo || h || hi) FROM folded JOIN path ON path.id = folded.id AND path.k = folded.k + 1),
+top AS (SELECT id, arg_max(h, k) AS h FROM folded GROUP BY 1),
+root AS (SELECT h FROM crown WHERE n = 1)
+SELECT doc_id, leaf, subroot.h AS subroot, root.h AS root, coalesce(p, sha256('')) AS proof_sha256,
+       top.h AS folded_root, top.h = root.h AS verified
+FROM placed JOIN subroot ON subroot.tree = placed.tree JOIN top ON top.id = placed.id LEFT JOIN proof ON proof.id = placed.id, root"""

@@ -133,3 +133,10 @@ def q_toxicity(spark, d):
     labels = table(spark, d, "labels").filter(~held_out())
     scored = score(docs, train(docs, labels))
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op12_spelling_variants")
+def q_spelling(spark, d):
+    from candela.llm.spelling import count_words, group_variants
+    docs = table(prepared(spark), d, "documents").select("doc_id", "text")
+    return group_variants(count_words(docs, slips=199))
