@@ -135,22 +135,27 @@ AVERAGES = (Ewm("ema_12", VALUE, span_alpha(12)), Ewm("ema_26", VALUE, span_alph
             Ewm("macd_signal", {"ema_12": 1.0, "ema_26": -1.0}, span_alpha(9)))
 
 
-def scan_indicators(positioned: DataFrame, *, by=BY, value=VALUE, seeds: dict[str, str] | None = None,
-                    history: str | None = None) -> DataFrame:
+def scan_indicators(rows: DataFrame, *, by=BY, order=ORDER, value=VALUE, seeds: dict[str, str] | None = None,
+                    history: str | None = None, bounded: bool = False) -> DataFrame:
     """All twelve indicators and their recursion state (``_avg_up``, ``_avg_down``) of positioned rows.
 
     One shuffle by (ticker, superblock) and one sort: SMA 5/10/20, STD 20 and
     the previous value as rolling frames, then all averages as one recursion.
-    ``seeds`` and ``history`` continue a series (see ``series.scan``).
+    ``seeds`` and ``history`` continue a series (see ``series.scan``). With
+    ``bounded``, rows need no positions and series are bounded by the calendar
+    (``series.bounded_scan``).
     """
     specs = [Ewm(s.name, value if s.value == VALUE else s.value, s.alpha, s.start) for s in AVERAGES]
-    out = S.scan(positioned, by, {
+    frames = {
         "sma_5": S.rolling_mean(value, 5),
         "sma_10": S.rolling_mean(value, 10),
         "sma_20": S.rolling_mean(value, 20),
         "_std_20": S.rolling_std(value, 20),
         "_prev": S.lagged(value),
-    }, lookback=19, prepare=lambda x: _up_down(x, value), specs=specs, seeds=seeds, history=history)
+    }
+    more = {"prepare": lambda x: _up_down(x, value), "specs": specs, "seeds": seeds, "history": history}
+    out = (S.bounded_scan(rows, by, order, frames, **more) if bounded else
+           S.scan(rows, by, frames, lookback=19, **more))
     two = F.lit(2.0)
     return (out.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
                .withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
@@ -161,8 +166,11 @@ def scan_indicators(positioned: DataFrame, *, by=BY, value=VALUE, seeds: dict[st
                .drop("_std_20", "_prev", "_up", "_down"))
 
 
-def with_indicators(df: DataFrame, *, by=BY, order=ORDER, value=VALUE) -> DataFrame:
+def with_indicators(df: DataFrame, *, by=BY, order=ORDER, value=VALUE, bounded: bool = False) -> DataFrame:
     """All twelve indicators in one pass (the wide indicator row)."""
+    if bounded:
+        valued = df.filter(F.col(value).isNotNull() & F.col(order).isNotNull())
+        return scan_indicators(valued, by=by, order=order, value=value, bounded=True).drop(S.POS, "_avg_up", "_avg_down")
     p, _added = _positioned(df, by, order, value)
     return scan_indicators(p, by=by, value=value).drop(S.POS, "_avg_up", "_avg_down")
 

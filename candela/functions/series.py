@@ -272,11 +272,28 @@ def scan(df: DataFrame, by: str | Sequence[str], rolling: dict[str, Callable] |
     if not specs:
         return x.drop(BLK, SB)
 
-    local = {s.name: f"_local_{i}" for i, s in enumerate(specs)}
+    x = _local_parts(x, specs, size, w_block, seeds, history)
+    x = materialize(x.drop(SB))  # read by the blocks' ends and by the rows
+    ends = x.filter(offset == size - 1).select(*keys, BLK, *[F.col(_local(i)).alias(f"e{i}") for i in range(len(specs))])
+    carries = block_carries(ends, keys, _transfer(specs, size))
+    x = null_safe_join(x, carries, [*keys, BLK], "left")
+    return _whole(x, specs, size, [F.coalesce(F.col(f"c{i}"), F.lit(0.0)) for i in range(len(specs))],
+                  [f"c{i}" for i in range(len(specs))])
+
+
+def _local(i: int) -> str:
+    return f"_local_{i}"
+
+
+def _local_parts(x: DataFrame, specs: Sequence[Ewm], size: int, w_block: Window, seeds: dict[str, str] | None,
+                 history: str | None) -> DataFrame:
+    """``x`` with each average as it is if its block starts from zero."""
+    pos, offset = F.col(POS), F.col(POS) % size
+    names = {s.name: _local(i) for i, s in enumerate(specs)}
     for layer in ([s for s in specs if not s.inputs], [s for s in specs if s.inputs]):
         columns = []
         for s in layer:
-            v = (sum((F.col(local[n]) * F.lit(w) for n, w in s.inputs.items()), F.lit(0.0)) if s.inputs
+            v = (sum((F.col(names[n]) * F.lit(w) for n, w in s.inputs.items()), F.lit(0.0)) if s.inputs
                  else F.col(s.value).cast("double"))
             term = (F.when(pos < s.start, F.lit(0.0)).when(pos == s.start, v).otherwise(F.lit(s.alpha) * v))
             if history is not None:
@@ -284,25 +301,58 @@ def scan(df: DataFrame, by: str | Sequence[str], rolling: dict[str, Callable] |
                 term = F.when(F.col(history), F.coalesce(seed, F.lit(0.0))).otherwise(term)
             y = (term if s.decay == 0 else
                  _weight(s.decay, offset) * F.sum(term * _weight(s.decay, -offset)).over(w_block))
-            columns.append(y.alias(local[s.name]))
+            columns.append(y.alias(names[s.name]))
         if columns:
             x = x.select("*", *columns)
-    x = materialize(x.drop(SB))  # read by the blocks' ends and by the rows
-    ends = x.filter(offset == size - 1).select(*keys, BLK, *[F.col(local[s.name]).alias(f"e{i}") for i, s in enumerate(specs)])
-    carries = block_carries(ends, keys, _transfer(specs, size))
-    x = null_safe_join(x, carries, [*keys, BLK], "left")
-    carry = {s.name: F.coalesce(F.col(f"c{i}"), F.lit(0.0)) for i, s in enumerate(specs)}
-    by_name = {s.name: s for s in specs}
+    return x
+
+
+def _whole(x: DataFrame, specs: Sequence[Ewm], size: int, carry: list[Column], helpers: Sequence[str]) -> DataFrame:
+    """The averages from their local parts and the carries of their blocks."""
+    pos, offset = F.col(POS), F.col(POS) % size
+    number = {s.name: i for i, s in enumerate(specs)}
     out = []
-    for s in specs:
-        y = F.col(local[s.name]) + _weight(s.decay, offset + 1) * carry[s.name]
+    for i, s in enumerate(specs):
+        y = F.col(_local(i)) + _weight(s.decay, offset + 1) * carry[i]
         for name in s.inputs:
-            y = y + _carried(s, by_name[name], offset) * carry[name]
+            y = y + _carried(s, specs[number[name]], offset) * carry[number[name]]
         out.append(F.when(pos >= s.start, y).alias(s.name))
-    kept = [c for c in x.columns if c not in (BLK, *local.values(), *[f"c{i}" for i in range(len(specs))])]
+    kept = [c for c in x.columns if c not in (BLK, *helpers, *[_local(i) for i in range(len(specs))])]
     return x.select(*kept, *out)
 
 
+def bounded_scan(df: DataFrame, by: str | Sequence[str], order: str, rolling: dict[str, Callable] | None = None,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None, specs: Sequence[Ewm] = (),
+                 seeds: dict[str, str] | None = None, history: str | None = None) -> DataFrame:
+    """:func:`scan` in one plan, with nothing stored: one shuffle by ``by``, for series that the calendar bounds.
+
+    A series goes to one task, so this is for a micro-batch of daily bars (unique
+    by key and day), where a series has a row for each day at most. The blocks'
+    end values of a series are one array, folded up to the row's block.
+    """
+    keys = _keys(by)
+    size = block_size(specs)
+    x = df.withColumn(POS, (F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1).cast("long"))
+    x = x.withColumn(BLK, F.floor(F.col(POS) / size))
+    w_rows = Window.partitionBy(*keys).orderBy(BLK, POS)
+    w_block = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    if rolling:
+        x = x.select("*", *[fn(w_rows).alias(name) for name, fn in rolling.items()])
+    if prepare is not None:
+        x = prepare(x)
+    if not specs:
+        return x.drop(BLK)
+    x = _local_parts(x, specs, size, w_block, seeds, history)
+    end = F.struct(F.col(BLK).alias("k"), *[F.col(_local(i)).alias(f"e{i}") for i in range(len(specs))])
+    whole = Window.partitionBy(*keys).orderBy(BLK, POS).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = x.select("*", F.collect_list(F.when(F.col(POS) % size == size - 1, end)).over(whole).alias("_ends"))
+    zero = F.struct(*[F.lit(0.0).alias(f"c{i}") for i in range(len(specs))])
+    matrix = _transfer(specs, size)
+    before = F.slice("_ends", F.lit(1), F.col(BLK).cast("int"))  # the blocks before this one
+    x = x.select("*", F.aggregate(before, zero, lambda c, e: F.struct(*_next(matrix, c, e))).alias("_carry")).drop("_ends")
+    return _whole(x, specs, size, [F.col("_carry")[f"c{i}"] for i in range(len(specs))], ["_carry"])
+
+
 def rolling(df: DataFrame, by: str | Sequence[str], columns: dict[str, Callable],
             halo: int) -> DataFrame:
     """Window expressions that look at most ``halo`` rows back (see ``scan``)."""

@@ -19,10 +19,10 @@ INDICATOR_TABLE_COLUMNS = ["date", "ticker", "processing_type", "close", *INDICA
 
 
 def indicator_rows(bars: DataFrame, processing_type: str = BATCH,
-                   by: tuple[str, ...] = ("ticker",)) -> DataFrame:
+                   by: tuple[str, ...] = ("ticker",), bounded: bool = False) -> DataFrame:
     """Complete indicator rows (warm-up rows dropped) tagged with the processing type."""
     needed = dict.fromkeys([*by, "ticker", "date"])
-    wide = with_indicators(bars.select(*needed, F.col("close").cast("double").alias("close")), by=by)
+    wide = with_indicators(bars.select(*needed, F.col("close").cast("double").alias("close")), by=by, bounded=bounded)
     return (complete(wide, ["close", *INDICATOR_COLUMNS])
             .withColumn("processing_type", F.lit(processing_type))
             .select(*INDICATOR_TABLE_COLUMNS))
@@ -32,13 +32,10 @@ def signal_rows(indicators: DataFrame) -> DataFrame:
     return signals(indicators)
 
 
-def run_metric(spark: SparkSession, processing_type: str, seconds: float, record_count: int,
-               window_size: str, rejected_count: int = 0) -> DataFrame:
+def metric_row(spark: SparkSession, processing_type: str, seconds: float, window_size: str, details: dict) -> DataFrame:
     """One metric row: run time with a JSON detail document."""
-    details = json.dumps({"record_count": record_count, "rejected_count": rejected_count,
-                          "processing_time_sec": seconds})
     return spark.createDataFrame(
-        [(processing_type, "PROCESSING_TIME", float(seconds), window_size, details)],
+        [(processing_type, "PROCESSING_TIME", float(seconds), window_size, json.dumps(details))],
         "processing_type string, metric_name string, metric_value double, "
         "window_size string, details string",
     ).withColumn("execution_date", F.current_timestamp())
@@ -53,20 +50,22 @@ def run(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
     are observed while the rows are written.
     """
     from candela.operators.quality import quarantine
-    from candela.sinks.keyed import replace_parquet, upsert_parquet
+    from candela.sinks.keyed import months, replace_parquet, upsert_parquet
 
     started = time.time()
     with scratch_scope(spark):
-        valid, rejected = quarantine(materialize(bars))
+        valid, rejected = quarantine(bars)
         counted = Observation()
         rejected.observe(counted, F.count(F.lit(1)).alias("rejected")).write.mode("overwrite").parquet(
-            f"{out_dir}/rejected_bars")
+            f"{out_dir}/rejected_bars/leg=batch")
         rows = Observation()
         # Computed once, read by the upsert and the signals.
         ind = materialize(indicator_rows(valid).observe(rows, F.count(F.lit(1)).alias("records")))
-        upsert_parquet(spark, f"{out_dir}/technical_indicators", ind, key=INDICATOR_KEY)
-        replace_parquet(spark, f"{out_dir}/trading_signals", signal_rows(ind), ind, key=INDICATOR_KEY)
+        touched = months(ind)
+        upsert_parquet(spark, f"{out_dir}/technical_indicators", ind, INDICATOR_KEY, touched)
+        replace_parquet(spark, f"{out_dir}/trading_signals", signal_rows(ind), ind, INDICATOR_KEY, touched)
         elapsed = time.time() - started
-        metric = run_metric(spark, BATCH, elapsed, rows.get["records"], "FULL DATASET", counted.get["rejected"])
+        metric = metric_row(spark, BATCH, elapsed, "FULL DATASET", {
+            "record_count": rows.get["records"], "rejected_count": counted.get["rejected"], "processing_time_sec": elapsed})
         metric.write.mode("overwrite").parquet(f"{out_dir}/performance_metrics/run=batch-{uuid.uuid4().hex[:12]}")
     return metric

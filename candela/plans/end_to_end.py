@@ -26,7 +26,8 @@ from candela.sinks.report import write_report
 def ingest(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
     """Insert-if-absent of the valid bars; the stored table."""
     path = os.path.join(out_dir, "raw_stock_data")
-    valid, _rejected = quarantine(bars)
+    valid, rejected = quarantine(bars)
+    rejected.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected_bars", "leg=ingest"))
     insert_parquet(spark, path, valid, ["date", "ticker"])
     return spark.read.parquet(path)
 

@@ -11,22 +11,25 @@ from __future__ import annotations
 import json
 import os
 import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from candela.functions.signals import signals
 from candela.operators.quality import rejection
-from candela.plans.batch import INDICATOR_KEY, indicator_rows, run_metric
+from candela.plans.batch import INDICATOR_KEY, indicator_rows, metric_row
 from candela.schemas import STREAMING
 from candela.session import materialize, scratch_scope
-from candela.sinks import publish
-from candela.sinks.keyed import first_per_key, replace_parquet, upsert_parquet
+from candela.sinks import ledger, publish
+from candela.sinks.keyed import replace_parquet, upsert_parquet
+from candela.sources.arrival import ARRIVAL
 from candela.streaming import feed
-from candela.streaming.stateful import continue_indicators
-from candela.streaming.windows import collect_windows, flatten_windows
+from candela.streaming.state import KeyedState
+from candela.streaming.stateful import STATE_SCHEMA, continue_indicators
+from candela.streaming.windows import collect_latest, flatten_windows
 
 CONTINUOUS = {"processingTime": "10 seconds"}
 AVAILABLE = {"availableNow": True}
@@ -54,26 +57,82 @@ class ProgressLog(StreamingQueryListener):
 
 def run_available(spark: SparkSession, start, log: ProgressLog | None = None) -> None:
     """Start queries (``start()`` gives one or several), wait until they end, raise their errors."""
-    if log is not None:
-        spark.streams.addListener(log)
+    log = log or ProgressLog()
+    spark.streams.addListener(log)
+    queries: list[StreamingQuery] = []
     try:
-        queries = start()
-        queries = queries if isinstance(queries, list) else [queries]
+        started = start()
+        queries += started if isinstance(started, list) else [started]
         for q in queries:
             q.awaitTermination()
         for q in queries:
             if q.exception() is not None:
                 raise q.exception()
-        deadline = time.time() + 30  # reports arrive a little after the query's end
-        while log is not None and not {str(q.runId) for q in queries} <= log.ended and time.time() < deadline:
-            time.sleep(0.05)
     finally:
-        if log is not None:
-            spark.streams.removeListener(log)
+        # Reports arrive a little after the query's end, at one listener after the other.
+        deadline = time.time() + 60
+        runs = {str(q.runId) for q in queries}
+        while not runs <= log.ended and time.time() < deadline:
+            time.sleep(0.05)
+        spark.streams.removeListener(log)
+        for run in runs & set(_listeners):
+            spark.streams.removeListener(_listeners.pop(run))
+
+
+class BatchMetrics(StreamingQueryListener):
+    """Writes a metric row for each micro-batch with rows from its progress report.
+
+    The details hold what Spark observed while the batch ran: bars in the touched
+    windows, repeated or replaced messages there, rows that came too late, the
+    input and the time. A report that is handled again replaces its row.
+    """
+
+    def __init__(self, spark: SparkSession, out_dir: str, query_name: str):
+        self.spark, self.out_dir, self.query_name = spark, out_dir, query_name
+        self.rows_written = 0
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        report = json.loads(event.progress.json)
+        if report.get("name") == self.query_name:
+            row = batch_metric(report)
+            if row is not None:
+                path = os.path.join(self.out_dir, "performance_metrics", f"run=stream-{report['batchId']}")
+                metric_row(self.spark, *row).write.mode("overwrite").parquet(path)
+                self.rows_written += 1
+
+
+OBSERVED = "windows"
+
+
+def batch_metric(report: dict) -> tuple | None:
+    """(processing type, seconds, window text, details) of a progress report; None for a batch without rows."""
+    seen = report.get("observedMetrics", {}).get(OBSERVED) or {}
+    records, received = int(seen.get("records") or 0), int(seen.get("received") or 0)
+    late = dropped_late_rows([report])
+    if not records and not late:
+        return None
+    millis = float(report.get("durationMs", {}).get("triggerExecution", 0))
+    details = {"batch_id": int(report["batchId"]), "record_count": records, "processing_time_ms": millis,
+               "input_count": int(report.get("numInputRows", 0)), "repeat_count": received - records, "late_count": late}
+    return STREAMING, millis / 1000.0, f"{records} records", details
+
+
+def dropped_late_rows(progress: list[dict]) -> int:
+    return sum(int(op.get("numRowsDroppedByWatermark", 0))
+               for p in progress for op in p.get("stateOperators", []))
 
 
 def valid_bars(messages: DataFrame) -> DataFrame:
-    """Bars of the messages that keep the bar contract."""
+    """Bars of the messages that keep the bar contract (with their arrival, if it is known)."""
     return feed.decode(messages).filter(rejection().isNull()).drop(feed.RAW)
 
 
@@ -93,32 +152,36 @@ def indicator_batch(out_dir: str, publish_options: dict[str, str] | None = None,
                     topics: dict[str, str] | None = None):
     """The callback of one micro-batch of windows.
 
-    Indicators over the pooled rows of the touched windows (the warm-up
-    restarts in every batch), keyed upsert; signals of the same keys are
-    replaced; both are published; one metric row. A batch without rows does
-    nothing. All writes replace by key or by batch, so a batch that is run
-    again after a failure leaves the same tables. With ``topics`` (names for
-    ``indicators`` and ``signals``) messages go to Kafka, else to text files.
+    Indicators over the pooled rows of the touched windows (the warm-up restarts
+    in every batch) are computed in one plan, so the batch is evaluated once, and
+    stored; months that they touch are observed on the way. Then there is one job
+    for each output: keyed upsert, signals of the same keys replaced, two message
+    outputs. All of them replace by key or by batch and the batch's marker is
+    written last (``sinks.ledger``), so a batch that stopped half-way leaves the
+    same tables when it is run again. A batch without rows does nothing. With
+    ``topics`` (names for ``indicators`` and ``signals``) messages go to Kafka,
+    else to text files.
     """
     def sink(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        started = time.time()
         spark = df.sparkSession
+        if ledger.is_committed(spark, out_dir, batch_id):
+            return
         with scratch_scope(spark):
-            bars = flatten_windows(df).select("date", "ticker", "close")
-            pooled = materialize(first_per_key(bars, ["date", "ticker"]))
-            ind = materialize(indicator_rows(pooled, STREAMING))
-            upsert_parquet(spark, os.path.join(out_dir, "technical_indicators"), ind, INDICATOR_KEY)
+            seen = Observation()
+            rows = indicator_rows(flatten_windows(df), STREAMING, bounded=True)
+            month = F.date_format("date", "yyyy-MM")
+            ind = materialize(rows.observe(seen, F.collect_set(month).alias("months")))
+            touched = [(STREAMING, m) for m in sorted(seen.get["months"] or ())]
+            if not touched:
+                return
+            upsert_parquet(spark, os.path.join(out_dir, "technical_indicators"), ind, INDICATOR_KEY, touched)
             found = signals(ind)
-            replace_parquet(spark, os.path.join(out_dir, "trading_signals"), found, ind, INDICATOR_KEY)
+            replace_parquet(spark, os.path.join(out_dir, "trading_signals"), found, ind, INDICATOR_KEY, touched)
             for name, messages in (("indicators", publish.indicator_messages(ind)),
                                    ("signals", publish.signal_messages(found))):
                 publish.publish(messages, publish_options, topic=(topics or {}).get(name),
                                 path=os.path.join(out_dir, "messages", name, f"batch_id={batch_id}"))
-            records = pooled.count()
-            metric = run_metric(spark, STREAMING, time.time() - started, records, f"{records} records")
-            metric.write.mode("overwrite").parquet(os.path.join(out_dir, "performance_metrics", f"run=stream-{batch_id}"))
+            ledger.commit(spark, out_dir, batch_id)
     return sink
 
 
@@ -131,25 +194,36 @@ def start_indicator_job(spark: SparkSession, out_dir: str, checkpoint: str, *, f
     ``kafka_options`` (brokers, ``subscribe``) or ``feed_dir`` is the source,
     ``max_per_trigger`` bounds a micro-batch, ``trigger`` defaults to every 10
     seconds. ``checkpoint`` holds offsets, watermark and state: with the same
-    path, a restarted job continues where the last one ended.
+    path, a restarted job continues where the last one ended. A listener writes
+    the metric rows; :func:`run_available` waits for it.
     """
     trigger = trigger or CONTINUOUS
     messages = feed.message_stream(spark, feed_dir, kafka_options, max_per_trigger)
-    windows = collect_windows(feed.watermarked(valid_bars(messages)))
-    main = (windows.writeStream.outputMode("update").foreachBatch(indicator_batch(out_dir, publish_options, topics))
+    windows = collect_latest(feed.watermarked(valid_bars(messages)))
+    windows = windows.observe(OBSERVED, F.sum(F.size("rows")).alias("records"), F.sum("received").alias("received"))
+    name = f"indicators-{uuid.uuid4().hex[:12]}"
+    metrics = BatchMetrics(spark, out_dir, name)
+    spark.streams.addListener(metrics)
+    main = (windows.writeStream.queryName(name).outputMode("update")
+            .foreachBatch(indicator_batch(out_dir, publish_options, topics))
             .option("checkpointLocation", os.path.join(checkpoint, "indicators")).trigger(**trigger).start())
+    _listeners[str(main.runId)] = metrics
     return [main, start_rejects(messages, out_dir, checkpoint, trigger)]
 
 
+# Metric listeners by the run of their query.
+_listeners: dict[str, BatchMetrics] = {}
+
+
 def start_ingest(messages: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Append the valid bars of the messages to a Parquet table."""
-    return (valid_bars(messages).writeStream.format("parquet").option("path", out)
+    return (valid_bars(messages).drop(ARRIVAL).writeStream.format("parquet").option("path", out)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
 def start_dedup(messages: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """The same without repeats (within the watermark)."""
-    rows = feed.watermarked(valid_bars(messages)).dropDuplicatesWithinWatermark(["ticker", "date"])
+    rows = feed.watermarked(valid_bars(messages)).drop(ARRIVAL).dropDuplicatesWithinWatermark(["ticker", "date"])
     return (rows.writeStream.format("parquet").option("path", out)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
@@ -159,7 +233,7 @@ def start_window_collect(messages: DataFrame, out: str, checkpoint: str, trigger
     def sink(df: DataFrame, batch_id: int) -> None:
         # Overwriting the batch's own folder makes a replayed batch idempotent.
         flatten_windows(df).write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
-    windows = collect_windows(feed.watermarked(valid_bars(messages)))
+    windows = collect_latest(feed.watermarked(valid_bars(messages)))
     return (windows.writeStream.outputMode("update").foreachBatch(sink)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
@@ -174,44 +248,24 @@ def latest_windows(emitted: DataFrame) -> DataFrame:
 def start_stateful(messages: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Continuous indicators: each batch continues the series from the stored state.
 
-    ``out/rows`` holds the rows and ``out/state`` the state, both by batch id; a
-    batch that is run again reads the state of the batch before it and replaces
-    its own.
+    ``out/rows`` holds the rows by batch id, ``out/state`` the state by ticker
+    (``streaming.state``: a batch reads and writes its own tickers' only).
     """
-    rows_path, state_path = os.path.join(out, "rows"), os.path.join(out, "state")
-
     def sink(df: DataFrame, batch_id: int) -> None:
-        from candela.sinks.keyed import read_if_exists
-        if df.isEmpty():
-            return
         spark = df.sparkSession
+        if ledger.is_committed(spark, out, batch_id):
+            return
         with scratch_scope(spark):
-            states = read_if_exists(spark, state_path)
-            if states is not None:
-                states = states.filter(F.col("batch_id") < batch_id)
-                before = states.agg(F.max("batch_id")).first()[0]
-                states = None if before is None else states.filter(F.col("batch_id") == before).drop("batch_id")
-            rows, state, counts = continue_indicators(df, states)
-            rows.write.mode("overwrite").parquet(os.path.join(rows_path, f"batch_id={batch_id}"))
-            state.write.mode("overwrite").parquet(os.path.join(state_path, f"batch_id={batch_id}"))
+            store = KeyedState(spark, os.path.join(out, "state"), STATE_SCHEMA, "ticker")
+            seen = Observation()
+            bars = materialize(df.observe(seen, F.collect_set(store.bucket()).alias("buckets")))
+            touched = sorted(seen.get["buckets"] or ())
+            if not touched:
+                return
+            rows, state, counts = continue_indicators(bars, store.read(batch_id, touched), bounded=True)
+            rows.write.mode("overwrite").parquet(os.path.join(out, "rows", f"batch_id={batch_id}"))
             counts.write.mode("overwrite").parquet(os.path.join(out, "counts", f"batch_id={batch_id}"))
-    bars = valid_bars(messages).select("date", "ticker", "close")
+            store.write(batch_id, state)
+            ledger.commit(spark, out, batch_id)
+    bars = valid_bars(messages).select("date", "ticker", "close", ARRIVAL)
     return (bars.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trigger).start())
-
-
-def progress_metrics(spark: SparkSession, progress: list[dict]) -> DataFrame:
-    """One metric row per micro-batch with input, from the query's progress reports."""
-    rows = [(int(p["batchId"]), int(p.get("numInputRows", 0)),
-             float(p.get("durationMs", {}).get("triggerExecution", 0)))
-            for p in progress if int(p.get("numInputRows", 0)) > 0]
-    df = spark.createDataFrame(rows, "batch_id long, record_count long, processing_time_ms double")
-    return df.select(
-        F.lit(STREAMING).alias("processing_type"), F.lit("PROCESSING_TIME").alias("metric_name"),
-        (F.col("processing_time_ms") / 1000.0).alias("metric_value"),
-        F.concat(F.col("record_count").cast("string"), F.lit(" records")).alias("window_size"),
-        F.to_json(F.struct("batch_id", "record_count", "processing_time_ms")).alias("details"))
-
-
-def dropped_late_rows(progress: list[dict]) -> int:
-    return sum(int(op.get("numRowsDroppedByWatermark", 0))
-               for p in progress for op in p.get("stateOperators", []))

@@ -86,6 +86,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def create_file(spark: SparkSession, path: str) -> None:
+    """An empty file (a marker)."""
+    p, fs = _hadoop_path(spark, path)
+    fs.create(p, True).close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    p, fs = _hadoop_path(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
 _scopes: list[list[str]] = []
 
 
@@ -109,8 +126,7 @@ def scratch_scope(spark: SparkSession):
         yield
     finally:
         for path in _scopes.pop():
-            p, fs = _hadoop_path(spark, path)
-            fs.delete(p, True)
+            delete_path(spark, path)
 
 
 def materialize(df):

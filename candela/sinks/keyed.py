@@ -8,9 +8,10 @@
                         ones: what a corrected input no longer gives, goes
 * ``*_parquet``         the same on a Parquet table; a first load runs the same
                         code against an empty table. Tables that change by key
-                        are partitioned by ``processing_type`` and month, and
-                        only the partitions that a change touches are read and
-                        rewritten.
+                        are partitioned by ``processing_type`` and month. The
+                        touched months (a list that the calendar bounds) are
+                        known before the table is read, so only their folders
+                        are listed, read and rewritten, in one job.
 
 NULL equals NULL in keys, so a row with a NULL key is stored once like any
 other. All are joins and aggregations; groups are bounded by the number of
@@ -19,15 +20,18 @@ versions of one key, never by the size of a ticker.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.functions.series import null_safe_join
 from candela.schemas import PRICE_DECIMAL, STRENGTH_DECIMAL
-from candela.session import materialize, path_exists
+from candela.session import delete_path, materialize, path_exists
+from candela.sources.arrival import ARRIVAL, ensured
 
 MONTH = "month"
 CREATED = "created_at"
@@ -103,38 +107,70 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def _current(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    if read_if_exists(spark, path) is None:
-        return rows.limit(0)
-    return spark.read.schema(rows.schema).parquet(path)
+def months(rows: DataFrame) -> list[tuple]:
+    """The partitions (processing type, month) that rows with a date belong to."""
+    return [tuple(r) for r in rows.select("processing_type", F.date_format("date", "yyyy-MM").alias(MONTH)).distinct().collect()]
 
 
-def _rewrite(current: DataFrame, rows: DataFrame, path: str, change) -> None:
-    """Replace the partitions that ``rows`` touch by ``change(their rows)``."""
-    touched = rows.select(*PARTITIONS).distinct()
-    base = null_safe_join(current, touched, PARTITIONS, "left_semi")
-    merged = materialize(change(base))  # so that the overwrite doesn't read what it replaces
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _folder(path: str, part: tuple) -> str:
+    return os.path.join(path, *[f"{name}={value}" for name, value in zip(PARTITIONS, part)])
+
+
+def partitions(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[tuple]) -> DataFrame:
+    """The rows of the ``touched`` partitions; no other folder of the table is listed or read."""
+    plain = all(value is not None and re.fullmatch(r"[\w-]+", value) for part in touched for value in part)
+    folders = [f for f in (_folder(path, p) for p in touched) if path_exists(spark, f)] if plain else (
+        [path] if path_exists(spark, path) else [])
+    if not folders:
+        return spark.createDataFrame([], schema)
+    wanted = F.lit(False)
+    for kind in {p[0] for p in touched}:
+        mine = [p[1] for p in touched if p[0] == kind]
+        month = F.col(MONTH).isin([m for m in mine if m is not None])
+        wanted = wanted | (F.col("processing_type").eqNullSafe(F.lit(kind)) & (month | F.col(MONTH).isNull() if None in mine else month))
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).filter(wanted)
+
+
+def _rewrite(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[tuple], change) -> None:
+    """Replace the ``touched`` partitions by ``change(their rows)``.
+
+    One job: a dynamic overwrite writes beside the table and moves the folders
+    when all rows are written. Rows of a month go to one task, unless there are
+    so many that adaptive execution divides them.
+    """
+    if not touched:
+        return
+    there = Observation()
+    merged = change(partitions(spark, path, schema, touched)).select(*schema.names)
+    (merged.observe(there, F.collect_set(F.concat_ws("/", *PARTITIONS)).alias("parts"))
+     .hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITIONS).parquet(path))
+    written = set(there.get["parts"] or ())
+    for part in touched:  # the overwrite leaves a partition that has lost all its rows
+        if None not in part and "/".join(part) not in written:
+            delete_path(spark, _folder(path, part))
 
 
-def upsert_parquet(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str]) -> None:
-    """Keyed upsert of ``updates`` (as stored, see :func:`stored`)."""
-    rows = materialize(stored(updates))
-    _rewrite(_current(spark, path, rows), rows, path, lambda base: merge_latest(base, rows, key))
+def upsert_parquet(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str],
+                   touched: Sequence[tuple] | None = None) -> None:
+    """Keyed upsert of ``updates``, a stored table (``touched``: its :func:`months`, if they are known)."""
+    rows = stored(updates)
+    _rewrite(spark, path, rows.schema, months(updates) if touched is None else touched,
+             lambda base: merge_latest(base, rows, key))
 
 
-def replace_parquet(spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame, key: Sequence[str]) -> None:
-    """Replace all rows of the ``touched`` keys by ``rows``."""
-    rows = materialize(stored(rows))
-    parts = touched.select("date", "processing_type", F.date_format("date", "yyyy-MM").alias(MONTH))
-    _rewrite(_current(spark, path, rows), parts, path, lambda base: replace_keys(base, rows, touched, key))
+def replace_parquet(spark: SparkSession, path: str, rows: DataFrame, keys: DataFrame, key: Sequence[str],
+                    touched: Sequence[tuple] | None = None) -> None:
+    """Replace all rows of the ``keys`` (a stored table with their columns) by ``rows``."""
+    rows = stored(rows)
+    _rewrite(spark, path, rows.schema, months(keys) if touched is None else touched,
+             lambda base: replace_keys(base, rows, keys, key))
 
 
 def insert_parquet(spark: SparkSession, path: str, stage: DataFrame, key: Sequence[str],
                    stage_order: Sequence[str] | None = None) -> None:
-    """Append the staged rows whose key the table lacks."""
-    rows = materialize(stored(stage).drop(MONTH))
-    target = _current(spark, path, rows)
-    order = [CREATED] if stage_order is None else stage_order
-    materialize(new_rows(target, rows, key, order)).write.mode("append").parquet(path)
+    """Append the staged rows whose key the table lacks; of several the first by ``stage_order``, else by arrival."""
+    rows = materialize(stored(ensured(stage)).drop(MONTH))
+    schema = T.StructType([f for f in rows.schema.fields if f.name != ARRIVAL])
+    target = spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+    materialize(new_rows(target, rows, key, stage_order or [ARRIVAL])).write.mode("append").parquet(path)

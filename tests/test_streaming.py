@@ -104,12 +104,14 @@ def test_kafka_options_reach_reader(monkeypatch):
         def load(self):
             return self
 
-        def select(self, column):
+        def select(self, *columns):
             return self
 
     class Session:
         readStream = Reader()
     monkeypatch.setattr(feed.F, "col", lambda c: pytest.importorskip("unittest.mock").MagicMock())
+    monkeypatch.setattr(feed, "arrival", lambda *parts: None)
+    monkeypatch.setattr(feed.F, "concat_ws", lambda *parts: None)
     s = Session()
     feed.message_stream(s, kafka_options={"kafka.bootstrap.servers": "h:1", "subscribe": "bars"}, max_per_trigger=9)
     assert s.readStream.seen == {"format": "kafka", "kafka.bootstrap.servers": "h:1", "subscribe": "bars",
