@@ -78,14 +78,18 @@ class Replay:
         from candela.streaming.feed import message_stream
         return message_stream(self.spark, self.feed)
 
-    def run(self, bars: DataFrame, start, copies: int = 1, late: DataFrame | None = None) -> None:
-        """``start()`` gives the query; ``late`` rows of the first period are sent at the end."""
+    def run(self, bars: DataFrame, start, copies: int = 1, late: DataFrame | None = None,
+            corrected: DataFrame | None = None) -> None:
+        """``start()`` gives the query; ``late`` rows of the first period are sent at the end,
+        ``corrected`` ones of each period after it, to the same run."""
         from candela.plans.stream_job import run_available
         from candela.session import materialize
         bars = materialize(bars)
         ids = deliveries(bars)
         for d in ids:
             write_delivery(bars, self.feed, d, copies=copies)
+            if corrected is not None:
+                write_delivery(corrected, self.feed, d, name=f"d{d}-corrected")
             run_available(self.spark, start, self.log)
         if late is not None and ids:
             write_delivery(late, self.feed, ids[0], name="late")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from candela.functions.indicators import complete, with_indicators
 from candela.functions.signals import signals
 from candela.schemas import BATCH, INDICATOR_COLUMNS
-from candela.session import materialize, scratch_scope
+from candela.session import materialize, observed, scratch_scope, together
 
 INDICATOR_KEY = ["date", "ticker", "processing_type"]
 INDICATOR_TABLE_COLUMNS = ["date", "ticker", "processing_type", "close", *INDICATOR_COLUMNS]
@@ -62,10 +62,11 @@ def run(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
         # Computed once, read by the upsert and the signals.
         ind = materialize(indicator_rows(valid).observe(rows, F.count(F.lit(1)).alias("records")))
         touched = months(ind)
-        upsert_parquet(spark, f"{out_dir}/technical_indicators", ind, INDICATOR_KEY, touched)
-        replace_parquet(spark, f"{out_dir}/trading_signals", signal_rows(ind), ind, INDICATOR_KEY, touched)
+        together(spark,
+                 lambda: upsert_parquet(spark, f"{out_dir}/technical_indicators", ind, INDICATOR_KEY, touched),
+                 lambda: replace_parquet(spark, f"{out_dir}/trading_signals", signal_rows(ind), ind, INDICATOR_KEY, touched))
         elapsed = time.time() - started
         metric = metric_row(spark, BATCH, elapsed, "FULL DATASET", {
-            "record_count": rows.get["records"], "rejected_count": counted.get["rejected"], "processing_time_sec": elapsed})
+            "record_count": observed(rows).get("records", 0), "rejected_count": observed(counted).get("rejected", 0), "processing_time_sec": elapsed})
         metric.write.mode("overwrite").parquet(f"{out_dir}/performance_metrics/run=batch-{uuid.uuid4().hex[:12]}")
     return metric

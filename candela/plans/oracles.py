@@ -336,3 +336,39 @@ ORACLES.update({
                count(*) AS rows
         FROM msg GROUP BY 1""",
 })
+
+KIND = "((date - DATE '1970-01-01') % 11)"
+PRICES = ["open", "high", "low", "close", "adj_close"]
+
+
+def priced(factor: str, columns: str = "date, ticker, {prices}, volume") -> str:
+    return columns.format(prices=", ".join(f"{c} * {factor} AS {c}" for c in PRICES))
+
+
+ORACLES.update({
+    "latest_signals_limit": with_ind(complete_cte("c", "ind", "BATCH"), signals_cte("sig", "c"))
+        + f" SELECT date, ticker, processing_type, signal_rank, signal_type, {r('signal_strength')}, signal_source, description "
+          "FROM sig ORDER BY date DESC, ticker, signal_rank LIMIT 10",
+    "metric_values": f"WITH {METRICS} SELECT processing_type, metric_name, {r('metric_value')} FROM metrics",
+    "insert_first_arrival": f"WITH {O.BARS}, {SETTLED} SELECT date, ticker, {rs(PRICES)}, volume FROM settled UNION ALL "
+        f"SELECT date, ticker, {', '.join(r(f'{c} * 2', c) for c in PRICES)}, volume FROM bars b WHERE NOT EXISTS "
+        "(SELECT 1 FROM settled s WHERE s.date = b.date AND s.ticker = b.ticker)",
+    "quarantine_conflicts": f"WITH {O.BARS}" + f"""
+        SELECT CASE {KIND} WHEN 1 THEN 'not_finite:close' WHEN 2 THEN 'not_finite:high' ELSE 'unique:date,ticker' END AS reason,
+               count(*) AS rows
+        FROM bars WHERE {KIND} IN (1, 2, 3, 5, 7) GROUP BY 1
+        UNION ALL SELECT 'valid', count(*) FROM bars WHERE {KIND} <> 2""",
+    "gated_indicators": "WITH RECURSIVE " + ",".join([
+        O.BARS, f"gated AS (SELECT * FROM bars WHERE {KIND} <> 2)", O.indicators("gated", "ind")])
+        + " SELECT date, ticker, 'BATCH' AS processing_type, "
+        + ", ".join(f"CAST(round(CAST({c} AS DECIMAL(16,6)), 3) AS DOUBLE) AS {c}" for c in ["close", *IND])
+        + f" FROM ind WHERE {COMPLETE_WHERE}",
+    "stream_corrections": f"WITH {O.BARS}, {WINDOWED} SELECT "
+        + priced("CASE WHEN (date - DATE '1970-01-01') % 2 = 0 THEN 1.5 ELSE 0.5 END",
+                 "date, ticker, window_start, window_start + 20 AS window_end, {prices}, volume") + " FROM win",
+    "stream_batch_details": "WITH RECURSIVE " + POOLS + """,
+        batches AS (SELECT pool, count(*) AS records FROM pooled GROUP BY 1)
+        SELECT row_number() OVER (ORDER BY pool) AS batch, records AS record_count, records AS repeat_count,
+               false AS late, true AS timed FROM batches
+        UNION ALL SELECT (SELECT count(*) + 1 FROM batches), 0, 0, true, true""",
+})

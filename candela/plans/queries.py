@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from candela.functions import indicators as I
 from candela.functions.signals import signals
 from candela.operators import compare as C
 from candela.operators.quality import (BAR_KEY, BAR_NOT_NULL, INDICATOR_KEY, INDICATOR_NOT_NULL,
-                                       SIGNAL_NOT_NULL, violations)
+                                       SIGNAL_NOT_NULL, quarantine, violations)
 from candela.fixtures import Replay, metrics_from_events, restarted_indicator_rows
 from candela.plans import stream_job
 from candela.plans.batch import INDICATOR_KEY, INDICATOR_TABLE_COLUMNS, indicator_rows
@@ -27,7 +27,7 @@ from candela.schemas import (BAR_COLUMNS, BAR_MESSAGE, INDICATOR_COLUMNS, PRICE_
                              STRENGTH_DECIMAL)
 from candela.session import materialize, prepare, scratch_path
 from candela.sinks import keyed, publish
-from candela.sources import files, tables
+from candela.sources import arrival, files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -144,6 +144,17 @@ def q_latest_limit(spark, d):
     return rounded(indicator_rows(closes(spark, d)).orderBy(F.col("date").desc(), "ticker").limit(10))
 
 
+@query("latest_signals_limit")
+def q_latest_signals(spark, d):
+    return rounded(signals(indicator_rows(closes(spark, d)))
+                   .orderBy(F.col("date").desc(), "ticker", "signal_rank").limit(10))
+
+
+@query("metric_values")
+def q_metric_values(spark, d):
+    return rounded(run_metrics_table(spark, d).select("processing_type", "metric_name", "metric_value"))
+
+
 @query("ingest_csv_bars")
 def q_ingest_csv(spark, d):
     path = scratch_path(spark, "csv-bars")
@@ -176,6 +187,22 @@ def q_insert_if_absent(spark, d):
     return keyed.insert_if_absent(target, bars(spark, d), ["date", "ticker"])
 
 
+@query("insert_first_arrival")
+def q_insert_first_arrival(spark, d):
+    """Three files of bars arrive: a partial load, the whole with other prices, the partial one again with others.
+
+    The first bar of a key to arrive is stored, though its row is neither the least nor the greatest.
+    """
+    folder, path = scratch_path(spark, "staged-bars"), scratch_path(spark, "stored-bars")
+    partial, whole = settled_bars(spark, d), bars(spark, d)
+    for k, load in enumerate([partial, _repriced(whole, 2.0), _repriced(partial, 0.5)]):
+        load.write.parquet(os.path.join(folder, f"load={k}"))
+    stage = arrival.of_files(spark.read.parquet(folder)).drop("load")
+    keyed.insert_parquet(spark, path, stage, ["date", "ticker"])
+    keyed.insert_parquet(spark, path, _repriced(whole, 3.0), ["date", "ticker"])  # all there: nothing is added
+    return rounded(spark.read.parquet(path).select(*BAR_COLUMNS).withColumns({c: F.col(c).cast("double") for c in PRICES}))
+
+
 @query("upsert_indicators")
 def q_upsert(spark, d):
     existing = indicator_rows(closes(spark, d))
@@ -194,6 +221,10 @@ def q_append_dedup(spark, d):
     return rounded(stored)
 
 
+def _repriced(df: DataFrame, factor: float) -> DataFrame:
+    return df.withColumns({c: F.col(c) * factor for c in PRICES})
+
+
 def exact(df: DataFrame, columns: list[str], kind: T.DecimalType, digits: int | None = None) -> DataFrame:
     """Columns as decimals, so that their text is the same in any engine."""
     return df.withColumns({c: (F.col(c) if digits is None else F.round(c, digits)).cast(kind) for c in columns})
@@ -259,6 +290,36 @@ def q_quality(spark, d):
             .unionByName(violations(signals(ind), "trading_signals", SIGNAL_NOT_NULL)))
 
 
+def _conflicting_files(spark, d) -> DataFrame:
+    """Bars as CSV files in two loads. By the day's number modulo 11: 1 no number as close at first and the bar
+    later, 2 an infinite high, 3 and 7 a second bar with higher and lower prices, 5 the same bar again."""
+    path = scratch_path(spark, "conflicting-bars")
+    b = bars(spark, d).withColumn("kind", F.pmod(F.datediff("date", F.lit("1970-01-01")), F.lit(11)))
+    first = b.withColumns({"close": F.when(F.col("kind") == 1, F.lit(float("nan"))).otherwise(F.col("close")),
+                           "high": F.when(F.col("kind") == 2, F.lit(float("inf"))).otherwise(F.col("high"))})
+    factor = F.when(F.col("kind") == 3, 1.5).when(F.col("kind") == 7, 0.5).otherwise(1.0)
+    second = b.filter("kind IN (1, 3, 5, 7)").withColumns({c: F.col(c) * factor for c in PRICES})
+    for k, load in enumerate([first, second]):
+        files.write_csv_bars(load.drop("kind"), os.path.join(path, f"load={k}"))
+    return files.read_csv_bars(spark, path, arrival=True)
+
+
+@query("quarantine_conflicts")
+def q_quarantine_conflicts(spark, d):
+    valid, rejected = quarantine(_conflicting_files(spark, d))
+    return (rejected.groupBy("reason").agg(F.count("*").alias("rows"))
+            .unionByName(valid.groupBy().agg(F.count("*").alias("rows")).select(F.lit("valid").alias("reason"), "rows")))
+
+
+@query("gated_indicators")
+def q_gated_indicators(spark, d):
+    """The batch job over the same files: later rows have the values of undisturbed bars."""
+    from candela.plans import batch
+    out = scratch_path(spark, "gated-run")
+    batch.run(spark, _conflicting_files(spark, d), out)
+    return _stored_indicators(spark, out)
+
+
 # ---------------------------------------------------------------- compare
 
 def both_indicator_types(spark, d) -> DataFrame:
@@ -366,21 +427,36 @@ def q_stream_late(spark, d):
     return _window_rows(spark, d, late=late)
 
 
-def _stream_job(spark, d) -> str:
+def _stream_job(spark, d, **options) -> str:
     run = Replay(spark, "indicator-job")
     run.run(bars(spark, d), lambda: stream_job.start_indicator_job(
-        spark, run.out, run.checkpoint, feed_dir=run.feed, trigger=stream_job.AVAILABLE))
+        spark, run.out, run.checkpoint, feed_dir=run.feed, trigger=stream_job.AVAILABLE), **options)
     return run.out
 
 
-@query("stream_window_indicators")
-def q_stream_window_ind(spark, d):
-    stored = spark.read.parquet(os.path.join(_stream_job(spark, d), "technical_indicators"))
+@query("stream_corrections")
+def q_stream_corrections(spark, d):
+    """Each delivery sends its bars and then corrects them, up on even days and down on odd ones."""
+    return _window_rows(spark, d, corrected=_corrected(bars(spark, d)))
+
+
+def _corrected(b: DataFrame) -> DataFrame:
+    even = F.pmod(F.datediff("date", F.lit("1970-01-01")), F.lit(2)) == 0
+    return b.withColumns({c: F.col(c) * F.when(even, 1.5).otherwise(0.5) for c in PRICES})
+
+
+def _stored_indicators(spark, out: str) -> DataFrame:
+    stored = spark.read.parquet(os.path.join(out, "technical_indicators"))
     # Rounded as the decimals that are stored.
     return stored.select(*[F.round(c, 3).cast("double").alias(c) if c in ("close", *INDICATOR_COLUMNS) else F.col(c)
                            for c in INDICATOR_TABLE_COLUMNS])
 
 
+@query("stream_window_indicators")
+def q_stream_window_ind(spark, d):
+    return _stored_indicators(spark, _stream_job(spark, d))
+
+
 @query("stream_window_signals")
 def q_stream_window_sig(spark, d):
     stored = spark.read.parquet(os.path.join(_stream_job(spark, d), "trading_signals"))
@@ -410,6 +486,18 @@ def q_stream_metrics(spark, d):
     return _metric_facts(spark.read.parquet(os.path.join(_stream_job(spark, d), "performance_metrics")))
 
 
+@query("stream_batch_details")
+def q_stream_batch_details(spark, d):
+    """The details of each micro-batch: all bars are sent twice, and those of the first period again at the end, too late."""
+    out = _stream_job(spark, d, copies=2, late=bars(spark, d))
+    details = F.from_json("details", "batch_id long, record_count long, processing_time_ms double, "
+                                     "repeat_count long, late_count long")
+    read = spark.read.parquet(os.path.join(out, "performance_metrics")).select("metric_value", details.alias("of"))
+    return read.select(F.rank().over(Window.orderBy("of.batch_id")).cast("long").alias("batch"), "of.record_count",
+                       "of.repeat_count", (F.col("of.late_count") > 0).alias("late"),
+                       (F.abs(F.col("metric_value") - F.col("of.processing_time_ms") / 1000) < 1e-6).alias("timed"))
+
+
 @query("run_metrics")
 def q_run_metrics(spark, d):
     from candela.plans import batch

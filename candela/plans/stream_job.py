@@ -22,7 +22,7 @@ from candela.functions.signals import signals
 from candela.operators.quality import rejection
 from candela.plans.batch import INDICATOR_KEY, indicator_rows, metric_row
 from candela.schemas import STREAMING
-from candela.session import materialize, scratch_scope
+from candela.session import materialize, observed, scratch_scope, together
 from candela.sinks import ledger, publish
 from candela.sinks.keyed import replace_parquet, upsert_parquet
 from candela.sources.arrival import ARRIVAL
@@ -122,7 +122,7 @@ def batch_metric(report: dict) -> tuple | None:
         return None
     millis = float(report.get("durationMs", {}).get("triggerExecution", 0))
     details = {"batch_id": int(report["batchId"]), "record_count": records, "processing_time_ms": millis,
-               "input_count": int(report.get("numInputRows", 0)), "repeat_count": received - records, "late_count": late}
+               "repeat_count": received - records, "late_count": late}
     return STREAMING, millis / 1000.0, f"{records} records", details
 
 
@@ -155,8 +155,8 @@ def indicator_batch(out_dir: str, publish_options: dict[str, str] | None = None,
     Indicators over the pooled rows of the touched windows (the warm-up restarts
     in every batch) are computed in one plan, so the batch is evaluated once, and
     stored; months that they touch are observed on the way. Then there is one job
-    for each output: keyed upsert, signals of the same keys replaced, two message
-    outputs. All of them replace by key or by batch and the batch's marker is
+    for each output, all at the same time: keyed upsert, signals of the same keys
+    replaced, two message outputs. All of them replace by key or by batch and the batch's marker is
     written last (``sinks.ledger``), so a batch that stopped half-way leaves the
     same tables when it is run again. A batch without rows does nothing. With
     ``topics`` (names for ``indicators`` and ``signals``) messages go to Kafka,
@@ -171,16 +171,19 @@ def indicator_batch(out_dir: str, publish_options: dict[str, str] | None = None,
             rows = indicator_rows(flatten_windows(df), STREAMING, bounded=True)
             month = F.date_format("date", "yyyy-MM")
             ind = materialize(rows.observe(seen, F.collect_set(month).alias("months")))
-            touched = [(STREAMING, m) for m in sorted(seen.get["months"] or ())]
+            touched = [(STREAMING, m) for m in sorted(observed(seen).get("months") or ())]
             if not touched:
                 return
-            upsert_parquet(spark, os.path.join(out_dir, "technical_indicators"), ind, INDICATOR_KEY, touched)
             found = signals(ind)
-            replace_parquet(spark, os.path.join(out_dir, "trading_signals"), found, ind, INDICATOR_KEY, touched)
-            for name, messages in (("indicators", publish.indicator_messages(ind)),
-                                   ("signals", publish.signal_messages(found))):
-                publish.publish(messages, publish_options, topic=(topics or {}).get(name),
-                                path=os.path.join(out_dir, "messages", name, f"batch_id={batch_id}"))
+
+            def publish_as(name: str, messages: DataFrame):
+                return lambda: publish.publish(messages, publish_options, topic=(topics or {}).get(name),
+                                               path=os.path.join(out_dir, "messages", name, f"batch_id={batch_id}"))
+            together(spark,
+                     lambda: upsert_parquet(spark, os.path.join(out_dir, "technical_indicators"), ind, INDICATOR_KEY, touched),
+                     lambda: replace_parquet(spark, os.path.join(out_dir, "trading_signals"), found, ind, INDICATOR_KEY, touched),
+                     publish_as("indicators", publish.indicator_messages(ind)),
+                     publish_as("signals", publish.signal_messages(found)))
             ledger.commit(spark, out_dir, batch_id)
     return sink
 
@@ -259,7 +262,7 @@ def start_stateful(messages: DataFrame, out: str, checkpoint: str, trigger: dict
             store = KeyedState(spark, os.path.join(out, "state"), STATE_SCHEMA, "ticker")
             seen = Observation()
             bars = materialize(df.observe(seen, F.collect_set(store.bucket()).alias("buckets")))
-            touched = sorted(seen.get["buckets"] or ())
+            touched = sorted(observed(seen).get("buckets") or ())
             if not touched:
                 return
             rows, state, counts = continue_indicators(bars, store.read(batch_id, touched), bounded=True)

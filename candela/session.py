@@ -8,9 +8,11 @@ import re
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Observation, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -36,6 +38,8 @@ def build_session(master: str | None = None, app: str = "candela",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Plans here have thousands of expressions; recording the call site of each takes longer than planning.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     }
     if shuffle_partitions:
@@ -129,6 +133,22 @@ def scratch_scope(spark: SparkSession):
             delete_path(spark, path)
 
 
+def together(spark: SparkSession, *jobs) -> None:
+    """Run independent outputs at the same time: a small one doesn't wait for the planning and commit of another.
+
+    All end before this returns; then the first error is raised.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for job in done:
+        job.result()
+
+
+def observed(seen: Observation) -> dict:
+    """What ``seen`` observed; nothing where Spark knew that there are no rows and left the plan out."""
+    return seen.get if seen._jo.getRow().size() else {}
+
+
 def materialize(df):
     """Cut the lineage of ``df`` at a point that several branches read.
 

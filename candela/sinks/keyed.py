@@ -24,13 +24,13 @@ import os
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candela.functions.series import null_safe_join
 from candela.schemas import PRICE_DECIMAL, STRENGTH_DECIMAL
-from candela.session import delete_path, materialize, path_exists
+from candela.session import delete_path, list_names, materialize, path_exists
 from candela.sources.arrival import ARRIVAL, ensured
 
 MONTH = "month"
@@ -119,8 +119,12 @@ def _folder(path: str, part: tuple) -> str:
 def partitions(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[tuple]) -> DataFrame:
     """The rows of the ``touched`` partitions; no other folder of the table is listed or read."""
     plain = all(value is not None and re.fullmatch(r"[\w-]+", value) for part in touched for value in part)
-    folders = [f for f in (_folder(path, p) for p in touched) if path_exists(spark, f)] if plain else (
-        [path] if path_exists(spark, path) else [])
+    if plain:
+        there = {(kind, name.partition("=")[2]) for kind in {p[0] for p in touched}
+                 for name in list_names(spark, os.path.join(path, f"{PARTITIONS[0]}={kind}"))}
+        folders = [_folder(path, p) for p in touched if p in there]
+    else:
+        folders = [path] if path_exists(spark, path) else []
     if not folders:
         return spark.createDataFrame([], schema)
     wanted = F.lit(False)
@@ -131,7 +135,8 @@ def partitions(spark: SparkSession, path: str, schema: T.StructType, touched: Se
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).filter(wanted)
 
 
-def _rewrite(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[tuple], change) -> None:
+def _rewrite(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[tuple], change,
+             may_empty: bool = False) -> None:
     """Replace the ``touched`` partitions by ``change(their rows)``.
 
     One job: a dynamic overwrite writes beside the table and moves the folders
@@ -140,14 +145,12 @@ def _rewrite(spark: SparkSession, path: str, schema: T.StructType, touched: Sequ
     """
     if not touched:
         return
-    there = Observation()
+    before = {part: list_names(spark, _folder(path, part)) for part in touched if may_empty and None not in part}
     merged = change(partitions(spark, path, schema, touched)).select(*schema.names)
-    (merged.observe(there, F.collect_set(F.concat_ws("/", *PARTITIONS)).alias("parts"))
-     .hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITIONS).parquet(path))
-    written = set(there.get["parts"] or ())
-    for part in touched:  # the overwrite leaves a partition that has lost all its rows
-        if None not in part and "/".join(part) not in written:
+    for part, names in before.items():  # the overwrite leaves a partition that has lost all its rows as it was
+        if names and list_names(spark, _folder(path, part)) == names:
             delete_path(spark, _folder(path, part))
 
 
@@ -164,7 +167,7 @@ def replace_parquet(spark: SparkSession, path: str, rows: DataFrame, keys: DataF
     """Replace all rows of the ``keys`` (a stored table with their columns) by ``rows``."""
     rows = stored(rows)
     _rewrite(spark, path, rows.schema, months(keys) if touched is None else touched,
-             lambda base: replace_keys(base, rows, keys, key))
+             lambda base: replace_keys(base, rows, keys, key), may_empty=True)
 
 
 def insert_parquet(spark: SparkSession, path: str, stage: DataFrame, key: Sequence[str],

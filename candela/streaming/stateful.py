@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from candela.functions import series as S
 from candela.functions.indicators import AVERAGES, scan_indicators
 from candela.schemas import INDICATOR_COLUMNS
-from candela.session import materialize
+from candela.session import materialize, observed
 from candela.sources.arrival import ARRIVAL
 
 HISTORY = 19
@@ -63,5 +63,5 @@ def continue_indicators(bars: DataFrame, state: DataFrame | None,
     seeds = [F.when(F.col("_from_end") == 0, F.col(name)).alias(seed) for name, seed in SEEDS.items()]
     new_state = done.filter(F.col("_from_end") < HISTORY).select("ticker", "date", "close", *seeds)
     counts = bars.sparkSession.createDataFrame(
-        [("received", int(got.get["n"] or 0)), ("accepted", int(accepted.get["n"] or 0))], "name string, n long")
+        [("received", int(observed(got).get("n") or 0)), ("accepted", int(observed(accepted).get("n") or 0))], "name string, n long")
     return out, new_state, counts

@@ -12,7 +12,9 @@ FAST = ["sma", "ema", "macd", "rsi", "bollinger", "indicators_complete", "signal
         "quality_violations", "metrics_filtered", "perf_summary", "compare_indicators",
         "signal_counts", "ingest_csv_bars", "scan_jdbc", "upsert_indicators", "append_signals_dedup",
         "run_metrics", "quarantine_bars", "stream_window_signals", "stream_metrics", "stream_late_rows",
-        "stream_indicators_stateful", "stream_window_indicators", "stream_window_collect"]
+        "stream_indicators_stateful", "stream_window_indicators", "stream_window_collect",
+        "latest_signals_limit", "metric_values", "insert_first_arrival", "quarantine_conflicts", "gated_indicators",
+        "stream_corrections", "stream_batch_details"]
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():

@@ -119,29 +119,32 @@ def test_kafka_options_reach_reader(monkeypatch):
 
 
 @pytest.mark.parametrize("cuts", [(1,), (2, 5, 6), (25, 26, 70)])
-def test_continued_indicators_equal_batch(spark, cuts):
+@pytest.mark.parametrize("bounded", [False, True])
+def test_continued_indicators_equal_batch(spark, tmp_path, cuts, bounded):
     """One ticker holds most rows; batches hold repeats, late rows, a NULL close and new tickers."""
     import datetime as dt
 
     import numpy as np
 
     from candela.functions.indicators import with_indicators
-    from candela.streaming.stateful import continue_indicators
+    from candela.streaming.state import KeyedState
+    from candela.streaming.stateful import STATE_SCHEMA, continue_indicators
     rng = np.random.default_rng(8)
     d0 = dt.datetime(2024, 1, 1)
     rows = [("A", d0 + dt.timedelta(days=k), float(c)) for k, c in enumerate(50 + rng.normal(size=90).cumsum())]
     rows += [("B", d0 + dt.timedelta(days=k), float(c)) for k, c in enumerate(20 + rng.normal(size=30).cumsum())]
     schema = "ticker string, date timestamp, close double"
     want = {(r.ticker, r.date): r for r in with_indicators(spark.createDataFrame(rows, schema)).collect()}
-    got, state, edges = {}, None, [0, *cuts, 90]
-    for a, b in zip(edges[:-1], edges[1:]):
+    store = KeyedState(spark, str(tmp_path / "state"), STATE_SCHEMA, "ticker")
+    got, edges = {}, [0, *cuts, 90]
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
         part = [r for r in rows if a <= (r[1] - d0).days < b]
         sent = part + part[:1] + [r for r in rows if (r[1] - d0).days == a - 1] + [("A", d0 + dt.timedelta(days=b), None)]
-        out, new, counts = continue_indicators(spark.createDataFrame(sent, schema), state)
+        out, new, counts = continue_indicators(spark.createDataFrame(sent, schema), store.read(k), bounded)
         got.update({(r.ticker, r.date): r for r in out.collect()})
         assert {r.name: r.n for r in counts.collect()} == {"received": len(sent) - 1, "accepted": len(part)}
-        state = spark.createDataFrame(new.collect(), new.schema)
-        assert state.groupBy("ticker").count().filter("count > 19").count() == 0
+        store.write(k, new)
+        assert store.read(k + 1).groupBy("ticker").count().filter("count > 19").count() == 0
     assert set(got) == set(want)
     for k, w in want.items():
         for c in ("sma_20", "ema_26", "macd_signal", "rsi_14", "bollinger_upper"):
