@@ -5,8 +5,9 @@ written as shards of about ``shard_bytes`` of text. Within a shard, the most
 frequent pairs of neighbouring ids are replaced by nonterminals, again and
 again: each round counts all pairs, gives up to ``batch`` of the most frequent
 ones (at least ``least`` uses) a rule each, and replaces their occurrences from
-left to right, until no pair is frequent enough, ids run out (16 bits) or a
-round shortens the shard by under ``stop``. Pairs never cross the end of a
+left to right, until no pair is frequent enough, numbers run out or a round
+shortens the shard by under ``stop``. Symbols have 16 bits where the vocabulary's
+ids leave room for rules in them, else 32; both are compressed alike. Pairs never cross the end of a
 document, so a document is a run of symbols.
 
 A shard is one row of a Parquet table (any store that Spark reaches): the
@@ -39,17 +40,22 @@ from candela.llm.pretokens import encoder
 from candela.llm.textops import slices, utf8_column
 
 MAGIC = b"RPG1"
-_SPREAD, _SLOTS = np.uint32(2654435769), 17
+_SLOTS = 17
+WIDE_RULES = 1 << 20   # of a shard whose symbols have 32 bits
+# by bytes of a symbol: type of a pair, bits of a symbol, multiplier that spreads pairs over slots
+_PAIRS = {2: (np.uint32, 16, np.uint32(2654435769)), 4: (np.uint64, 32, np.uint64(0x9E3779B97F4A7C15))}
 
 
 def _rounds(symbols: np.ndarray, closing: np.ndarray, first: int, batch: int, least: int, stop: float):
-    """Shorter symbols and the rules (left, right); ``closing`` marks symbols that end a document."""
+    """Shorter symbols and the rules (left, right); ``closing`` marks symbols that end a document, as many as there may be."""
     rules: list[np.ndarray] = []
-    at = first
-    while len(symbols) > 1 and at < 1 << 16:
+    at, limit = first, len(closing)
+    pair, bits, spread = _PAIRS[symbols.dtype.itemsize]
+    shift, low, unused = pair(bits), pair((1 << bits) - 1), pair(2 * bits - _SLOTS)
+    while len(symbols) > 1 and at < limit:
         left, right = symbols[:-1], symbols[1:]
         free = ~closing[left]
-        pairs = (left.astype(np.uint32) << np.uint32(16)) | right
+        pairs = (left.astype(pair) << shift) | right
         ordered = np.sort(pairs[free])
         if not len(ordered):
             break
@@ -58,16 +64,16 @@ def _rounds(symbols: np.ndarray, closing: np.ndarray, first: int, batch: int, le
         frequent = np.flatnonzero(uses >= least)
         if not len(frequent):
             break
-        room = min(batch, (1 << 16) - at)
+        room = min(batch, limit - at)
         if len(frequent) > room:
             frequent = frequent[np.argpartition(uses[frequent], -room)[-room:]]
         chosen = ordered[starts[frequent]]
         # a table without collisions; a pair whose slot is taken waits for the next round
-        slot, first_in = np.unique((chosen * _SPREAD) >> np.uint32(32 - _SLOTS), return_index=True)
+        slot, first_in = np.unique((chosen * spread) >> unused, return_index=True)
         chosen = chosen[first_in]
         rule_of = np.zeros(1 << _SLOTS, np.uint16)
         rule_of[slot] = np.arange(len(chosen))
-        rule = rule_of[(pairs * _SPREAD) >> np.uint32(32 - _SLOTS)]
+        rule = rule_of[(pairs * spread) >> unused]
         places = np.flatnonzero((chosen[rule] == pairs) & free)
         rule = rule[places].astype(np.int64)
         # of neighbouring places, the first, third, ... are replaced
@@ -81,30 +87,26 @@ def _rounds(symbols: np.ndarray, closing: np.ndarray, first: int, batch: int, le
         keep = np.ones(before, bool)
         keep[places + 1] = False
         symbols = symbols[keep]
-        closing[at:at + len(chosen)] = closing[chosen & np.uint32(0xFFFF)]
+        closing[at:at + len(chosen)] = closing[chosen & low]
         rules.append(chosen)
         at += len(chosen)
         if len(places) < stop * before:
             break
-    flat = np.concatenate(rules) if rules else np.zeros(0, np.uint32)
-    return symbols, np.stack([flat >> np.uint32(16), flat & np.uint32(0xFFFF)], 1)
+    flat = np.concatenate(rules) if rules else np.zeros(0, pair)
+    return symbols, np.stack([flat >> shift, flat & low], 1).astype(np.uint32)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, end_id: int = 2, batch: int = 4096, least: int = 16,
              stop: float = 0.01) -> bytes:
     """The blob of one shard: ``ids`` of all documents, ``ends`` of each in ids."""
     top = int(ids.max()) if len(ids) else 0
-    n_tokens, small = len(ids), top < 1 << 16
-    first = top + 1
-    rules = np.zeros((0, 2), np.uint32)
+    first, n_tokens = top + 1, len(ids)
+    small = first + batch <= 1 << 16  # one round's rules have numbers there
     closed = np.zeros(n_tokens, bool)
     closed[ends - 1] = True
-    if small:
-        closing = np.zeros(1 << 16, bool)
-        closing[end_id] = True
-        symbols, rules = _rounds(ids.astype(np.uint16), closing, first, batch, least, stop)
-    else:
-        symbols = ids.astype(np.uint32)
+    closing = np.zeros(1 << 16 if small else max(first, end_id + 1) + WIDE_RULES, bool)
+    closing[end_id] = True
+    symbols, rules = _rounds(ids.astype(np.uint16 if small else np.uint32), closing, first, batch, least, stop)
     lengths = np.ones(first + len(rules), np.uint32)
     for k, (a, b) in enumerate(rules.tolist()):
         lengths[first + k] = lengths[a] + lengths[b]

@@ -117,6 +117,24 @@ def test_token_files_round_trip(spark, docs, nothing, texts, tmp_path):
     assert read_tokens(spark, str(tmp_path / "e")).count() == 0
 
 
+@pytest.mark.parametrize("top", [3, 60_000, 61_439, 61_440, 65_534, 65_535, 65_536, 70_000, 250_000])
+def test_grammars_on_both_sides_of_16_bits(top):
+    """Ids near the top of a vocabulary of any size are compressed and read back, whole and in ranges."""
+    from candela.llm.token_files import Shard, compress
+    rng = np.random.default_rng(top)
+    phrases = [rng.integers(max(3, top - 500), top + 1, rng.integers(3, 40)) for _ in range(30)]
+    documents = [np.append(np.concatenate([phrases[k] for k in rng.integers(0, 30, rng.integers(1, 30))]), 2) for _ in range(120)]
+    documents += [np.array([2])] * 3 + [np.array([top, 2])]
+    ids, ends = np.concatenate(documents).astype(np.uint32), np.cumsum([len(d) for d in documents])
+    shard = Shard(compress(ids, ends))
+    assert np.array_equal(shard.tokens(0, len(ids)), ids) and np.array_equal(shard.document_ends(), ends)
+    for k in (0, 7, 119, 120, 123):
+        assert np.array_equal(shard.document(k), documents[k])
+    for a, b in ((5, 6), (17, 900), (len(ids) - 3, len(ids))):
+        assert np.array_equal(shard.tokens(a, b), ids[a:b])
+    assert len(shard.symbols) < len(ids) / 4
+
+
 def test_packing(docs, nothing, texts):
     from candela.llm.packing import SmallPlan, pack_documents, sequences
     path = vocabulary("byte_bpe_50k.json")
