@@ -1,10 +1,11 @@
-"""Ingest -> batch -> stream -> compare, in order, into one output folder.
+"""Ingest -> publish -> batch -> stream -> compare, in order, into one output folder.
 
 1. ingest:  valid bars are added to ``raw_stock_data`` only for new (date,
             ticker); rejected ones go to ``rejected_bars``
-2. batch:   indicators (keyed upsert), signals (replaced by key), run metric
-3. stream:  the windowed stream job over the same bars as messages
-4. compare: stream-vs-batch differences, signal agreement and run times,
+2. publish: the stored bars go out as messages, to a topic or to message files
+3. batch:   indicators (keyed upsert), signals (replaced by key), run metric
+4. stream:  the windowed stream job over these messages, until it has read all
+5. compare: stream-vs-batch differences, signal agreement and run times,
             written as the nested JSON report
 """
 
@@ -13,12 +14,13 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candela.fixtures import Replay
 from candela.operators import compare as C
-from candela.operators.quality import quarantine
+from candela.operators.quality import BAR_FINITE, quarantine
 from candela.plans import batch, stream_job
 from candela.session import materialize, prepare
+from candela.sinks import publish
 from candela.sinks.keyed import insert_parquet
 from candela.sinks.report import write_report
 
@@ -32,15 +34,29 @@ def ingest(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def run_all(spark: SparkSession, bars: DataFrame, out_dir: str) -> DataFrame:
-    """Run every job; returns the flat report row (also written as JSON)."""
+def publish_bars(raw: DataFrame, feed_dir: str | None, topic: str | None, options: dict[str, str] | None) -> None:
+    """The bars in the order of their days, so that the stream's watermark passes none of them."""
+    ordered = raw.repartitionByRange("date").sortWithinPartitions("date", "ticker")
+    messages = publish.bar_messages(ordered.withColumns({c: F.col(c).cast("double") for c in BAR_FINITE}))
+    publish.publish(messages, options, topic=topic, path=None if topic else os.path.join(feed_dir, "load=0"))
+
+
+def run_all(spark: SparkSession, bars: DataFrame, out_dir: str, *, topic: str | None = None,
+            kafka_options: dict[str, str] | None = None) -> DataFrame:
+    """Run every job; returns the flat report row (also written as JSON).
+
+    With ``topic`` and ``kafka_options`` (brokers) messages go through Kafka, else
+    through files below ``out_dir``.
+    """
     prepare(spark)
     raw = ingest(spark, bars, out_dir)
+    feed_dir = os.path.join(out_dir, "raw_messages")
+    publish_bars(raw, feed_dir, topic, kafka_options)
     batch.run(spark, raw, out_dir)
-
-    replay = Replay(spark, "end-to-end")
-    replay.run(raw, lambda: stream_job.start_indicator_job(
-        spark, out_dir, replay.checkpoint, feed_dir=replay.feed, trigger=stream_job.AVAILABLE))
+    source = ({"kafka_options": {**(kafka_options or {}), "subscribe": topic, "startingOffsets": "earliest"}} if topic
+              else {"feed_dir": feed_dir})
+    stream_job.run_available(spark, lambda: stream_job.start_indicator_job(
+        spark, out_dir, os.path.join(out_dir, "checkpoint"), trigger=stream_job.AVAILABLE, **source))
 
     ind = spark.read.parquet(os.path.join(out_dir, "technical_indicators"))
     sig = spark.read.parquet(os.path.join(out_dir, "trading_signals"))
