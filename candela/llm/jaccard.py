@@ -25,9 +25,9 @@ lower-cased words); documents link from a similarity of ``percent`` / 100 on.
    a centre drawn for that bucket, if that lies in another component.
 5. Rest. The pairs of a bucket that lie in different components still pass the
    same filters and are verified, unless they were. A large group of near
-   copies is one component by then, so it gives no pairs. In large buckets
-   the join itself compares short sketches, so of documents that resemble one
-   another without a link it emits no pairs either.
+   copies is one component by then, so it gives no pairs. The join itself
+   compares short sketches, so of documents that resemble one another without a
+   link it emits next to no pairs either.
 6. Components of all verified links.
 
 Verification intersects whole sets; their texts are read again for the
@@ -244,11 +244,8 @@ def _may_link(percent: int, a: str = "", b: str = "2") -> Column:
 
 
 def _folded(sketch: Column, k: int) -> Column:
-    """One of 4 words of parities that each join 4 of the sketch's 16 words (distances only shrink)."""
-    word = sketch[k]
-    for j in range(1, 4):
-        word = word.bitwiseXOR(sketch[k + 4 * j])
-    return word
+    """One of 8 words of parities that each join 2 of the sketch's 16 words (distances only shrink)."""
+    return sketch[k].bitwiseXOR(sketch[k + 8])
 
 
 class _Join:
@@ -391,22 +388,22 @@ def _linked(docs: DataFrame, key: str, text: str, percent: int, width: int, list
 
     # what the components so far leave apart
     buckets = mixed_buckets(buckets)
-    large = buckets.filter(F.col("members") > 64).join(nodes.select("rep", "sketch"), "rep")
-    short = F.array([_folded(F.col("sketch"), k) for k in range(4)])  # 256 parities from 1024
-    buckets = (buckets.filter(F.col("members") <= 64).withColumn("short", F.lit(None).cast("array<long>"))
-               .unionByName(large.withColumn("short", short).drop("sketch"))).select(
-        "token", "rep", "n", "place", "component", *[F.col("short")[k].alias(f"s{k}") for k in range(4)])
+    short = F.array([_folded(F.col("sketch"), k) for k in range(8)])  # 512 parities from 1024
+    buckets = buckets.join(nodes.select("rep", short.alias("short")), "rep").select(
+        "token", "rep", "n", "place", "component", *[F.col("short")[k].alias(f"s{k}") for k in range(8)])
     other = buckets.withColumnsRenamed({"rep": "b", "n": "n2", "place": "place2", "component": "component2",
-                                        **{f"s{k}": f"t{k}" for k in range(4)}})
-    apart = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(4)), F.lit(0))
-    near = F.col("s0").isNull() | ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2")))
+                                        **{f"s{k}": f"t{k}" for k in range(8)}})
+    apart = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(8)), F.lit(0))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
     rest = (buckets.withColumnRenamed("rep", "a")
             .join(other, (buckets["token"] == other["token"]) & (F.col("a") > F.col("b"))
                   & (F.col("component") != F.col("component2")) & _may_link(percent) & near).select("a", "b"))
     peers = placed.select("gid", F.col("rep").alias("b"), F.col("component").alias("component2"))
     same_prefix = (placed.join(peers, "gid").filter("rep > b AND component != component2")
                    .select(F.col("rep").alias("a"), "b"))
-    verify(join.sketched(rest.union(same_prefix).distinct().join(tried, ["a", "b"], "left_anti")).select("a", "b"))
+    met = materialize(rest.union(same_prefix).distinct())  # a pair meets in many buckets: once from here on
+    spent.append(met)
+    verify(join.sketched(met.join(tried, ["a", "b"], "left_anti")).select("a", "b"))
 
     if paired:  # the sets of an id are one document
         first = members.groupBy("id.id").agg(F.min("rep").alias("b")).withColumnRenamed("id", "document")
