@@ -29,9 +29,15 @@ BROADCAST_IDS = 500_000
 LEAST_TEXTS = 5
 
 
+def session(spark: SparkSession) -> SparkSession:
+    """``spark`` with its settings; texts go to Python a thousand rows at a time, not ten thousand (33 MB)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return prepared(spark)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels of ``docs``, predicts as good."""
-    labels = table(prepared(spark), sf_dir, "labels").filter(~held_out())
+    labels = table(session(spark), sf_dir, "labels").filter(~held_out())
     scored = score(docs, train(docs, labels))
     return scored.filter("predicted = 1").select(*docs.columns)
 
@@ -42,7 +48,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Lines are counted over distinct texts, so that copies keep their text and
     are left to the near dedup.
     """
-    prepared(spark)
+    session(spark)
     return dedup_lines(docs, least_texts=LEAST_TEXTS).select(*docs.columns)
 
 
@@ -74,7 +80,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one document and stay or go together. A row without an id can't be a
     component's document: it links with nothing and stays, but once for each text.
     """
-    prepared(spark)
+    session(spark)
     docs = one_row_each(docs)
     linked = link_documents(docs)
     gone = materialize(linked.filter("component_id != doc_id").select("doc_id").distinct())
@@ -85,12 +91,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated by benchmark items, also those without an id."""
-    return decontaminate(docs, table(prepared(spark), sf_dir, "benchmark"), remove="documents", unnamed=True)
+    return decontaminate(docs, table(session(spark), sf_dir, "benchmark"), remove="documents", unnamed=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
-    prepared(spark)
+    session(spark)
     return (pack_documents(docs, vocabulary("byte_bpe_50k.json"))
             .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
 
@@ -104,7 +110,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; the last one's rows."""
-    docs = table(prepared(spark), sf_dir, "documents")
+    docs = table(session(spark), sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
