@@ -13,12 +13,14 @@ are the library's by definition.
 
 from __future__ import annotations
 
-import json
 import os
 
 import numpy as np
 
-from candela.llm.textops import HashTable, chunks, cut_before_space, hash_spans
+from candela.llm.textops import HashTable, chunks, cut_before_space, hash_spans, trim
+
+#: Bytes divided at once; the table of pre-tokens needs the worker's memory more than these temporaries.
+PIECE_BYTES = 1 << 18
 
 SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
 
@@ -102,9 +104,7 @@ class PreTokenEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            kind = json.load(f)
-        by_byte = kind["normalizer"] is None
+        by_byte = self.library.normalizer is None
         self.lower = not by_byte
         self.spans = byte_level_spans if by_byte else word_spans
         names = self.library.get_vocab()
@@ -115,6 +115,8 @@ class PreTokenEncoder:
         self.newline = names.get("\u010a", -1)
         self.capacity = capacity
         self._reset()
+        del names
+        trim()
 
     def _reset(self) -> None:
         self.table = HashTable(self.capacity)
@@ -200,7 +202,7 @@ class PreTokenEncoder:
         """
         # Rows that the byte classes don't cover are found first: a long row may span chunks.
         plain = np.ones(len(offsets) - 1, bool)
-        for rows, starts, a, b in chunks(data, offsets, cut=cut_before_space):
+        for rows, starts, a, b in chunks(data, offsets, PIECE_BYTES, cut_before_space):
             part = data[a:b]
             odd = _odd_places(part)
             if len(odd):
@@ -208,7 +210,7 @@ class PreTokenEncoder:
         for row in np.flatnonzero(~plain):
             text = data[offsets[row]:offsets[row + 1]].tobytes().decode()
             yield "library", int(row), np.array(self.library_ids([text])[0], np.uint32)
-        for rows, starts, a, b in chunks(data, offsets, cut=cut_before_space):
+        for rows, starts, a, b in chunks(data, offsets, PIECE_BYTES, cut_before_space):
             part = data[a:b]
             if self.lower:
                 part = lower_latin1(part)
