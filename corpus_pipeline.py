@@ -30,8 +30,11 @@ LEAST_TEXTS = 5
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """``spark`` with its settings; texts go to Python a thousand rows at a time, not ten thousand (33 MB)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """``spark`` with its settings; texts go to Python 250 rows at a time, not ten thousand (33 MB).
+
+    Numpy's temporaries take about 60 bytes for each byte of a batch.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "250")
     return prepared(spark)
 
 
