@@ -4,8 +4,9 @@
    ``capacity`` ids; only the first of several may be shorter. Pieces are
    written once as a table of numbers.
 2. The driver sees only the histogram of lengths (``capacity`` counts at
-   most). Large pieces, in descending order, form groups of equal cardinality;
-   all lengths of a group are rounded up to its largest. For these few sizes,
+   most). Large pieces, in descending order, form ``groups`` (64) groups of equal
+   cardinality, however many pieces and lengths there are; all lengths of a group
+   are rounded up to its largest. For these few sizes,
    configurations are chosen one by one: the largest size left, with the fill
    from the remaining sizes that comes closest to ``capacity`` (subset sums as
    bits), as often as the counts allow.
@@ -200,13 +201,15 @@ def _mapped(df: DataFrame, fn, names: list[str]) -> DataFrame:
     return df.select(*keep, "rank").mapInArrow(run, ", ".join([kinds, *(f"{n} long" for n in names)]))
 
 
-def pack(items: DataFrame, key: str = "doc_id", capacity: int = 1024, groups: int = 4096,
-         small_below: int = 256) -> DataFrame:
+def pack(items: DataFrame, key: str = "doc_id", capacity: int = 1024, groups: int = 64,
+         small_below: int | None = None) -> DataFrame:
     """``items`` (see :func:`pieces`) with sequence_id and offset.
 
     ``items`` is read several times; write it to a table before. Lengths under
-    ``small_below`` are small.
+    ``small_below``, by default three eighths of ``capacity``, are small: what
+    rounding wastes in the sequences of large pieces is a real gap that they fill.
     """
+    small_below = max(1, 3 * capacity // 8) if small_below is None else small_below
     histogram = {r[0]: r[1] for r in items.groupBy("length").count().collect()}  # capacity rows at most
     full = histogram.get(capacity, 0)
     plan = LargePlan({n: c for n, c in histogram.items() if small_below <= n < capacity}, capacity, groups)

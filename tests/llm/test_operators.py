@@ -185,6 +185,27 @@ def test_configurations_use_every_slot_once():
         assert fill.max() <= 64 and fill.min() > 0
 
 
+@pytest.mark.parametrize("times", [1, 40])
+def test_few_sizes_pack_tightly(spark, times):
+    """At most 64 sizes stand for 640 lengths, whatever the count; sequences stay within 1 % of the lower bound."""
+    from candela.llm.packing import LargePlan, pack
+    rng = np.random.default_rng(3)
+    lengths = np.tile(np.clip(rng.gamma(3.0, 150.0, 6000).astype(int), 2, 1024), times)
+    large = {int(n): int(c) for n, c in zip(*np.unique(lengths[(lengths >= 384) & (lengths < 1024)], return_counts=True))}
+    plan = LargePlan(large, 1024, 64)
+    assert len(large) > 400 and 32 <= len(plan.first) <= 64
+    rank = np.concatenate([np.arange(c) for c in large.values()])
+    fill = np.bincount(plan.sequence(np.repeat(list(large), list(large.values())), rank),
+                       np.repeat(list(large), list(large.values())), plan.sequences)
+    assert fill.max() <= 1024
+    if times == 1:
+        rows = [(i, 0, 0, int(n), i) for i, n in enumerate(lengths)]
+        items = prepared(spark).createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        got = pack(items).groupBy("sequence_id").agg({"length": "sum"}).collect()
+        assert sum(r[1] for r in got) == lengths.sum() and max(r[1] for r in got) <= 1024
+        assert len(got) <= 1.01 * -(-int(lengths.sum()) // 1024)
+
+
 # ------------------------------------------------------------------- lines
 
 def test_line_dedup(spark, nothing):
