@@ -2,31 +2,29 @@
 
 A line's key is the line without spaces, tabs and carriage returns around it;
 blank lines have none and always stay. For each site (host) the number of
-pages that contain a line (once for each page) is divided by the site's number
-of pages; lines above ``max_ratio`` are boilerplate there and are dropped from
-all its pages. Sites of fewer than ``min_pages`` pages are not judged.
+distinct page texts that contain a line (once for each) is divided by the site's
+number of distinct page texts; lines above ``max_ratio`` that at least
+``least_texts`` distinct texts have are boilerplate there and are dropped from
+all its pages. Sites of any size are judged by this one rule.
 
-By that rule copies of a page vote for their own lines: a group of copies that
-holds over ``max_ratio`` of a site loses all its text. With ``least_texts`` a line
-counts once for each distinct page text of the site, in both numbers, and is
-boilerplate above ``max_ratio`` if at least ``least_texts`` distinct texts have
-it; ``min_pages`` has no part then, so sites of any size are judged. Copies that
-differ in any byte are distinct texts. Page texts are told apart by two 64-bit
-hashes; of a page's copies, one list of line hashes leaves each map task.
+Texts and not pages are counted, or a group of copies that holds over
+``max_ratio`` of a site would vote for its own lines and lose all its text. Copies
+that differ in any byte are distinct texts. Page texts are told apart by two
+64-bit hashes; of a page's copies, one list of line hashes leaves each map task.
 
 Lines are counted by two independent 64-bit hashes, so texts are not shuffled,
 and counts combine in the map tasks, so neither a hot site nor a hot line meets
 in one task. A site has at most (lines a page) / ``max_ratio`` boilerplate lines.
-If all sites together have at most ``broadcast_rows``, they are broadcast and
-applied in the scan; beyond that, hits are joined on (site, line) and pages on
-their key.
-
-A null text stays null; a text that loses all lines becomes empty. Rows with a
-null host form a site of their own. Repeated rows count as pages of their own
-(not with ``least_texts``).
-Very long texts are judged line by line like others. An empty table gives an
-empty result. n_lines and n_dropped replace input columns of these names;
-n_chars, where there is one, is counted anew.
+If all sites together have at most ``broadcast_rows`` and none more than
+``site_rows`` (a page's lines are compared with its site's one by one), they are
+broadcast and applied in the scan; beyond that, hits are joined on (site, line)
+and pages on their key.
+
+A null text stays null and is one text of its site; a text that loses all lines
+becomes empty. Rows with a null host form a site of their own. Repeated rows are
+one text, and all of them lose its boilerplate. Very long texts are judged line by
+line like others. An empty table gives an empty result. n_lines and n_dropped
+replace input columns of these names; n_chars, where there is one, is counted anew.
 """
 
 from __future__ import annotations
@@ -50,8 +48,9 @@ def _page_lines(docs: DataFrame, host: str, text: str, *more) -> DataFrame:
     return docs.select(site.alias("__site"), *more, F.explode(keys).alias("line"))
 
 
-def _boilerplate_of_texts(docs: DataFrame, host: str, text: str, max_ratio: float, least_texts: int) -> DataFrame:
-    """Like :func:`boilerplate`, counted over distinct page texts."""
+def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = 0.1,
+                least_texts: int = 5) -> DataFrame:
+    """(__site, line, pages, site_pages) of the lines above ``max_ratio``, counted over distinct texts."""
     site = F.coalesce(F.col(host).cast("string"), F.lit(_NO_SITE))
     texts = materialize(docs.select(site.alias("__site"), F.xxhash64(text).alias("__a"), F.xxhash64(F.lit(7), text).alias("__b"),
                                     F.array_distinct(F.expr(_KEYS.format(text=text))).alias("lines"))
@@ -62,29 +61,17 @@ def _boilerplate_of_texts(docs: DataFrame, host: str, text: str, max_ratio: floa
     return counts.join(sites, "__site").filter(F.col("pages") > max_ratio * F.col("site_pages"))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = 0.1,
-                min_pages: int = 10, least_texts: int | None = None) -> DataFrame:
-    """(__site, line, pages, site_pages) of the lines above ``max_ratio``."""
-    if least_texts is not None:
-        return _boilerplate_of_texts(docs, host, text, max_ratio, least_texts)
-    site = F.coalesce(F.col(host).cast("string"), F.lit(_NO_SITE))
-    sites = (docs.select(site.alias("__site")).groupBy("__site").agg(F.count("*").alias("site_pages"))
-             .filter(F.col("site_pages") >= min_pages))
-    least = max(1, int(max_ratio * min_pages))
-    counts = (_page_lines(docs, host, text).groupBy("__site", "line").agg(F.count("*").alias("pages"))
-              .filter(F.col("pages") >= least))
-    return counts.join(sites, "__site").filter(F.col("pages") > max_ratio * F.col("site_pages"))
-
-
 def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text", key: str = "doc_id",
-                max_ratio: float = 0.1, min_pages: int = 10, broadcast_rows: int = 50_000,
-                least_texts: int | None = None) -> DataFrame:
+                max_ratio: float = 0.1, least_texts: int = 5, broadcast_rows: int = 50_000,
+                site_rows: int = 1_000) -> DataFrame:
     """``docs`` without their sites' boilerplate lines, with n_lines and n_dropped."""
-    lines = materialize(boilerplate(docs, host, text, max_ratio, min_pages, least_texts).select("__site", "line"))
+    lines = materialize(boilerplate(docs, host, text, max_ratio, least_texts).select("__site", "line"))
+    total, most = lines.groupBy("__site").count().agg(F.coalesce(F.sum("count"), F.lit(0)),
+                                                      F.coalesce(F.max("count"), F.lit(0))).first()
     site = F.coalesce(F.col(host).cast("string"), F.lit(_NO_SITE))
     columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     pages = docs.select(*columns, site.alias("__site"))
-    if lines.count() <= broadcast_rows:
+    if total <= broadcast_rows and most <= site_rows:
         drop = lines.groupBy("__site").agg(F.collect_list("line").alias("__drop"))
         judged = pages.join(F.broadcast(drop), "__site", "left")
     else:

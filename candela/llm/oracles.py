@@ -52,16 +52,17 @@ FROM u LEFT JOIN (SELECT * FROM fit WHERE k = 1) f ON u.page_id = f.page_id"""
 
 ORACLES["op2_line_dedup"] = r"""
 WITH page AS (
-  SELECT row_number() OVER () AS page, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+  SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+distinct_text AS (SELECT row_number() OVER () AS page, source, text FROM (SELECT DISTINCT source, text FROM documents)),
 line AS (
   SELECT DISTINCT page, source, trim(l, chr(32) || chr(9) || chr(13)) AS k
-  FROM (SELECT page, source, unnest(lines) AS l FROM page)
+  FROM (SELECT page, source, unnest(string_split(text, chr(10))) AS l FROM distinct_text)
   WHERE trim(l, chr(32) || chr(9) || chr(13)) <> ''),
-site AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+site AS (SELECT source, count(*) AS n FROM distinct_text GROUP BY 1),
 drops AS (
   SELECT source, k FROM line GROUP BY source, k
   HAVING count(*) > 0.1 * (SELECT n FROM site WHERE site.source IS NOT DISTINCT FROM line.source)
-     AND (SELECT n FROM site WHERE site.source IS NOT DISTINCT FROM line.source) >= 10),
+     AND count(*) >= 5),
 dropped AS (SELECT source, list(k) AS ks FROM drops GROUP BY 1),
 judged AS (
   SELECT doc_id, p.source, text, lines,

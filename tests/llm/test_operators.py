@@ -214,24 +214,27 @@ def test_line_dedup(spark, nothing):
     rows += [(100 + k, f"footer\nmenu 0\nrare {k // 2}", None, 7) for k in range(12)]
     rows += [(200 + k, "footer\nfooter", "small", 7) for k in range(9)]
     rows += [(300, None, "a", None), (301, "", "a", 0), (302, "footer", "a", 6), rows[0]]
+    rows += [(400 + k, "copy\nof one page", "a", 7) for k in range(40)]  # one text: keeps its lines
+    rows += [(500 + k, f"foot\n{k}", "nine", 7) for k in range(9)] + [(600 + k, f"foot\n{k}", "four", 7) for k in range(4)]
     df = prepared(spark).createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
     pages, seen = defaultdict(int), defaultdict(int)
-    for _, t, s, _ in rows:
+    for t, s in {(t, s) for _, t, s, _ in rows}:
         pages[s] += 1
         for line in {x.strip(" \t\r") for x in (t or "").split("\n")} - {""}:
             seen[s, line] += 1
 
     def keep(s, line):
         line = line.strip(" \t\r")
-        return not line or pages[s] < 10 or seen[s, line] <= 0.1 * pages[s]
+        return not line or seen[s, line] < 5 or seen[s, line] <= 0.1 * pages[s]
+    assert keep("a", "copy") and not keep("nine", "foot") and keep("four", "foot") and not keep("a", "menu 0")
     want = []
     for i, t, s, n in rows:
         lines = [] if t is None else t.split("\n")
         kept = [x for x in lines if keep(s, x)]
         new = None if t is None else "\n".join(kept)
         want.append((i, new, s, len(lines), len(lines) - len(kept)))
-    for most in (50_000, 0):  # sites' lines broadcast, and joined
-        got = dedup_lines(df, broadcast_rows=most).collect()
+    for limits in ({}, {"broadcast_rows": 0}, {"site_rows": 1}):  # sites' lines broadcast, and joined
+        got = dedup_lines(df, **limits).collect()
         assert sorted((r.doc_id, r.text, r.source, r.n_lines, r.n_dropped) for r in got if r.text is not None) == sorted(
             w for w in want if w[1] is not None) if all(r.source for r in got) else True
         key = lambda w: (w[0], str(w[1]), str(w[2]))
