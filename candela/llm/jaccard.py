@@ -27,7 +27,9 @@ lower-cased words); documents link from a similarity of ``percent`` / 100 on.
    same filters and are verified, unless they were. A large group of near
    copies is one component by then, so it gives no pairs. The join itself
    compares short sketches, so of documents that resemble one another without a
-   link it emits next to no pairs either.
+   link it emits next to no pairs either. Documents that share many prefix
+   shingles are paired at the first one, not at each: a row of a bucket holds the
+   shingles before it, and a pair with a common one has met before.
 6. Components of all verified links.
 
 Verification intersects whole sets; their texts are read again for the
@@ -48,7 +50,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -243,11 +245,40 @@ def _may_link(percent: int, a: str = "", b: str = "2") -> Column:
     return size & ((100 + percent) * (F.least(x - i, y - j)) >= percent * (x + y))
 
 
+def _with_earlier(buckets: DataFrame) -> DataFrame:
+    """With ``earlier``, up to 4 tokens of the document that come right before this one in the global order.
+
+    Two documents with a common earlier token have met there, so they need not meet
+    here; at their first shared token they have none. Tokens are unsigned numbers.
+    """
+    before = Window.partitionBy("rep").orderBy(F.col("token") < 0, "token").rowsBetween(-4, -1)
+    return buckets.withColumn("earlier", F.collect_list("token").over(before))
+
+
 def _folded(sketch: Column, k: int) -> Column:
     """One of 8 words of parities that each join 2 of the sketch's 16 words (distances only shrink)."""
     return sketch[k].bitwiseXOR(sketch[k + 8])
 
 
+def _rest_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that meet in a bucket, lie in different components and pass the filters.
+
+    ``buckets`` has token, rep, n, place, component and sketch; the pairs of one
+    document pair are one row, or a few if its shared tokens lie far apart.
+    """
+    short = F.array([_folded(F.col("sketch"), k) for k in range(8)])  # 512 parities from 1024
+    rows = _with_earlier(buckets.withColumn("short", short).select(
+        "token", "rep", "n", "place", "component", *[F.col("short")[k].alias(f"s{k}") for k in range(8)]))
+    other = rows.withColumnsRenamed({"rep": "b", "n": "n2", "place": "place2", "component": "component2",
+                                     "earlier": "earlier2", **{f"s{k}": f"t{k}" for k in range(8)}})
+    apart = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(8)), F.lit(0))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
+    return (rows.withColumnRenamed("rep", "a")
+            .join(other, (rows["token"] == other["token"]) & (F.col("a") > F.col("b"))
+                  & (F.col("component") != F.col("component2")) & _may_link(percent) & near
+                  & ~F.arrays_overlap("earlier", "earlier2")).select("a", "b"))
+
+
 class _Join:
     def __init__(self, docs, key, text, width, percent, nodes, broadcast_ids):
         self.docs, self.key, self.text = docs, key, text
@@ -388,20 +419,11 @@ def _linked(docs: DataFrame, key: str, text: str, percent: int, width: int, list
 
     # what the components so far leave apart
     buckets = mixed_buckets(buckets)
-    short = F.array([_folded(F.col("sketch"), k) for k in range(8)])  # 512 parities from 1024
-    buckets = buckets.join(nodes.select("rep", short.alias("short")), "rep").select(
-        "token", "rep", "n", "place", "component", *[F.col("short")[k].alias(f"s{k}") for k in range(8)])
-    other = buckets.withColumnsRenamed({"rep": "b", "n": "n2", "place": "place2", "component": "component2",
-                                        **{f"s{k}": f"t{k}" for k in range(8)}})
-    apart = sum((F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(8)), F.lit(0))
-    near = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
-    rest = (buckets.withColumnRenamed("rep", "a")
-            .join(other, (buckets["token"] == other["token"]) & (F.col("a") > F.col("b"))
-                  & (F.col("component") != F.col("component2")) & _may_link(percent) & near).select("a", "b"))
+    rest = _rest_pairs(buckets.join(nodes.select("rep", "sketch"), "rep"), percent)
     peers = placed.select("gid", F.col("rep").alias("b"), F.col("component").alias("component2"))
     same_prefix = (placed.join(peers, "gid").filter("rep > b AND component != component2")
                    .select(F.col("rep").alias("a"), "b"))
-    met = materialize(rest.union(same_prefix).distinct())  # a pair meets in many buckets: once from here on
+    met = materialize(rest.union(same_prefix).distinct())  # a pair may still meet in several buckets: once from here on
     spent.append(met)
     verify(join.sketched(met.join(tried, ["a", "b"], "left_anti")).select("a", "b"))
 
