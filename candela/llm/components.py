@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from candela.session import materialize
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none to a smaller one."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    open_ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR up = 1 AND down = 1")
+    return open_ends.count() == 0
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,10 +39,6 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (columns a and b): the smallest node reached."""
     edges = materialize(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         edges = materialize(_small_star(_large_star(edges).filter("u > v").distinct()).distinct())
-        before, state = state, _state(edges)
-        if state == before:
-            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

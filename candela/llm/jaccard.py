@@ -414,6 +414,7 @@ def _linked(docs: DataFrame, key: str, text: str, percent: int, width: int, list
         best = join.sketched(pairs).groupBy("who").agg(F.min_by(F.struct("a", "b"), F.struct("far", "a", "b")).alias("p"))
         verify(best.select("p.a", "p.b").distinct())
         found = components(links)
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))  # as connected, and settled
         placed = materialize(nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
                              .select("rep", "gid", F.coalesce("component", "rep").alias("component")))
 

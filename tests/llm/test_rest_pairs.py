@@ -1,7 +1,10 @@
-"""Documents that share many prefix shingles without a link are paired once, not at each shingle."""
+"""Pairs of the rest join, which a document pair meets once and not at each shared shingle; components."""
 
 import itertools
 
+import pytest
+
+from candela.llm import components as C
 from candela.llm.jaccard import _rest_pairs
 
 SCHEMA = "token long, rep long, n long, place int, component long, sketch array<long>"
@@ -37,3 +40,18 @@ def test_repeated_rows_and_equal_components(spark):
     sets = {1: [5, 5, 6, 6, 7], 2: [5, 5, 6, 7, 7], 3: [6, 7, 9]}
     assert set(pairs(spark, sets)) == {(2, 1), (3, 1), (3, 2)}
     assert set(pairs(spark, sets, {1: 1, 2: 1, 3: 3})) == {(3, 1), (3, 2)}
+
+
+@pytest.mark.parametrize("edges, rounds", [
+    ([], 0), ([(2, 1), (3, 1), (5, 4), (4, 4)], 0), ([(1, 2), (2, 1)], 0),
+    ([(k, k + 1) for k in range(40)], None), ([(7, 1), (7, 2), (9, 2), (9, 8), (20, 21)], None)])
+def test_components_take_no_round_after_the_last(spark, monkeypatch, edges, rounds):
+    done, star = [], C._small_star
+    monkeypatch.setattr(C, "_small_star", lambda e: done.append(1) or star(e))
+    got = {r[0]: r[1] for r in C.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    least = {x: x for e in edges for x in e}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == {x: m for x, m in least.items() if x != m}
+    assert rounds is None or len(done) == rounds
